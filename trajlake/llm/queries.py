@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trajlake.llm import byte_bpe, language, neighbours, packing, quality_rules, token_files
+from trajlake.llm import byte_bpe, jaccard_join, language, neighbours, packing, quality_rules, token_files
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, token_files.bases(manifest))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(_read(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -48,6 +52,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_language_id": op3_language_id,
         "op4_packing": op4_packing,
         "op5_token_files": op5_token_files,
+        "op6_jaccard_join": op6_jaccard_join,
         "op7_quality_rules": op7_quality_rules,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_neighbours": op10_neighbours,
