@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trajlake.llm import byte_bpe, jaccard_join, language, neighbours, packing, quality_rules, token_files
+from trajlake.llm import byte_bpe, jaccard_join, language, neighbours, packing, quality_rules, substring_dedup, token_files
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -39,6 +39,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
@@ -54,6 +59,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_token_files": op5_token_files,
         "op6_jaccard_join": op6_jaccard_join,
         "op7_quality_rules": op7_quality_rules,
+        "op8_substring_dedup": op8_substring_dedup,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_neighbours": op10_neighbours,
     }
