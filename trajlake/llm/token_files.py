@@ -67,7 +67,7 @@ def write(df: DataFrame, tokenizer_path: str, end_id: int, vocabulary: int, path
             part = TaskContext.get().partitionId() if TaskContext.get() else 0
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([os.path.basename(name)]), pa.array([width], pa.int32()), pa.array([docs]), pa.array([tokens])], names=["part", "file", "width", "docs", "tokens"])
 
-    ordered = documents(df, id_col, text_col).repartitionByRange(parts, "doc_id", "text").sortWithinPartitions("doc_id", "text")
+    ordered = documents(df, id_col, text_col).repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(run, MANIFEST).write.mode("overwrite").parquet(f"{root}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{root}/manifest").withColumn("root", F.lit(root))
 
