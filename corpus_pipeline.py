@@ -1,13 +1,74 @@
-"""Corpus pipeline; stages are added as their operators land."""
+"""Corpus pipeline: language ID, quality classifier, near duplicates, repeated passages, packing.
+
+Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept and returns a DataFrame;
+between stages the rows are written as Parquet and read again. All but the last return the columns of
+``documents``.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from trajlake.llm import jaccard_join, language, packing, perplexity, substring_dedup
+from trajlake.llm.workspace import shared_dir, written
+
+#: Rows of ids that may be copied to every task; more are joined by shuffle.
+FEW_IDS = 2_000_000
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Reject documents without a letter and those whose language stays ambiguous between two codewords."""
+    model = language.fit(docs)
+    carried = [c for c in docs.columns if c not in ("doc_id", "text")]
+    named = language.predict(docs, model, carry=[*carried, "text"], gap=0.005)
+    return named.where("lang_pred <> 'und' and not ambiguous").select(docs.columns)
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Reject documents whose perplexity lies beyond their language's threshold."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return perplexity.classify(docs, labels, carry=docs.columns).where("quality_kept").select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the smallest doc_id of each group of near copies."""
+    extra = written(jaccard_join.join(docs).where("component_id <> doc_id").select("doc_id"))
+    return docs.join(F.broadcast(extra) if extra.count() <= FEW_IDS else extra, "doc_id", "left_anti").select(docs.columns)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Remove passages that occur elsewhere; a document keeps its row, with the words that are left."""
+    carried = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    cut = substring_dedup.remove(docs, carry=carried)
+    return cut.select(*[F.length("text").cast("long").alias("n_chars") if c == "n_chars" else F.col(c) for c in docs.columns])
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("quality_classifier", quality_classifier),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("packing", packed),
+]
+
+#: SQL can express neither the classifiers nor the tokenizer; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of sf_dir, each written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            path = shared_dir(spark)
+            docs.write.parquet(path)
+            docs = spark.read.parquet(path)
     return docs

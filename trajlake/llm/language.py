@@ -24,7 +24,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trajlake.llm.text import pieces, utf8
-from trajlake.llm.workspace import documents
 
 BUCKETS = 1 << 14
 _fold = np.full(256, 32, dtype=np.uint32)
@@ -114,7 +113,8 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", alp
 
 def predict(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", gap: float = 0.1, carry: list[str] | None = None) -> DataFrame:
     """doc_id, lang_pred, score (0 to 1), second, ambiguous; ``carry`` names columns to keep beside them."""
-    kept = carry or []
+    carried = carry or []
+    kept = [f"carry_{i}" for i in range(len(carried))]
     spark = df.sparkSession
     shared = spark.sparkContext.broadcast(model)  # bounded: buckets x bits floats
 
@@ -155,5 +155,7 @@ def predict(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
             )
 
     types = dict(df.dtypes)
-    more = "".join(f", `{c}` {types[c]}" for c in kept)
-    return documents(df, id_col, text_col, *kept).mapInArrow(run, f"doc_id long, lang_pred string, score double, second string, ambiguous boolean{more}")
+    more = "".join(f", {k} {types[c]}" for k, c in zip(kept, carried, strict=True))
+    base = df.select(df[id_col].cast("long").alias("doc_id"), df[text_col].cast("string").alias("text"), *[df[c].alias(k) for k, c in zip(kept, carried, strict=True)])
+    named = base.mapInArrow(run, f"doc_id long, lang_pred string, score double, second string, ambiguous boolean{more}")
+    return named.select("doc_id", "lang_pred", "score", "second", "ambiguous", *[F.col(k).alias(c) for k, c in zip(kept, carried, strict=True)])

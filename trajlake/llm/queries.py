@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trajlake.llm import byte_bpe, jaccard_join, language, neighbours, packing, perplexity, quality_rules, substring_dedup, token_files
+from trajlake.llm import byte_bpe, html_text, jaccard_join, language, neighbours, packing, perplexity, quality_rules, substring_dedup, token_files
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_read(spark, sf_dir, "pages"))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perplexity.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -58,6 +62,7 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_html_text": op1_html_text,
         "op2_quality_classifier": op2_quality_classifier,
         "op3_language_id": op3_language_id,
         "op4_packing": op4_packing,

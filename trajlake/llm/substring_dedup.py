@@ -25,10 +25,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from trajlake.llm.blocks import U, deal, gathered, repeated, runs, shards_of, sliding
 from trajlake.llm.text import pieces, span_hash, utf8, window_hash, words
-from trajlake.llm.workspace import documents, written
+from trajlake.llm.workspace import written
 
 _TOP = U(0xFFFFFFFFFFFFFFFF)
 _EMPTY = "shard int, key binary, count binary, at binary"
@@ -184,9 +186,13 @@ def _unpacked(table: pa.Table, limit: int = 8 << 20) -> Iterator[pa.Table]:
         yield pa.concat_tables(held).combine_chunks()
 
 
-def remove(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35, prefix: int = 8) -> DataFrame:
-    """doc_id, n_words, n_removed and text (the kept words joined by one space) of every document."""
-    docs = documents(df, id_col, text_col).select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
+def remove(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35, prefix: int = 8, carry: list[str] | None = None) -> DataFrame:
+    """doc_id, n_words, n_removed and text (the kept words joined by one space) of every document, and the carried columns."""
+    carried = carry or []
+    names, types = [f"carry_{i}" for i in range(len(carried))], dict(df.dtypes)
+    docs = df.select(df[id_col].cast("long").alias("doc_id"), df[text_col].cast("string").alias("text"), *[df[c].alias(k) for k, c in zip(names, carried, strict=True)])
+    docs = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"), *names)
+    schema = "doc_id long, n_words long, n_removed long, text string" + "".join(f", {k} {types[c]}" for k, c in zip(names, carried, strict=True))
     packed, again = repeated_windows(docs, window, prefix)
     again = written(again)
 
@@ -221,7 +227,9 @@ def remove(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
             raw = joined.tobytes()
             texts = [raw[a : max(a, b - 1)].decode() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
             removed = np.bincount(text[gone], minlength=table.num_rows)
-            out.append(pa.table({"doc_id": table["doc_id"], "n_words": pa.array(count), "n_removed": pa.array(removed), "text": pa.array(texts)}))
-        return pa.concat_tables(out) if out else _empty("doc_id long, n_words long, n_removed long, text string")
+            out.append(pa.table({"doc_id": table["doc_id"], "n_words": pa.array(count), "n_removed": pa.array(removed), "text": pa.array(texts), **{k: table[k] for k in names}}))
+        return pa.concat_tables(out) if out else nothing
 
-    return packed.groupBy("shard").cogroup(again.groupBy("shard")).applyInArrow(cut, "doc_id long, n_words long, n_removed long, text string")
+    nothing = to_arrow_schema(StructType.fromDDL(schema)).empty_table()
+    done = packed.groupBy("shard").cogroup(again.groupBy("shard")).applyInArrow(cut, schema)
+    return done.select("doc_id", "n_words", "n_removed", "text", *[F.col(k).alias(c) for k, c in zip(names, carried, strict=True)])
