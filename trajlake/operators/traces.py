@@ -7,12 +7,20 @@ bounded by its budget, so its partition is small.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-SESSION = Window.partitionBy("session_id").orderBy("sequence")
-SO_FAR = SESSION.rowsBetween(Window.unboundedPreceding, 0)
-CALL = Window.partitionBy("session_id", "call_id").orderBy("sequence").rowsBetween(Window.unboundedPreceding, 0)
+
+def session() -> WindowSpec:
+    return Window.partitionBy("session_id").orderBy("sequence")
+
+
+def so_far() -> WindowSpec:
+    return session().rowsBetween(Window.unboundedPreceding, 0)
+
+
+def of_call() -> WindowSpec:
+    return Window.partitionBy("session_id", "call_id").orderBy("sequence").rowsBetween(Window.unboundedPreceding, 0)
 
 
 def is_type(*names: str) -> Column:
@@ -21,9 +29,9 @@ def is_type(*names: str) -> Column:
 
 def turn_rewards(trace: DataFrame) -> DataFrame:
     """Reward per event: asking the user, denied actions and finished tools, with the turn and the tool's name."""
-    turns = F.sum(is_type("model_response").cast("int")).over(SO_FAR)
+    turns = F.sum(is_type("model_response").cast("int")).over(so_far())
     # calls are requests without a call id too: those share the blank one, like any other key
-    asked = F.last(F.when(is_type("tool_requested"), F.col("tool")), ignorenulls=True).over(CALL)
+    asked = F.last(F.when(is_type("tool_requested"), F.col("tool")), ignorenulls=True).over(of_call())
     reward = (
         F.when(is_type("tool_requested") & (F.col("tool") == "ask_user"), 0.2)
         .when(is_type("policy_decision") & (F.col("decision") != "allow"), -1.0)
@@ -59,8 +67,8 @@ def order_violations(trace: DataFrame) -> DataFrame:
         .when(is_type("tool_finished") & (earlier["tool_requested"] == 0), "result_without_request")
     )
     bad = calls.select("session_id", "sequence", code.alias("code")).where("code is not null")
-    issued = F.sum((is_type("tool_requested") & (F.col("call_id") != "")).cast("int")).over(SO_FAR)
-    answered = F.sum((is_type("tool_finished") & (F.col("call_id") != "")).cast("int")).over(SO_FAR)
+    issued = F.sum((is_type("tool_requested") & (F.col("call_id") != "")).cast("int")).over(so_far())
+    answered = F.sum((is_type("tool_finished") & (F.col("call_id") != "")).cast("int")).over(so_far())
     waiting = trace.withColumn("open", issued - answered).where(is_type("model_response") & (F.col("open") != 0))
     return bad.unionByName(waiting.select("session_id", "sequence", F.lit("pending_calls_at_response").alias("code")))
 
@@ -159,7 +167,7 @@ def replayed_calls(trace: DataFrame) -> DataFrame:
 
 def state_chain(trace: DataFrame) -> DataFrame:
     """Events whose state before is not the state that the event before left; states: before, after."""
-    return trace.withColumn("expected", F.lag("after").over(SESSION)).where("expected is not null and expected <> before").select("session_id", "sequence", "expected", "before")
+    return trace.withColumn("expected", F.lag("after").over(session())).where("expected is not null and expected <> before").select("session_id", "sequence", "expected", "before")
 
 
 def job_reconciliation(jobs: DataFrame, traces: DataFrame) -> DataFrame:
