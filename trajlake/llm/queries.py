@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trajlake.llm import byte_bpe, html_text, jaccard_join, language, neighbours, packing, perplexity, quality_rules, substring_dedup, token_files
+from trajlake.llm import byte_bpe, html_text, jaccard_join, language, neighbours, oracle, packing, perplexity, quality_rules, substring_dedup, token_files
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -76,4 +76,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracle.SQL)
