@@ -75,8 +75,9 @@ def _grams(w):
 
 def test_small_blocks_give_the_same_links(spark, docs, monkeypatch):
     want = sorted(map(str, jaccard_join.join(docs).collect()))
-    monkeypatch.setattr(jaccard_join.links, "__defaults__", (60,))
-    assert sorted(map(str, jaccard_join.join(docs).collect())) == want
+    for most, hubs in ((60, 1), (25, 2)):
+        monkeypatch.setattr(jaccard_join.links, "__defaults__", (most, hubs))
+        assert sorted(map(str, jaccard_join.join(docs).collect())) == want
 
 
 def test_connected_equals_a_loop(spark):

@@ -6,7 +6,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from trajlake.operators import corpus, jobs, records, review, traces, usage
+from trajlake.functions import ids
+from trajlake.operators import corpus, jobs, records, review, selection, traces, usage
 
 JOB = "job_id string, scenario_id string, status string, success int, tokens long, goal_type string, trace_id string, attempts int, metrics map<string,double>"
 
@@ -164,3 +165,49 @@ def test_gate_needs_every_decision(spark):
     got = spark.createDataFrame([("a", "acceptable", False), ("c", "acceptable", False)], "trace_id string, verdict string, quarantine boolean")
     r = review.gate(want, got, 0.5).first()
     assert (r["missing"], r["unexpected"], r["acceptable_rate"], r["passed"]) == (1, 1, 0.5, False)
+
+
+def _greedy(rows, target, caps):
+    counts = {c: {} for c in caps}
+    left, out = sorted(rows, key=lambda r: r["seed_id"]), []
+    while len(out) < target:
+        best = None
+        for r in left:
+            if any(s < 1 and counts[c].get(r[c], 0) + 1 > int(target * s) for c, s in caps.items()):
+                continue
+            rank = (*[0.0 if s >= 1 else counts[c].get(r[c], 0) / max(1, int(target * s)) for c, s in caps.items()], r["seed_id"])
+            if best is None or rank < best[0]:
+                best = (rank, r)
+        if best is None:
+            break
+        out.append(best[1]["seed_id"])
+        left.remove(best[1])
+        for c in caps:
+            counts[c][best[1][c]] = counts[c].get(best[1][c], 0) + 1
+    return out
+
+
+def test_greedy_selection_equals_a_loop(spark):
+    rng = random.Random(2)
+    rows = [{"seed_id": f"s{k:03d}", "family": rng.choice("abcd"), "method": rng.choice("xy"), "repo": rng.choice("mnopqr")} for k in range(150)]
+    caps = {"family": 0.3, "method": 1.0, "repo": 0.25}
+    got = selection.balanced(spark.createDataFrame(rows), 40, caps)
+    assert {r["seed_id"] for r in got.collect()} == set(_greedy(rows, 40, caps))
+
+
+def test_greedy_review_equals_a_loop(spark):
+    rng = random.Random(7)
+    rows = [{"trace_id": f"t{k:03d}", "scenario_id": rng.choice("abcdefgh"), "success": rng.random() < 0.5, "risk_score": rng.choice([0, 40, 75, 1000, 1075])} for k in range(80)]
+    columns = ["scenario_id", "success"]
+    chosen = sorted((r for r in rows if r["risk_score"] >= 1000), key=lambda r: (-r["risk_score"], r["trace_id"]))[:12]
+    while len(chosen) < 12:
+        left = [r for r in rows if r not in chosen]
+        chosen.append(min(left, key=lambda r: (*[-(r[c] not in {x[c] for x in chosen}) for c in columns], -r["risk_score"], r["trace_id"])))
+    got = selection.covering(spark.createDataFrame(rows), 12, columns).orderBy("position").collect()
+    assert [r["trace_id"] for r in got] == [r["trace_id"] for r in chosen]
+
+
+def test_content_ids_follow_canonical_json(spark):
+    df = spark.createDataFrame([('{"b": 1.0, "a": "é"}',), ("no json",), (None,)], "raw string")
+    got = [r[0] for r in df.select(ids.canonical_json(F.col("raw"))).collect()]
+    assert got == ['{"a":"\\u00e9","b":1.0}', None, None]

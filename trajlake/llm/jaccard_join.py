@@ -7,9 +7,10 @@
    threshold's part of its n-grams has no partner and is done (size bound).
 3. Of the others the rarest n-grams, just enough that two linked classes must share one, form the
    candidate graph; its components hold every possible pair.
-4. Each component is a block of the product (large ones are split into pairs of bounded blocks): rows
-   are accumulated into overlap counts, pairs below the bound that their sizes set are discarded, and
-   a block ends as soon as all its classes are one component.
+4. Each component is a block of the product: rows are accumulated into overlap counts, pairs below the
+   bound that their sizes set are discarded, and a block ends as soon as all its classes are one
+   component. A large component meets its few hubs first; what these do not join is multiplied with all
+   others in pairs of bounded blocks.
 5. Links join classes to components; copies follow their class.
 
 Cases: a null or empty text has an empty set, no link and its own id as component; fewer words than n
@@ -168,24 +169,28 @@ def candidate_components(found: DataFrame) -> DataFrame:
     return connected(edges).select(F.col("node").alias("fp"), "root")
 
 
-def product(sizes: np.ndarray, sets: list[np.ndarray], need: int) -> np.ndarray:
-    """Component (as the place of a member) of each class of a block, from the overlaps of its sets."""
+def product(sizes: np.ndarray, sets: list[np.ndarray], need: int, known: np.ndarray | None = None, rows: np.ndarray | None = None) -> np.ndarray:
+    """Component (as the place of a member) of each class of a block, from the overlaps of its sets.
+
+    known: labels of classes already joined; rows: places whose row of the product is wanted (else all).
+    """
     m = len(sets)
-    label = np.arange(m)
-    if m < 2:
+    label = np.arange(m) if known is None else known.copy()
+    left = len(np.unique(label))
+    if left < 2:
         return label
     length = np.array([len(s) for s in sets])
     _, column = np.unique(np.concatenate(sets), return_inverse=True)
     owner = np.repeat(np.arange(m), length)
     order = np.argsort(column, kind="stable")
-    rows, edge = owner[order], np.concatenate([[0], np.cumsum(np.bincount(column))])
+    holders, edge = owner[order], np.concatenate([[0], np.cumsum(np.bincount(column))])
     start = np.concatenate([[0], np.cumsum(length)])
-    left = m
-    for i in np.argsort(sizes - length, kind="stable").tolist():  # those with the least of their own first
+    wanted = np.arange(m) if rows is None else rows
+    for i in wanted[np.argsort((sizes - length)[wanted], kind="stable")].tolist():  # those with the least of their own first
         if left == 1:
             break
         own = column[start[i] : start[i + 1]]
-        met = np.concatenate([rows[edge[c] : edge[c + 1]] for c in own.tolist()])
+        met = np.concatenate([holders[edge[c] : edge[c + 1]] for c in own.tolist()])
         overlap = np.bincount(met, minlength=m)
         linked = np.flatnonzero((overlap > 0) & (100 * overlap >= need * (sizes[i] + sizes - overlap)))
         linked = np.unique(label[linked])
@@ -195,23 +200,78 @@ def product(sizes: np.ndarray, sets: list[np.ndarray], need: int) -> np.ndarray:
     return label
 
 
-def links(found: DataFrame, rooted: DataFrame, need: int, most: int = 4_000_000) -> DataFrame:
-    """Edges (a, b) between classes whose components are those of all links. ``most`` n-grams make a block."""
-    members = found.join(rooted, "fp").select("fp", "n", "grams", "root")
-    size = members.groupBy("root").agg(F.sum(F.octet_length("grams") / 8).alias("grams"))
-    blocks = size.select("root", F.ceil(F.col("grams") * 2 / most).cast("int").alias("blocks"))
-    blocks = blocks.withColumn("blocks", F.when(F.col("blocks") <= 2, 1).otherwise(F.col("blocks")))
-    own = members.join(blocks, "root").withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
-    paired = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    paired = paired.select("fp", "n", "grams", "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+def _multiply(need: int):
+    """Edges of one block; rows with ``whole`` false only stand against the others."""
 
-    def multiply(table: pa.Table) -> pa.Table:
+    def run(table: pa.Table) -> pa.Table:
         fp = table["fp"].to_numpy()
-        label = product(table["n"].to_numpy().astype(np.int64), [np.frombuffer(x, U) for x in table["grams"].to_pylist()], need)
-        tied = np.flatnonzero(label != np.arange(len(fp)))
+        known = np.unique(table["label"].to_numpy(), return_index=True, return_inverse=True)
+        first = known[1][known[2]]  # the first member with the same label
+        rows = np.flatnonzero(table["whole"].to_numpy(zero_copy_only=False))
+        label = product(table["n"].to_numpy().astype(np.int64), [np.frombuffer(x, U) for x in table["grams"].to_pylist()], need, first, rows)
+        tied = np.flatnonzero(label != first)
         return pa.table({"a": pa.array(fp[tied]), "b": pa.array(fp[label[tied]])})
 
-    return paired.groupBy("root", "i", "j").applyInArrow(multiply, "a long, b long")
+    return run
+
+
+def _against_hubs(need: int):
+    """Edges between the classes of a large component and its hubs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = [], []
+            for r in batch.to_pylist():
+                own = np.frombuffer(r["grams"], U)
+                for h in r["hubs"]:
+                    if h["fp"] != r["fp"]:
+                        overlap = int(np.isin(own, np.frombuffer(h["grams"], U)).sum())
+                        if overlap and 100 * overlap >= need * (r["n"] + h["n"] - overlap):
+                            a.append(r["fp"])
+                            b.append(h["fp"])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def links(found: DataFrame, rooted: DataFrame, need: int, most: int = 250_000, hubs: int = 8) -> DataFrame:
+    """Edges (a, b) between classes whose components are those of all links.
+
+    A component of at most ``most`` n-grams is one block. A larger one is first held against a few
+    hubs, its classes with the least of their own: copies of one text nearly all meet there. Of the rest
+    each is held against all others in pairs of bounded blocks, so the work grows with the rest and not
+    with the square of the component.
+    """
+    members = written(found.join(rooted, "fp").select("fp", "n", "grams", "root"))
+    count = F.octet_length("grams") / 8
+    size = members.groupBy("root").agg(F.sum(count).alias("all"))
+    large = written(size.where(F.col("all") > most).select("root"))
+    block = "a long, b long"
+    small = members.join(large, "root", "left_anti").withColumn("label", F.col("fp")).withColumn("whole", F.lit(True))
+    edges = small.groupBy("root").applyInArrow(_multiply(need), block)
+    if large.isEmpty():
+        return edges
+    big = written(members.join(large, "root"))
+    slot = F.pmod(F.xxhash64("fp"), F.lit(hubs))
+    picked = big.groupBy("root", slot.alias("slot")).agg(F.min_by(F.struct("fp", "n", "grams"), F.struct(F.col("n") - count, "fp")).alias("hub"))
+    central = written(picked.groupBy("root").agg(F.collect_list("hub").alias("hubs")))  # at most ``hubs`` a component
+    met = written(big.join(F.broadcast(central) if central.count() <= 1000 else central, "root").select("fp", "n", "grams", "hubs").mapInArrow(_against_hubs(need), block))
+    labels = connected(met).select(F.col("node").alias("fp"), F.col("root").alias("label"))
+    labelled = written(big.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp")))
+    shares = labelled.groupBy("root", "label").agg(F.sum(count).alias("grams"))
+    mass = shares.groupBy("root").agg(F.max_by("label", F.struct("grams", "label")).alias("mass"), F.max("grams").alias("held"), F.sum("grams").alias("all"))
+    blocks = mass.select("root", "mass", F.ceil(2 * F.col("held") / most).cast("int").alias("wide"), F.ceil(2 * (F.col("all") - F.col("held")) / most).cast("int").alias("rest")).where("rest > 0")
+    placed = labelled.join(blocks, "root").withColumn("whole", F.col("label") != F.col("mass"))
+    place = F.pmod(F.xxhash64("fp"), F.when(F.col("whole"), F.col("rest")).otherwise(F.col("wide"))).cast("int")
+    placed = placed.withColumn("place", place)
+    columns = ["fp", "n", "grams", "root", "label", "whole"]
+    over = [
+        placed.where("not whole").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("rest") - 1))).select(*columns, "i", F.concat(F.lit("m"), F.col("place")).alias("j")),
+        placed.where("whole").withColumn("j", F.explode(F.sequence(F.lit(0), F.col("wide") - 1))).select(*columns, F.col("place").alias("i"), F.concat(F.lit("m"), F.col("j")).alias("j")),
+        placed.where("whole").withColumn("o", F.explode(F.sequence(F.lit(0), F.col("rest") - 1))).select(*columns, F.least("place", "o").alias("i"), F.concat(F.lit("r"), F.greatest("place", "o")).alias("j")),
+    ]
+    crossed = over[0].unionByName(over[1]).unionByName(over[2]).groupBy("root", "i", "j").applyInArrow(_multiply(need), block)
+    return edges.unionByName(met).unionByName(crossed)
 
 
 def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, threshold: float = 0.75) -> DataFrame:

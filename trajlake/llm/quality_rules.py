@@ -53,7 +53,7 @@ def statistics(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.col("n_symbols").cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.when(F.size("words") >= 5, F.transform(F.sequence(F.lit(1), F.size("words") - 4), lambda i: F.xxhash64(F.slice("words", i, 5)))).alias("windows"),
+        F.when(F.size("words") >= 5, F.transform(F.slice("words", F.lit(1), F.size("words") - 4), lambda w, i: F.xxhash64(w, *[F.get("words", i + k) for k in range(1, 5)]))).alias("windows"),
     )
     repeated = windowed.withColumn("clean", F.coalesce(F.size(F.array_distinct("windows")) == F.size("windows"), F.lit(True)))
     # only texts with a repeated window are sorted: equal hashes lie side by side with their places

@@ -16,7 +16,7 @@ FITS = " OR ".join(f"(task_family = '{f}' AND len(list_intersect(verifier_types,
 
 
 @query(W + f"SELECT seed_id, md5({NORM}) AS query_md5, len(string_split({NORM}, ' ')) AS n_tokens FROM v_seeds")
-def normalized_query_digest(spark, sf):
+def normalized_query_(spark, sf):
     n = normalized_query(F.col("query"))
     return A.seeds(spark, sf).select("seed_id", F.md5(n.cast("binary")).alias("query_md5"), F.size(F.split(n, " ")).cast("long").alias("n_tokens"))
 

@@ -14,9 +14,10 @@ def query(sql: str | None = None) -> Callable:
     """Register a function under its name, with its SQL if there is one."""
 
     def put(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        QUERIES[fn.__name__] = fn
+        name = fn.__name__.rstrip("_")
+        QUERIES[name] = fn
         if sql:
-            ORACLE[fn.__name__] = sql
+            ORACLE[name] = sql
         return fn
 
     return put
