@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from trajlake.llm.text import pieces
+from trajlake.llm.text import SMALL_PIECE_BYTES, pieces
 from trajlake.llm.tokens import text_ids
 from trajlake.llm.workspace import documents
 
@@ -113,7 +113,7 @@ def pack(df: DataFrame, tokenizer_path: str, window: int = 1024, part: int = 256
         def batch_of(rows: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=[f.split()[0] for f in SCHEMA.split(", ")])
 
-        for piece in pieces(batches):
+        for piece in pieces(batches, limit=SMALL_PIECE_BYTES):
             ids, bounds = text_ids(piece.column(1), tokenizer_path, "pattern")
             rows = []
             for doc, a, b in zip(piece.column(0).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):

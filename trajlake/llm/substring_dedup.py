@@ -29,7 +29,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from trajlake.llm.blocks import U, deal, gathered, repeated, runs, shards_of, sliding
-from trajlake.llm.text import pieces, span_hash, utf8, window_hash, words
+from trajlake.llm.text import pieces, release, span_hash, utf8, window_hash, words
 from trajlake.llm.workspace import written
 
 _TOP = U(0xFFFFFFFFFFFFFFFF)
@@ -172,7 +172,7 @@ def repeated_windows(docs: DataFrame, window: int, prefix: int) -> tuple[DataFra
     return packed, deep.groupBy("shard").applyInArrow(recurring, _EMPTY)
 
 
-def _unpacked(table: pa.Table, limit: int = 8 << 20) -> Iterator[pa.Table]:
+def _unpacked(table: pa.Table, limit: int = 2 << 20) -> Iterator[pa.Table]:
     """Documents of packed rows, a few MB of text at a time."""
     held, size = [], 0
     for raw in table["docs"].to_pylist():
@@ -182,8 +182,10 @@ def _unpacked(table: pa.Table, limit: int = 8 << 20) -> Iterator[pa.Table]:
         if size >= limit:
             yield pa.concat_tables(held).combine_chunks()
             held, size = [], 0
+            release()
     if held:
         yield pa.concat_tables(held).combine_chunks()
+    release()
 
 
 def remove(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35, prefix: int = 8, carry: list[str] | None = None) -> DataFrame:

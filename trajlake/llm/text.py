@@ -6,6 +6,7 @@ strings one by one, and treat a null text as an empty one.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,6 +16,8 @@ import pyarrow.compute as pc
 
 U = np.uint64
 PIECE_BYTES = 4 << 20
+#: Text bytes at a time where many arrays as long as the text live at once.
+SMALL_PIECE_BYTES = 1 << 20
 
 #: White space of the word rule used by the documents' contracts: U+0020 and U+0009 to U+000D.
 _SPACE = np.zeros(256, dtype=bool)
@@ -57,6 +60,14 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0] : off[-1]], off - off[0]
 
 
+def release() -> None:
+    """Give freed memory back to the system: a worker stays for later tasks, next to its executor's heap."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about ``limit`` text bytes each; one longer text is a slice of its own."""
     for batch in batches:
@@ -69,6 +80,8 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             stop = min(max(stop, row + 1), batch.num_rows)
             yield batch.slice(row, stop - row)
             row = stop
+        release()
+    release()
 
 
 def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -200,7 +213,7 @@ class SpanCoder:
     each. What is kept is bounded: beyond ``limit`` spans it starts anew.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], limit: int = 1_500_000):
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], limit: int = 1_000_000):
         self.encode, self.limit = encode, limit
         self._clear()
 
