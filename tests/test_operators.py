@@ -100,6 +100,23 @@ def test_passages_are_found_where_they_begin_inside_a_word(spark):
     assert [(r["value_id"], r["text_id"]) for r in corpus.passage_leaks(values, texts).collect()] == [(7, 1)]
 
 
+def test_values_of_few_words_are_found_as_a_plain_search_finds_them(spark):
+    rng = random.Random(3)
+    texts = [(k, "".join(rng.choice(["ab", "b", "c", "é", " ", "\n", "aab "]) for _ in range(rng.randrange(60)))) for k in range(40)]
+    texts += [(40, None), (41, ""), (42, "x" * 250 + "needle-of-a-leak" + "y" * 300), (43, "see tests/hidden/test_a.py:3"), (44, "12 33 45 6")]
+    values = ["", " ", " \n", "a", "ab", "b c", "ab ", " b", "  c", "ab b\nc", "needle-of-a-leak", "tests/hidden/test_a.py", "2 33 45 6", "2 33 46 6", "b ab aab b c ab b aab b", "nowhere", None]
+    values += [t[i : i + n] for _, t in texts[:40] for i, n in [(rng.randrange(30), rng.randrange(1, 25))]]
+    rows = list(enumerate(values)) + [(0, "needle-of-a-leak")]
+    got = corpus.passage_leaks(spark.createDataFrame(rows, "value_id long, value string"), spark.createDataFrame(texts, "text_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == sorted((v, t) for v, x in rows for t, y in texts if x is not None and y is not None and x in y)
+
+
+def test_fragments_of_hidden_values(spark):
+    value = f"run src/app/test_hidden.py with my_secret_key and {'a' * 64} not {'b' * 65} or a/b"
+    got = corpus.sensitive_fragments(spark.createDataFrame([(1, value), (2, None)], "value_id long, value string")).collect()
+    assert sorted(map(tuple, got)) == [(1, "a" * 64), (1, "my_secret_key"), (1, "src/app/test_hidden.py"), (1, "test_hidden.py")]
+
+
 def test_last_allowlist_entry_wins(spark):
     r = spark.createDataFrame([(1, "repo", "MIT")], "position long, repository string, license string")
     a = spark.createDataFrame([("repo", "GPL-3.0", 1), ("repo", "MIT", 2)], "repository string, license string, position long")

@@ -143,18 +143,66 @@ def split_leakage(seeds: DataFrame, key: Column, left: str = "train", right: str
     return counts.where("left_rows > 0 and right_rows > 0")
 
 
+#: Characters of a word's part that a short value is sought by.
+PART = 8
+#: Characters of a piece of a long word; a substring is sought from the start of its string.
+CHUNK = 256
+
+
+def sensitive_fragments(values: DataFrame) -> DataFrame:
+    """What in a hidden value tells it by itself, of 8 characters or more: value_id, value.
+
+    These are paths and their base names, 64 hex digits on their own, and words with a marker in them.
+    """
+    paths = F.regexp_extract_all("value", F.lit("(?:[A-Za-z0-9_.-]+/)+[A-Za-z0-9_.-]+"), 0)
+    names = F.transform(paths, lambda p: F.substring_index(p, "/", -1))
+    hashes = F.filter(F.regexp_extract_all("value", F.lit("[0-9a-fA-F]{64,}"), 0), lambda h: F.length(h) == 64)
+    marked = F.filter(F.regexp_extract_all("value", F.lit("[A-Za-z0-9_.-]{8,}"), 0), lambda t: F.lower(t).rlike("hidden|private|secret|evaluator"))
+    return values.select("value_id", F.explode(F.array_distinct(F.concat(paths, names, hashes, marked))).alias("value")).where(F.length("value") >= 8)
+
+
 def passage_leaks(values: DataFrame, texts: DataFrame, gram: int = 8) -> DataFrame:
-    """Texts that contain a value: value_id, text_id. Candidates share the value's first words, then the whole is compared.
+    """Texts that contain a value: value_id, text_id. Candidates share words with the value, then the whole is compared.
 
-    values: value_id, value; texts: text_id, text. Both are split at single spaces and line ends to find
-    where a value may begin, so the join is by key; only those places are compared as strings.
+    values: value_id, value (an id may have several values); texts: text_id, text. Both are split at
+    single spaces and line ends to find where a value may begin, so the join is by key; only those
+    places are compared as strings. Values of fewer than gram + 2 words go by their rarest word.
     """
+    values = values.withColumn("key", F.xxhash64("value_id", "value"))
+    size = F.size(F.split("value", r"[ \n]"))
     head = F.slice(F.split("value", r"[ \n]"), 2, gram)  # whole words: the first may begin inside a word
-    keyed = values.select("value_id", "value", F.xxhash64(head).alias("h")).where(F.size(F.split("value", r"[ \n]")) >= gram + 2)
+    keyed = values.where(size >= gram + 2).select("key", F.xxhash64(head).alias("h"))
     words = texts.select("text_id", F.split("text", r"[ \n]").alias("w"))
     grams = words.where(F.size("w") >= gram).select("text_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - gram + 1), lambda i: F.xxhash64(F.slice("w", i, gram))))).alias("h"))
-    met = grams.join(keyed.select("value_id", "h"), "h").select("value_id", "text_id").distinct()
-    return met.join(values, "value_id").join(texts, "text_id").where(F.contains("text", "value")).select("value_id", "text_id")
+    met = grams.join(keyed, "h").select("key", "text_id").union(_short_candidates(values.where(size < gram + 2), texts)).distinct()
+    return met.join(values, "key").join(texts, "text_id").where(F.contains("text", "value")).select("value_id", "text_id")
+
+
+def _short_candidates(values: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs that share the value's rarest word: key, text_id. values: key, value, of few words.
+
+    Inside a value its words are whole; the first may end a word of the text, the last begin one, and an only
+    one may stand anywhere in a word. Words of the texts are joined by their parts that such a word can have.
+    """
+    split = F.split("value", r"[ \n]")
+    pieces = values.select("key", F.posexplode(split).alias("at", "piece"), F.size(split).alias("n")).where("piece <> ''")
+    how = F.when(F.col("n") == 1, "in").when(F.col("at") == 0, "end").when(F.col("at") == F.col("n") - 1, "start").otherwise("whole")
+    pieces = pieces.withColumn("how", how).withColumn("q", F.when(F.col("how") == "whole", 0).otherwise(F.least(F.length("piece"), F.lit(PART))))
+    pieces = pieces.withColumn("part", F.expr("CASE how WHEN 'whole' THEN piece WHEN 'end' THEN right(piece, q) ELSE left(piece, q) END"))
+    used = pieces.agg(F.collect_set(F.struct("how", "q")).alias("used")).where(F.size("used") > 0)  # one row at most
+    words = texts.crossJoin(F.broadcast(used)).select("text_id", "used", F.explode(F.array_distinct(F.split("text", r"[ \n]"))).alias("word")).where("word <> ''")
+    known = words.groupBy("word").agg(F.count("*").alias("df"), F.first("used").alias("used")).select("word", "df", F.explode("used").alias("u")).select("word", "df", "u.how", "u.q")
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.length("word") - 1) / CHUNK)), lambda c: F.substring("word", (c * CHUNK + 1).cast("int"), F.lit(CHUNK + PART - 1)))
+    inner = F.flatten(F.transform(chunks, lambda c: F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - F.col("q") + 1, F.lit(1))), lambda i: F.substring(c, i, F.col("q")))))
+    parts = F.when(F.col("how") == "in", F.array_distinct(inner)).otherwise(F.array(F.expr("CASE how WHEN 'whole' THEN word WHEN 'end' THEN right(word, q) ELSE left(word, q) END")))
+    fits = "CASE how WHEN 'whole' THEN word = piece WHEN 'end' THEN endswith(word, piece) WHEN 'start' THEN startswith(word, piece) ELSE contains(word, piece) END"
+    hits = known.select("word", "df", "how", "q", F.explode(parts).alias("part")).join(pieces, ["how", "q", "part"]).where(fits).select("key", "at", "word", "df")
+    found = hits.groupBy("key", "at").agg(F.sum("df").alias("df")).groupBy("key").agg(F.count("*").alias("pieces"), F.min(F.struct("df", "at")).alias("best"))
+    asked = pieces.groupBy("key").agg(F.countDistinct("at").alias("pieces"))  # a value with a word that no text has is nowhere
+    anchors = found.join(asked, ["key", "pieces"]).select("key", F.col("best.at").alias("at")).join(hits, ["key", "at"]).select("key", "word").distinct()
+    blank = values.where("translate(value, ' \\n', '') = ''")  # of separators alone: few that differ
+    everywhere = texts.join(F.broadcast(blank.select("value").distinct()), F.contains("text", "value")).select("text_id", "value").join(blank, "value")
+    return words.join(anchors, "word").select("key", "text_id").union(everywhere.select("key", "text_id"))
 
 
 def stratified(rows: DataFrame, strata: list[str], order: str, per_stratum: int) -> DataFrame:

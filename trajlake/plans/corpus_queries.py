@@ -130,10 +130,14 @@ def split_leakage(spark, sf):
     return C.split_leakage(A.seeds(spark, sf), normalized_query(F.col("query")))
 
 
-@query("SELECT item_id AS value_id, doc_id AS text_id FROM benchmark b JOIN documents d ON contains(d.text, b.text) WHERE len(regexp_split_to_array(b.text, '[ \\n]')) >= 10")
+@query(
+    """WITH v AS (SELECT item_id AS value_id, text AS value FROM benchmark), p AS (SELECT value_id, value, regexp_extract_all(value, '(?:[A-Za-z0-9_.-]+/)+[A-Za-z0-9_.-]+') AS paths FROM v),
+ f AS (SELECT value_id, unnest(list_concat(paths, list_transform(paths, lambda x: regexp_replace(x, '.*/', '')), list_filter(regexp_extract_all(value, '[0-9a-fA-F]{64,}'), lambda x: len(x) = 64), list_filter(regexp_extract_all(value, '[A-Za-z0-9_.-]{8,}'), lambda x: regexp_matches(lower(x), 'hidden|private|secret|evaluator')))) AS value FROM p)
+ SELECT DISTINCT value_id, doc_id AS text_id FROM (SELECT * FROM v UNION SELECT * FROM f WHERE len(value) >= 8) s JOIN documents d ON contains(d.text, s.value)"""
+)
 def cross_corpus_leaks(spark, sf):
     values = A.table(spark, sf, "benchmark").select(F.col("item_id").alias("value_id"), F.col("text").alias("value"))
-    return C.passage_leaks(values, A.table(spark, sf, "documents").select(F.col("doc_id").alias("text_id"), "text"))
+    return C.passage_leaks(values.union(C.sensitive_fragments(values)).distinct(), A.table(spark, sf, "documents").select(F.col("doc_id").alias("text_id"), "text")).distinct()
 
 
 @query(W + ", x AS (SELECT seed_id, task_family, language, CASE WHEN len(verifier_types) = 0 THEN ['none'] ELSE verifier_types END AS v FROM v_seeds), s AS (SELECT seed_id, task_family, language, unnest(v) AS verifier FROM x) SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY task_family, language, verifier ORDER BY seed_id) AS INTEGER) AS rank FROM s) WHERE rank <= 3")
