@@ -228,3 +228,12 @@ def test_content_ids_follow_canonical_json(spark):
     df = spark.createDataFrame([('{"b": 1.0, "a": "é"}',), ("no json",), (None,)], "raw string")
     got = [r[0] for r in df.select(ids.canonical_json(F.col("raw"))).collect()]
     assert got == ['{"a":"\\u00e9","b":1.0}', None, None]
+
+
+def test_every_scenario_gets_its_assignments(spark, tmp_path):
+    from trajlake.plans.record_queries import rollout_assignments
+
+    spark.createDataFrame([(k,) for k in (3, 499, 500, 70_001)], "c_custkey long").write.parquet(str(tmp_path / "customer.parquet"))
+    got = rollout_assignments(spark, str(tmp_path)).collect()
+    assert sorted((r["scenario_id"], r["rollout_index"]) for r in got) == sorted((f"c_{k}", i) for k in (3, 499, 500, 70_001) for i in (0, 1))
+    assert len({r["job_id"] for r in got}) == 8

@@ -204,9 +204,9 @@ def spec_combine_duplicates(spark, sf):
     return p.select(F.col("p_partkey").alias("spec"), F.concat("p_brand", F.lit("|"), "p_type").alias("target_key"), (F.row_number().over(Window.partitionBy("p_brand", "p_type").orderBy("p_partkey")) > 1).alias("duplicate"))
 
 
-@query("""SELECT 'c_' || CAST(c_custkey AS VARCHAR) AS scenario_id, i AS rollout_index, 'job_' || substr(sha256(concat_ws(':', 'c_' || CAST(c_custkey AS VARCHAR), CAST(i AS VARCHAR), 'model', 'contract')), 1, 20) AS job_id FROM customer, (SELECT unnest([0, 1]) AS i) WHERE c_custkey < 500""")
+@query("""SELECT 'c_' || CAST(c_custkey AS VARCHAR) AS scenario_id, i AS rollout_index, 'job_' || substr(sha256(concat_ws(':', 'c_' || CAST(c_custkey AS VARCHAR), CAST(i AS VARCHAR), 'model', 'contract')), 1, 20) AS job_id FROM customer, (SELECT unnest([0, 1]) AS i)""")
 def rollout_assignments(spark, sf):
-    c = A.table(spark, sf, "customer").where("c_custkey < 500").select(F.concat(F.lit("c_"), F.col("c_custkey").cast("string")).alias("scenario_id"), F.explode(F.array(F.lit(0), F.lit(1))).alias("rollout_index"))
+    c = A.table(spark, sf, "customer").select(F.concat(F.lit("c_"), F.col("c_custkey").cast("string")).alias("scenario_id"), F.explode(F.array(F.lit(0), F.lit(1))).alias("rollout_index"))
     return c.withColumn("job_id", F.concat(F.lit("job_"), F.substring(F.sha2(F.concat_ws(":", "scenario_id", F.col("rollout_index").cast("string"), F.lit("model"), F.lit("contract")), 256), 1, 20)))
 
 
