@@ -320,6 +320,20 @@ def test_page_layout():
     assert html_text.render(PAGE).split("\n") == ["Head & x", "", "one two three", "", "four", "five", "", "- a", "- b", "  3. c", "  4. d", "", "Name      | Val", "long name | 1", "x         | 22", "", "  a", "   b", "", "S", "a < b end"]
 
 
+def test_no_visible_text_is_lost():
+    for page, lines in [
+        ("<table><tr><form><td>a</td><td>b</td></form></tr><tr><td>c<td>d</table>", ["a | b", "c | d"]),
+        ("<table><tr>in row <b>bold</b><td>a</td><form>ask <td>b</td><td hidden>no</td></form></tr><tr>next<td>c</table>", ["in row boldask", "next", "a | b", "c"]),
+        ("<table><tr><div><table><tr><td>inner</table></div><td>a</table>", ["inner", "a"]),
+        ("x <svg><title>no</title><defs><text>no</text></defs>no<g><text>one <tspan>two</tspan></text><text>three</text><text display=none>no</text></g></svg> y", ["x one two three y"]),
+        ("<svg><circle r=1><p>after", ["after"]),
+        ("<svg><foreignObject><p>in</p></foreignObject><text>t</text></svg>", ["in", "t"]),
+        ("<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow><annotation>no</annotation></semantics></math> end", ["x=1 end"]),
+        ("a<textarea>b &lt;p>\n  c</textarea>d", ["a", "b <p>", "  c", "d"]),
+    ]:
+        assert html_text.render(page).split("\n") == lines, page
+
+
 def test_pages_never_fail(spark):
     odd = [None, "", "<", "</", "<<>>", "<p title=\"a>b", "<table><td>x", "<div>" * 4000 + "deep", "<b><table><tr></b><td>q</table>", "<td>alone", "<ul>text<li>item", "<td colspan=0 rowspan=99999>x</td>", "<select><option>a<option selected>b</select>", "&#x110000; &bogus; &amp"]
     df = spark.createDataFrame([(k, h, "clash") for k, h in enumerate(odd)], "page_id long, html string, text string")

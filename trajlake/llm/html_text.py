@@ -31,10 +31,14 @@ _BLANKS = re.compile(r"[ \t\n\r\f]+")
 # Element names of the HTML standard by their behaviour.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
-_HIDDEN = frozenset("head script style title meta link base template noscript noembed noframes iframe datalist audio video canvas object param source track area map rp svg math textarea".split())
+_HIDDEN = frozenset("head script style title meta link base template noscript noembed noframes iframe datalist audio video canvas object param source track area map rp annotation annotation-xml mphantom".split())
 _LOOSE = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure hr xmp fieldset menu".split())
-_BLOCK = _LOOSE | frozenset("html body div section article aside header footer nav main address li dt dd tr td th thead tbody tfoot caption figcaption form details summary center legend dialog hgroup search optgroup option".split())
+_BLOCK = _LOOSE | frozenset("html body div section article aside header footer nav main address li dt dd tr td th thead tbody tfoot caption figcaption form details summary center legend dialog hgroup search optgroup option textarea".split())
 _ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul li dt dd".split())
+_UNDRAWN = frozenset("defs desc metadata symbol clippath mask pattern marker lineargradient radialgradient filter".split())
+#: HTML elements that end an open svg or math, unless they stand in an element that may hold HTML.
+_ENDS_FOREIGN = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+_HOLDS_HTML = frozenset("foreignobject desc mi mo mn ms mtext annotation-xml".split())
 _SECTIONS = frozenset(("thead", "tbody", "tfoot"))
 #: A start tag of the key ends open elements of the first set, looking no further than the second.
 _IMPLIES = {
@@ -75,6 +79,7 @@ def parse(page: str) -> Element:
     root = Element("#root")
     stack = [root]
     at, end = 0, len(page)
+    foreign = re.search(r"<(?:svg|math)[\s/>]", page, re.I) is not None
 
     def text(value: str) -> None:
         if value:
@@ -119,6 +124,14 @@ def parse(page: str) -> Element:
             continue
         if stack[-1].tag == "head" and name not in _HEADS:
             stack.pop()
+        if foreign and name in _ENDS_FOREIGN:
+            lowest = len(stack)
+            for k in range(len(stack) - 1, 0, -1):
+                if stack[k].tag in _HOLDS_HTML:
+                    break
+                if stack[k].tag in ("svg", "math"):
+                    lowest = k
+            del stack[lowest:]
         if name in _ENDS_P and len(stack) > 1:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == "p":
@@ -138,7 +151,8 @@ def parse(page: str) -> Element:
             continue
         if name in _RAW:
             done = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
-            node.children.append(page[at : done.start() if done else end])
+            inside = page[at : done.start() if done else end]
+            node.children.append(html.unescape(inside) if name == "textarea" else inside)
             at = done.end() if done else end
         elif len(stack) < DEPTH and not m[3].endswith("/") or name in _BLOCK and len(stack) < DEPTH:
             stack.append(node)
@@ -228,10 +242,34 @@ def _walk(node: Element, flow: _Flow, pre: bool) -> None:
             flow.inline('"')
             _walk(child, flow, pre)
             flow.inline('"')
+        elif child.tag == "svg":
+            _svg(child, flow, pre, False)
+        elif child.tag == "mtd":
+            flow.inline(" ")
+            _walk(child, flow, pre)
+            flow.inline(" ")
         else:
             _walk(child, flow, pre)
 
 
+def _svg(node: Element, flow: _Flow, pre: bool, drawn: bool) -> None:
+    """What a drawing shows as text: its text elements, each apart, and HTML in it."""
+    for child in node.children:
+        if isinstance(child, str):
+            if drawn:
+                flow.inline(child)
+        elif child.tag in _UNDRAWN or hidden(child, node) or child.get("display") == "none" or child.get("visibility") == "hidden":
+            continue
+        elif child.tag == "foreignobject":
+            flow.block(_lines(child, pre), False)
+        elif child.tag == "text":
+            flow.inline(" ")
+            _svg(child, flow, pre, True)
+            flow.inline(" ")
+        else:
+            _svg(child, flow, pre, drawn)
+
+
 def _options(node: Element) -> list[tuple[str, bool]]:
     out = []
     for c in node.children:
@@ -254,7 +292,7 @@ def _block(node: Element, pre: bool) -> list[str]:
         return _table(node, pre)
     if node.tag in ("ul", "ol", "menu"):
         return _list(node, pre)
-    lines = _lines(node, pre or node.tag in ("pre", "xmp"))
+    lines = _lines(node, pre or node.tag in ("pre", "xmp", "textarea"))
     if node.tag in ("blockquote", "dd"):
         return ["  " + x if x else x for x in lines]
     if node.tag == "li":
@@ -292,8 +330,30 @@ def _span(cell: Element, name: str, most: int) -> int:
     return max(1, min(most, int(value))) if value and re.fullmatch(r"\d{1,6}", value.strip()) else 1
 
 
+def _holds_cell(node: Element) -> bool:
+    return any(c.tag in ("td", "th") or c.tag != "table" and _holds_cell(c) for c in node.children if isinstance(c, Element))
+
+
+def _cells(parent: Element, aside: list[Element | str]) -> list[Element]:
+    """Cells of a row, also those below elements that are no cells; all else goes aside."""
+    out: list[Element] = []
+    for child in parent.children:
+        if isinstance(child, str):
+            if not child.isspace() and not (parent.tag == "details" and parent.get("open") is None):
+                aside.append(child)
+        elif hidden(child, parent):
+            continue
+        elif child.tag in ("td", "th"):
+            out.append(child)
+        elif child.tag != "table" and _holds_cell(child):
+            out += _cells(child, aside)
+        else:
+            aside.append(child)
+    return out
+
+
 def _table(node: Element, pre: bool) -> list[str]:
-    rows: dict[str, list[Element]] = {"thead": [], "tbody": [], "tfoot": []}
+    rows: dict[str, list[list[Element]]] = {"thead": [], "tbody": [], "tfoot": []}
     out: list[str] = []
     aside = Element("div")  # what is in no cell stands before the table
 
@@ -307,7 +367,10 @@ def _table(node: Element, pre: bool) -> list[str]:
             elif child.tag in _SECTIONS:
                 take(child, child.tag)
             elif child.tag == "tr":
-                rows[section].append(child)
+                stray = Element("div")
+                rows[section].append(_cells(child, stray.children))
+                if stray.children:
+                    aside.children.append(stray)
             elif child.tag not in ("colgroup", "col"):
                 aside.children.append(child)
 
@@ -319,9 +382,7 @@ def _table(node: Element, pre: bool) -> list[str]:
     for row in (*rows["thead"], *rows["tbody"], *rows["tfoot"]):
         cells, column = {}, 0
         below: dict[int, int] = {}
-        for cell in row.children:
-            if not isinstance(cell, Element) or cell.tag not in ("td", "th") or hidden(cell, row):
-                continue
+        for cell in row:
             while held.get(column, 0) > 0:
                 column += 1
             span = _span(cell, "colspan", 1000)
