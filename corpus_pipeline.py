@@ -22,7 +22,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Reject documents without a letter and those whose language stays ambiguous between two codewords."""
     model = language.fit(docs)
     carried = [c for c in docs.columns if c not in ("doc_id", "text")]
-    named = language.predict(docs, model, carry=[*carried, "text"], gap=0.005)
+    named = language.predict(docs, model, carry=[*carried, "text"])
     return named.where("lang_pred <> 'und' and not ambiguous").select(docs.columns)
 
 

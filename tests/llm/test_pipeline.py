@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import random
 
 import corpus_pipeline
 
@@ -44,3 +45,18 @@ def test_an_empty_table_passes_through(spark, tmp_path):
         docs.write.parquet(str(tmp_path / name))
         docs = spark.read.parquet(str(tmp_path / name))
     assert docs.count() == 0
+
+
+def test_mixed_and_foreign_documents_are_rejected(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rng, by = random.Random(1), {}
+    for r in docs.where("n_chars > 200").orderBy("doc_id").collect():
+        by.setdefault(r["lang"], []).append(r["text"][:150])
+    mixed = [(10**9 + k, " ".join(rng.choice(by[lang]) for lang in rng.sample(sorted(by), 2))) for k in range(100)]
+    foreign = ["De kat zit op de mat en kijkt naar de vogels in de tuin.", "Mačka sjedi na prostirci i gleda ptice u vrtu.", "Kissa istuu matolla ja katselee lintuja puutarhassa.", "Danas je lijepo vrijeme i idemo na plažu."]
+    planted = spark.createDataFrame(mixed + [(2 * 10**9 + k, t) for k, t in enumerate(foreign)], "doc_id long, text string")
+    after = corpus_pipeline.language_id(spark, docs.unionByName(planted, allowMissingColumns=True), SF)
+    kept = {r["doc_id"] for r in after.select("doc_id").collect()}
+    assert sum(k in kept for k, _ in mixed) <= 75
+    assert not any(2 * 10**9 + k in kept for k in range(len(foreign)))
+    assert sum(k < 10**9 for k in kept) >= 0.98 * docs.where("text rlike '[a-zA-Z]'").count()
