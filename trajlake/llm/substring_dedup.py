@@ -1,4 +1,4 @@
-"""Exact substring deduplication: prefix-partitioned suffix trees cut at a fixed depth.
+"""Exact substring deduplication: windows grouped by a prefix of fixed length, no suffix tree is held.
 
 A repeated passage is a node of the corpus suffix tree at least ``window`` words deep with two or more
 suffixes below it. The tree is never built in one place:
@@ -8,8 +8,8 @@ suffixes below it. The tree is never built in one place:
    places. Prefixes that occur once are leaves and go at once.
 2. Of the windows whose prefix recurs, the prefix grows to the window's full depth: suffixes with equal
    fingerprints of all its words are one deep node; those with two or more suffixes are the repeats.
-   Groups are dealt by hash, so their number, not their size, grows with the input; a prefix that is
-   too common is split by its longer continuation.
+   Groups are dealt by hash. All positions of one prefix, and of one window, meet in one task: a group
+   that is too common is not split, so its size grows with the input.
 3. Every word that a repeated window covers is removed from its document.
 
 Documents travel as compressed blocks. Cases: a null or empty text has no words and nothing removed;
