@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from trajlake.functions import ids
@@ -41,6 +42,30 @@ def test_numbering_equals_a_sort(spark):
     assert [r["id"] for r in jobs.numbered(df, "id").orderBy("rn").collect()] == sorted(ids)
 
 
+@pytest.mark.parametrize("advisory", ["64m", "1m"])
+def test_numbering_of_many_partitions(spark, advisory):
+    """Whatever partitions the planner makes, no row is lost and none has another's number."""
+    keys = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": advisory, "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false", "spark.sql.shuffle.partitions": "23"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(1_500_000).select(F.format_string("job_%08d", "id").alias("job_id"), "id", F.repeat(F.lit("x"), 100).alias("pad"), F.lit(2).alias("tokens")).repartition(13)
+        r = jobs.numbered(df, "job_id").agg(F.count("*"), F.sum((F.col("rn") != F.col("id") + 1).cast("int"))).first()
+        assert tuple(r) == (1_500_000, 0)
+        admitted = jobs.budget_prefix(df, 1_000_001).agg(F.count("*"), F.max("used"), F.max("position")).first()
+        assert tuple(admitted) == (500_000, 1_000_000, 500_000)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_numbering_of_nulls_and_nothing(spark):
+    df = spark.createDataFrame([("b",), (None,), ("a",)], "id string")
+    assert {r["id"]: r["rn"] for r in jobs.numbered(df, "id").collect()} == {None: 1, "a": 2, "b": 3}
+    assert jobs.numbered(df.where("false"), "id").count() == 0
+
+
 def test_usage_decrease_is_found(spark):
     df = spark.createDataFrame([("a", 1, 5), ("a", 2, 9), ("a", 3, 7), ("b", 1, -1)], "job_id string, position int, total long")
     assert {(r["job_id"], r["position"]) for r in usage_rows(df)} == {("a", 3), ("b", 1)}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -139,17 +141,54 @@ def scale_estimate(jobs: DataFrame) -> DataFrame:
     return token_estimates(jobs).groupBy("scenario_id").agg(F.count("*").alias("pending_jobs"), F.round(F.max("estimate"), 4).alias("observed_average_tokens"), F.round(F.sum("estimate"), 2).alias("estimated_tokens"))
 
 
-def numbered(df: DataFrame, order: str, name: str = "rn") -> DataFrame:
-    """Rows with their number (from 1) in order of a column of distinct values, without one global sort task.
+#: Ranges that an order is cut to, and values of it that are drawn to place the cuts.
+RANGES, DRAWN = 1024, 16_384
+
+
+def range_of(df: DataFrame, order: str) -> Column:
+    """Number of the range, from 0, that a row's value of a column lies in; null is in the first.
 
-    A range partitioning gives each partition its number of rows; the prefix sums of these few counts
-    are added to the number within the partition.
+    The cuts are quantiles of the values with the smallest hashes, drawn once and at most DRAWN of them.
+    The number is an expression of the value alone: it is the same wherever and how often the row is read.
     """
-    ranged = df.repartitionByRange(F.col(order)).withColumn("_part", F.spark_partition_id())
-    ranked = ranged.withColumn("_at", F.row_number().over(Window.partitionBy("_part").orderBy(order)))
-    counts = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
-    bases = counts.withColumn("_base", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    return ranked.join(F.broadcast(bases), "_part").withColumn(name, (F.col("_at") + F.col("_base")).cast("long")).drop("_part", "_at", "_base")
+    drawn = sorted(r[0] for r in df.select(order).where(F.col(order).isNotNull()).orderBy(F.xxhash64(order), order).limit(DRAWN).collect())
+    cuts = sorted({drawn[k * len(drawn) // RANGES] for k in range(1, RANGES)}) if drawn else []
+    if not cuts:
+        return F.lit(0)
+    wide = math.isqrt(len(cuts)) + 1
+    rows = [cuts[k : k + wide] for k in range(0, len(cuts), wide)]
+
+    def upto(values: Column) -> Column:
+        return F.size(F.filter(values, lambda c: c <= F.col(order)))
+
+    row = upto(F.array(*[F.lit(r[0]) for r in rows]))
+    inside = F.element_at(F.array(*[F.array(*[F.lit(c) for c in r]) for r in rows]), F.greatest(row, F.lit(1)))
+    return F.when(F.col(order).isNull() | (row == 0), 0).otherwise((row - 1) * wide + upto(inside))
+
+
+def running(df: DataFrame, order: str, sums: dict[str, Column]) -> DataFrame:
+    """Rows with sums up to and with each of them, in order of a column of distinct values, without one global sort task.
+
+    Ranges of the order are summed apart; the prefix sums of their totals, one row a range, are added.
+    """
+    named = {f"_s{k}": c for k, c in enumerate(sums.values())}
+    cut = df.withColumns({"_range": range_of(df, order), **named})
+    totals = {r["_range"]: r for r in cut.groupBy("_range").agg(*[F.sum(c).alias(c) for c in named]).collect()}  # at most RANGES rows
+    if not totals:
+        return cut.select(*df.columns, *[F.col(c).alias(name) for name, c in zip(sums, named, strict=True)])
+    within = Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    out = cut
+    for name, c in zip(sums, named, strict=True):
+        before = [0]
+        for k in range(max(totals)):
+            before.append(before[-1] + (totals[k][c] or 0 if k in totals else 0))
+        out = out.withColumn(name, F.coalesce(F.sum(c).over(within), F.lit(0)) + F.get(F.array(*[F.lit(x) for x in before]), "_range"))
+    return out.select(*df.columns, *sums)
+
+
+def numbered(df: DataFrame, order: str, name: str = "rn") -> DataFrame:
+    """Rows with their number, from 1, in order of a column of distinct values."""
+    return running(df, order, {name: F.lit(1).cast("long")})
 
 
 def scale_shards(jobs: DataFrame, size: int, cost_per_million: float) -> DataFrame:
@@ -179,13 +218,9 @@ def selected_status(jobs: DataFrame, selected: DataFrame) -> DataFrame:
 
 def budget_prefix(jobs: DataFrame, budget: int, order: str = "job_id") -> DataFrame:
     """Jobs admitted in order while their summed tokens fit; the first that does not fit ends admission."""
-    ranked = numbered(jobs.select("job_id", "tokens"), order)
-    part = F.floor((F.col("rn") - 1) / 10_000)
-    sums = ranked.withColumn("part", part)
-    before = sums.groupBy("part").agg(F.sum("tokens").alias("t")).withColumn("base", F.coalesce(F.sum("t").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("t")
-    running = sums.join(F.broadcast(before), "part").withColumn("used", (F.sum("tokens").over(Window.partitionBy("part").orderBy("rn")) + F.col("base")).cast("long"))
-    stop = running.where(F.col("used") > budget).agg(F.min("rn").alias("stop"))
-    return running.join(F.broadcast(stop)).where(F.col("stop").isNull() | (F.col("rn") < F.col("stop"))).select("job_id", F.col("rn").alias("position"), "used")
+    placed = running(jobs.select("job_id", "tokens", *({order} - {"job_id", "tokens"})), order, {"position": F.lit(1).cast("long"), "used": F.col("tokens").cast("long")})
+    stop = placed.where(F.col("used") > budget).agg(F.min("position").alias("stop"))  # one row
+    return placed.join(F.broadcast(stop)).where(F.col("stop").isNull() | (F.col("position") < F.col("stop"))).select("job_id", "position", "used")
 
 
 def transitions(jobs: DataFrame, max_retries: int) -> DataFrame:
