@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import html.parser
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -340,3 +342,76 @@ def test_pages_never_fail(spark):
     rows = {r["page_id"]: r["text"] for r in html_text.extract(df).collect()}
     assert rows[0] == rows[1] == "" and rows[6] == "x" and rows[7] == "deep" and rows[12] == "b"
     assert html_text.extract(df.limit(0)).count() == 0
+
+
+def test_visibility_and_cell_text():
+    for page, lines in [
+        ("<table><tr><td>b |</td></tr><tr><td>||</td><td>||</td></tr></table>", ["b |", "||  | ||"]),
+        ("<table><tr><td>a<td>b<tr><td>c<td></table>", ["a | b", "c"]),
+        ("<div style='visibility:hidden'>a<b style='visibility:visible'>c</b></div>d\x00e", ["c", "de"]),
+        ("<style>.h{display:none} #k.x, i { display : none !important }</style><div class='y h'>a</div>b<span id=k>c</span><span id=k class=x>d</span><i style='display:block'>e</i><p class=h style='display:block'>f", ["bc", "", "f"]),
+        ("<style>@media print { p {display:none} } p.q{visibility:hidden}</style><p>a<p class=q>b", ["a"]),
+        ("<ol><li>a<li style='display:none'>b<li style='visibility:hidden'>c<li>d</ol>", ["1. a", "3. d"]),
+        ("<p>kept<a href=x y='", ["kept"]),
+    ]:
+        assert html_text.render(page).split("\n") == lines, page
+
+
+def test_unclosed_markup_takes_linear_time():
+    n = 100_000
+    began = time.time()
+    for page in ("<p>x<a " + 'x="1" ' * n, "<a " * n, '<a b="' * n, "<script>" + "</script " * n, "<!-- " * n, "</" * n, "<p" + " " * n + "x"):
+        html_text.render(page)
+    assert time.time() - began < 7
+
+
+class _Plain(html.parser.HTMLParser):
+    """Visible text without layout, by the standard library's parser: a second implementation."""
+
+    def __init__(self):
+        super().__init__()
+        self.out, self.off = [], 0
+
+    def handle_starttag(self, tag, attrs):
+        if tag in ("script", "style", "title"):
+            self.off += 1
+        elif tag not in ("a", "b", "i", "em", "span", "code"):
+            self.out.append(" ")
+
+    def handle_endtag(self, tag):
+        if tag in ("script", "style", "title"):
+            self.off -= 1
+        elif tag not in ("a", "b", "i", "em", "span", "code"):
+            self.out.append(" ")
+
+    def handle_data(self, data):
+        if not self.off:
+            self.out.append(data)
+
+
+def _plain_words(page):
+    parser = _Plain()
+    parser.feed(page)
+    parser.close()
+    return "".join(parser.out).split()
+
+
+def test_words_equal_a_plain_renderer(spark):
+    pages = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()]
+    rng = random.Random(8)
+
+    def made(depth):
+        kind = rng.choice(["p", "div", "table", "ul", "b", "text"]) if depth else "text"
+        if kind == "text":
+            return " ".join(rng.choice(VOCAB) for _ in range(rng.randint(0, 6)))
+        if kind == "table":
+            return "<table>" + "".join("<tr>" + "".join(f"<td>{made(depth - 1)}" for _ in range(rng.randint(1, 3))) for _ in range(rng.randint(1, 3))) + "</table>"
+        if kind == "ul":
+            return "<ul>" + "".join(f"<li>{made(depth - 1)}" for _ in range(rng.randint(1, 3))) + "</ul>"
+        return f"<{kind}>{made(depth - 1)} {made(depth - 1)}</{kind}>"
+
+    for page in pages + [made(4) for _ in range(200)]:
+        got = [w for w in html_text.render(page).split() if w not in ("-", "|")]
+        want = [w for w in _plain_words(page) if w not in ("-", "|")]
+        # side by side cells of several lines are read line by line: the same words in another order
+        assert (got == want) if "<table" not in page else sorted(got) == sorted(want), page

@@ -5,10 +5,17 @@ as text the way a page is laid out: invisible elements give nothing, white space
 preformatted text, blocks begin on lines of their own (paragraphs and the like after an empty line),
 list items carry bullets or numbers and indent, and table cells stand in aligned columns.
 
-Each page is rendered on its own inside Arrow batches of bounded size, without shuffle. Cases: a null
-or blank page gives an empty text; very long pages are rendered whole; elements nested deeper than
-DEPTH become siblings; unclosed and stray tags, comments and quotes never fail; repeated rows give
-repeated results; an empty table gives an empty result.
+Visibility comes from the element's kind, its attributes, its inline style and the page's own style
+elements, of which rules with simple selectors (kind, id, classes, and lists of these) outside of media
+queries are followed. ``display: none`` takes an element's whole content away, ``visibility: hidden`` its
+text but not that of descendants which are visible again.
+
+Each page is rendered on its own inside Arrow batches of bounded size, without shuffle, in time linear in
+its length. Cases: a null or blank page gives an empty text; very long pages are rendered whole; elements
+nested deeper than DEPTH become siblings; stray tags, comments and quotes never fail; a quote without its
+end ends with the tag; what follows the start of a tag that the page never ends is no text, as in a
+browser; NUL characters are dropped; repeated rows give repeated results; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -24,9 +31,14 @@ from pyspark.sql import DataFrame
 from trajlake.llm.text import pieces
 
 DEPTH = 256
-_TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"'=]|=\s*\"[^\"]*\"|=\s*'[^']*'|=|[\"'])*)>", re.S)
+_MARKUP = re.compile(r"<(?=[a-zA-Z/!?])")
+_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*+)")
+#: What stands in a tag up to its end. Nothing is given back, so a tag without an end costs one pass.
+_INSIDE = re.compile(r"(?:[^>\"'=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=|[\"'])*+")
+_COMMENT_END = re.compile(r"--!?>")
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'=<>`]+)))?")
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
+_SELECTOR = re.compile(r"([a-zA-Z][\w-]*|\*)?((?:[.#][\w-]+)*)")
 
 # Element names of the HTML standard by their behaviour.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -100,15 +112,28 @@ def parse(page: str) -> Element:
                 return
 
     while at < end:
-        m = _TOKEN.search(page, at)
+        m = _MARKUP.search(page, at)
         if m is None:
             text(page[at:])
             break
         text(page[at : m.start()])
-        at = m.end()
-        name = m[2]
-        if name is None:
+        at = m.start()
+        if page.startswith("<!--", at):
+            done = _COMMENT_END.search(page, at + 2)
+            at = done.end() if done else end
             continue
+        m = _NAME.match(page, at + 1)
+        if m is None:
+            if page[at + 1] == "/" and not page.startswith("</>", at) and at + 2 >= end:
+                text("</")
+            done = page.find(">", at)
+            at = done + 1 if done >= 0 else end
+            continue
+        inside = _INSIDE.match(page, m.end())
+        at = inside.end() + 1
+        if at > end:
+            break
+        name = m[2]
         name = name.lower()
         if m[1]:
             if name == "br":
@@ -145,34 +170,127 @@ def parse(page: str) -> Element:
                 row = Element("tr")
                 stack[-1].children.append(row)
                 stack.append(row)
-        node = Element(name, m[3] if m[3] and not m[3].isspace() else "")
+        raw = inside[0]
+        node = Element(name, raw if raw and not raw.isspace() else "")
         stack[-1].children.append(node)
         if name in _VOID:
             continue
         if name in _RAW:
-            done = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
-            inside = page[at : done.start() if done else end]
-            node.children.append(html.unescape(inside) if name == "textarea" else inside)
+            done = re.compile(rf"</{name}(?=[\s/>])[^>]*+>?", re.I).search(page, at)
+            content = page[at : done.start() if done else end]
+            node.children.append(html.unescape(content) if name in ("textarea", "title") else content)
             at = done.end() if done else end
-        elif len(stack) < DEPTH and not m[3].endswith("/") or name in _BLOCK and len(stack) < DEPTH:
+        elif len(stack) < DEPTH and (name in _BLOCK or not raw.endswith("/")):
             stack.append(node)
     return root
 
 
-def hidden(node: Element, parent: Element | None = None) -> bool:
-    if node.tag in _HIDDEN:
-        return True
-    if parent is not None and parent.tag == "details" and node.tag != "summary" and parent.get("open") is None:
-        return True
-    if not node.raw:
-        return False
-    if node.get("hidden") is not None or node.tag == "dialog" and node.get("open") is None:
-        return True
-    style = node.get("style")
-    if style:
-        style = style.replace(" ", "").lower()
-        return "display:none" in style or "visibility:hidden" in style
-    return False
+def _declared(style: str) -> dict[str, tuple[str, bool]]:
+    """display and visibility of a list of declarations, and whether they are marked important."""
+    out: dict[str, tuple[str, bool]] = {}
+    for part in re.sub(r"/\*.*?(?:\*/|\Z)", "", style, flags=re.S).lower().split(";"):
+        name, _, value = part.partition(":")
+        if name.strip() in ("display", "visibility"):
+            word, _, mark = value.partition("!")
+            if word.strip() and not (name.strip() in out and out[name.strip()][1] and not mark):
+                out[name.strip()] = word.strip(), mark.strip() == "important"
+    return out
+
+
+class _Sheet:
+    """Rules of a page's style elements that tell display or visibility, by the part of the selector that is rarest."""
+
+    def __init__(self, root: Element):
+        self.rules: dict[str, list[tuple]] = {}
+        serial = 0
+        for css in self._texts(root):
+            for selectors, body in self._blocks(re.sub(r"/\*.*?(?:\*/|\Z)", "", css, flags=re.S)):
+                told = _declared(body)
+                for selector in selectors.split(",") if told else ():
+                    m = _SELECTOR.fullmatch(selector.strip())
+                    if m is None or not selector.strip():
+                        continue
+                    tag = "" if m[1] in (None, "*") else m[1].lower()
+                    names = re.findall(r"[.#][\w-]+", m[2])
+                    key = next((n for n in names if n[0] == "#"), names[0] if names else tag)
+                    weight = (sum(n[0] == "#" for n in names), sum(n[0] == "." for n in names), tag != "")
+                    self.rules.setdefault(key, []).append((weight, serial, tag, frozenset(names), told))
+                    serial += 1
+
+    @staticmethod
+    def _texts(root: Element) -> Iterator[str]:
+        stack = [root]
+        while stack:
+            node = stack.pop()
+            if node.tag == "style" and (node.get("media") or "all").strip().lower() in ("", "all", "screen"):
+                yield "".join(c for c in node.children if isinstance(c, str))
+            stack += [c for c in reversed(node.children) if isinstance(c, Element)]
+
+    @staticmethod
+    def _blocks(css: str) -> Iterator[tuple[str, str]]:
+        """Selectors and body of each rule outside of nested blocks."""
+        depth, at, head = 0, 0, ""
+        for m in re.finditer(r"[{};]", css):
+            if m[0] == "{":
+                if depth == 0:
+                    head, at = css[at : m.start()], m.end()
+                depth += 1
+            elif m[0] == "}":
+                depth = max(0, depth - 1)
+                if depth == 0:
+                    if not head.strip().startswith("@"):
+                        yield head, css[at : m.start()]
+                    at = m.end()
+            elif depth == 0:
+                at = m.end()
+
+    def of(self, node: Element) -> dict[str, tuple]:
+        """What the rules say of an element: name to (order of strength, value)."""
+        names = ["#" + node.get("id")] if node.raw and node.get("id") else []
+        if node.raw and node.get("class"):
+            names += ["." + c for c in node.get("class").split()]
+        out: dict[str, tuple] = {}
+        for key in (*names, node.tag, ""):
+            for weight, serial, tag, wanted, told in self.rules.get(key, ()):
+                if (not tag or tag == node.tag) and wanted.issubset(names):
+                    for name, (value, important) in told.items():
+                        out[name] = max(out.get(name, ((), "")), ((important, 0, weight, serial), value))
+        return out
+
+
+def _prune(node: Element, sheet: _Sheet | None, shown: bool) -> None:
+    """Take what is not seen out of a tree."""
+    closed = node.tag == "details" and node.get("open") is None
+    summary = next((c for c in node.children if isinstance(c, Element) and c.tag == "summary"), None) if closed else None
+    kept: list[Element | str] = []
+    for child in node.children:
+        if isinstance(child, str):
+            if shown and not closed:
+                kept.append(child)
+            elif not closed and child.isspace():
+                kept.append(child)
+            continue
+        if child.tag in _HIDDEN or closed and child is not summary:
+            continue
+        told = sheet.of(child) if sheet else {}
+        if child.raw:
+            if child.get("hidden") is not None or child.tag == "dialog" and child.get("open") is None:
+                told.setdefault("display", ((), "none"))
+            for name in ("display", "visibility"):
+                if child.get(name):
+                    told.setdefault(name, ((), child.get(name).strip().lower()))
+            style = child.get("style")
+            for name, (value, important) in _declared(style).items() if style else ():
+                told[name] = max(told.get(name, ((), "")), ((important, 1), value))
+        elif child.tag == "dialog":
+            told.setdefault("display", ((), "none"))
+        if "display" in told and told["display"][1] == "none":
+            continue
+        visible = told["visibility"][1] if "visibility" in told else ""
+        seen = False if visible in ("hidden", "collapse") else True if visible in ("visible", "initial") else shown
+        _prune(child, sheet, seen)
+        kept.append(child)
+    node.children = kept
 
 
 class _Flow:
@@ -226,11 +344,7 @@ class _Flow:
 def _walk(node: Element, flow: _Flow, pre: bool) -> None:
     for child in node.children:
         if isinstance(child, str):
-            if node.tag == "details" and node.get("open") is None:
-                continue
             flow.verbatim(child) if pre else flow.inline(child)
-        elif hidden(child, node):
-            continue
         elif child.tag == "br":
             flow.end(True)
         elif child.tag == "select":
@@ -258,7 +372,7 @@ def _svg(node: Element, flow: _Flow, pre: bool, drawn: bool) -> None:
         if isinstance(child, str):
             if drawn:
                 flow.inline(child)
-        elif child.tag in _UNDRAWN or hidden(child, node) or child.get("display") == "none" or child.get("visibility") == "hidden":
+        elif child.tag in _UNDRAWN:
             continue
         elif child.tag == "foreignobject":
             flow.block(_lines(child, pre), False)
@@ -314,8 +428,6 @@ def _list(node: Element, pre: bool) -> list[str]:
         if isinstance(child, Element) and child.tag == "li":
             out += _item(_lines(loose, pre), "  ")
             loose = Element("li")
-            if hidden(child, node):
-                continue
             if re.fullmatch(r"-?\d{1,9}", child.get("value") or ""):
                 number = int(child.get("value"))
             out += _item(_lines(child, pre), f"{number}. " if node.tag == "ol" else "- ")
@@ -339,10 +451,8 @@ def _cells(parent: Element, aside: list[Element | str]) -> list[Element]:
     out: list[Element] = []
     for child in parent.children:
         if isinstance(child, str):
-            if not child.isspace() and not (parent.tag == "details" and parent.get("open") is None):
+            if not child.isspace():
                 aside.append(child)
-        elif hidden(child, parent):
-            continue
         elif child.tag in ("td", "th"):
             out.append(child)
         elif child.tag != "table" and _holds_cell(child):
@@ -362,8 +472,6 @@ def _table(node: Element, pre: bool) -> list[str]:
             if isinstance(child, str):
                 if not child.isspace():
                     aside.children.append(child)
-            elif hidden(child, parent):
-                continue
             elif child.tag in _SECTIONS:
                 take(child, child.tag)
             elif child.tag == "tr":
@@ -402,9 +510,10 @@ def _table(node: Element, pre: bool) -> list[str]:
     used = sorted({c for cells in grid for c in cells})
     for cells in grid:
         for k in range(max((len(x) for x in cells.values()), default=0)):
-            parts = [(cells.get(c, [])[k] if k < len(cells.get(c, [])) else "").ljust(width.get(c, 0)) for c in used]
-            line = " | ".join(parts).rstrip(" |") if len(parts) > 1 else parts[0].rstrip()
-            out.append(line)
+            parts = [cells[c][k] if c in cells and k < len(cells[c]) else "" for c in used]
+            while len(parts) > 1 and not parts[-1]:
+                parts.pop()
+            out.append(" | ".join(p.ljust(width.get(c, 0)) for p, c in zip(parts, used, strict=False)).rstrip())
     return out
 
 
@@ -414,7 +523,10 @@ def render(page: str | None) -> str:
         return ""
     if sys.getrecursionlimit() < 8 * DEPTH:
         sys.setrecursionlimit(8 * DEPTH)
-    lines = _lines(parse(page), False)
+    root = parse(page.replace("\x00", ""))
+    sheet = _Sheet(root) if re.search(r"display|visibility", page, re.I) and re.search("<style", page, re.I) else None
+    _prune(root, sheet, True)
+    lines = _lines(root, False)
     while lines and not lines[0]:
         lines.pop(0)
     while lines and not lines[-1]:
