@@ -11,6 +11,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 
@@ -113,13 +114,32 @@ def _dedup(rows, window):
     return collections.Counter(out)
 
 
-@pytest.mark.parametrize("window", [12, 35])
-def test_substring_dedup_equals_brute_force(docs, nothing, window):
-    got = collections.Counter((r["doc_id"], r["n_words"], r["n_removed"], r["text"]) for r in substring_dedup.remove(docs, window=window).collect())
+@pytest.mark.parametrize(("window", "group"), [(12, 200_000), (35, 200_000), (12, 3), (35, 2)])
+def test_substring_dedup_equals_brute_force(docs, nothing, window, group):
+    """Small groups make prefixes grow, level by level, to the whole window."""
+    got = collections.Counter((r["doc_id"], r["n_words"], r["n_removed"], r["text"]) for r in substring_dedup.remove(docs, window=window, group=group).collect())
     assert got == _dedup([(r[0], r[1]) for r in ROWS], window)
     assert substring_dedup.remove(nothing).count() == 0
 
 
+def test_one_prefix_in_every_document(spark):
+    """Every document begins alike and goes on in its own way, some after 20 words, some after 60."""
+    rng = random.Random(2)
+    common = [rng.choice(VOCAB) for _ in range(60)]
+    rows = [(k, " ".join(common[: rng.choice([9, 20, 34, 35, 36, 60])] + [rng.choice(VOCAB) for _ in range(rng.randint(0, 60))])) for k in range(150)]
+    rows += [(200 + k, " ".join([rng.choice(VOCAB)] * 3 + common[:40] * 2)) for k in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    for group in (5, 50):
+        got = collections.Counter((r["doc_id"], r["n_words"], r["n_removed"], r["text"]) for r in substring_dedup.remove(df, group=group).collect())
+        assert got == _dedup(rows, 35)
+
+
+def test_nodes_are_told_apart_by_words():
+    context = pa.array([b"a b c d", b"a b x d", b"a b c d e"], pa.large_binary())
+    least, greatest = substring_dedup.deep_nodes(context, np.array([1, 1, 1]), np.zeros(3, np.int64), np.ones(3, np.int64), np.ones(3), 3)
+    assert least.tolist() == [0, -1, 0] and greatest.tolist() == [1, -1, 1]
+
+
 def test_dedup_carries_columns_of_any_name(docs):
     r = substring_dedup.remove(docs, carry=["key", "shard", "n_words"]).where("doc_id = 0").first()
     assert r[4:] == ("k", 2, 3)

@@ -16,6 +16,11 @@ def shards_of(df: DataFrame) -> int:
     return max(4, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def partitions_for(df: DataFrame, items: int, each: int) -> int:
+    """Partitions for so many items, ``each`` to a partition; at least the session's shuffle partitions."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-items // each))
+
+
 def deal(shard: np.ndarray, columns: list[np.ndarray], names: list[str]) -> pa.RecordBatch | None:
     """One row per shard that occurs: its number and, as bytes, its part of each column in order."""
     if not len(shard):
