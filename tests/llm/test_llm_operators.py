@@ -114,7 +114,7 @@ def _dedup(rows, window):
     return collections.Counter(out)
 
 
-@pytest.mark.parametrize(("window", "group"), [(12, 200_000), (35, 200_000), (12, 3), (35, 2)])
+@pytest.mark.parametrize(("window", "group"), [(12, 50_000), (35, 50_000), (12, 3), (35, 2)])
 def test_substring_dedup_equals_brute_force(docs, nothing, window, group):
     """Small groups make prefixes grow, level by level, to the whole window."""
     got = collections.Counter((r["doc_id"], r["n_words"], r["n_removed"], r["text"]) for r in substring_dedup.remove(docs, window=window, group=group).collect())

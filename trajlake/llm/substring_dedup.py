@@ -9,7 +9,7 @@ group's subtrees are grown by themselves.
    same place in equal windows. A window begins up to ``window - prefix`` words before its suffix.
 2. Prefixes of variable length: suffixes are counted by the hash of their first ``prefix`` words, once a
    piece. What occurs once is a leaf and goes. A prefix with more than ``group`` suffixes grows: the
-   places where a window may begin are halved, which makes more words common to all windows of a half,
+   places where a window may begin are quartered, which makes more words common to all windows of a part,
    level by level until the whole window is the prefix. By hash, light prefixes share a bucket; buckets
    are as many as the suffixes' bytes ask for.
 3. A bucket's suffixes are laid out as words, to the right of the suffix's begin and, reversed, to its
@@ -41,16 +41,16 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from trajlake.llm.blocks import U, partitions_for, sliding
-from trajlake.llm.text import mix, pieces, release, span_hash, utf8, window_hash, words
+from trajlake.llm.text import blank, mix, pieces, release, span_hash, utf8, window_hash, words
 from trajlake.llm.workspace import written
 
 #: Bytes of one suffix with its surroundings, about; of a bucket; and most prefixes that may grow at once.
-SUFFIX_BYTES, BUCKET_BYTES, MOST_GROWN = 450, 24 << 20, 1_000_000
+SUFFIX_BYTES, BUCKET_BYTES, MOST_GROWN = 450, 8 << 20, 4_000_000
 
 
 def ranges(level: int, most: int) -> list[tuple[int, int]]:
-    """Places 0 to ``most`` where a window may begin before its suffix, halved ``level`` times."""
-    edges = sorted({k * (most + 1) // (1 << level) for k in range((1 << level) + 1)})
+    """Places 0 to ``most`` where a window may begin before its suffix, quartered ``level`` times."""
+    edges = sorted({k * (most + 1) // 4**level for k in range(4**level + 1)})
     return [(a, b - 1) for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
 
@@ -116,13 +116,13 @@ def deep_nodes(contexts: pa.Array, left: np.ndarray, lo: np.ndarray, hi: np.ndar
     """
     data, off = utf8(contexts.cast(pa.large_binary()).cast(pa.large_string()))
     start, end, text = words(data, off)
-    length = end - start
-    solid = np.repeat(start - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
-    spelled = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(np.append(0, np.cumsum(length)).astype(np.int64)), pa.py_buffer(data[solid])])
+    spelled = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(np.append(0, np.cumsum(end - start)).astype(np.int64)), pa.py_buffer(data[~blank(data)])])
+    del start, end
     word = spelled.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
     kinds = int(word.max()) + 1 if len(word) else 1
     n = len(left)
     count = np.bincount(text, minlength=n)
+    del data, spelled, text
     origin = np.cumsum(count) - count + left  # the suffix's first word
     right = count - left
 
@@ -193,7 +193,7 @@ def maximal_repeats(store: DataFrame, window: int, prefix: int, group: int) -> D
                     release()
 
         rows = written(store.mapInArrow(scan, "key long, piece long, n long"))
-        counts = written(rows.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1"))
+        counts = written(rows.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("pieces")).where("n > 1"))
         total = counts.agg(F.sum("n")).first()[0] or 0
         bound = max(group, total // MOST_GROWN)  # so at most MOST_GROWN prefixes have more suffixes
         last = all(a == b for a, b in ranges(len(grown), window - prefix))
@@ -201,7 +201,7 @@ def maximal_repeats(store: DataFrame, window: int, prefix: int, group: int) -> D
         light = counts.where(F.col("n") <= bound) if heavy else counts
         met = rows.join(light.select("key"), "key").select("piece", "key")
         found = met if found is None else found.unionByName(met)
-        suffixes += total
+        suffixes += light.agg(F.sum("pieces")).first()[0] or 0  # equal suffixes of a piece count once
         if not heavy:
             break
         grown = [*grown, np.sort(np.array(heavy, dtype=np.int64).view(U))]
@@ -228,7 +228,12 @@ def maximal_repeats(store: DataFrame, window: int, prefix: int, group: int) -> D
         raw = s.data.tobytes()
         shape, head = np.unique(np.stack([at - a, lo, hi]), axis=1, return_inverse=True)
         heads = [x.astype("<u2").tobytes() for x in shape.T]
-        spelled = pa.array([heads[h] + raw[x:y] for h, x, y in zip(head.ravel().tolist(), s.start[a].tolist(), s.end[b - 1].tolist(), strict=True)], pa.large_binary()).dictionary_encode()
+        head, x, y = head.ravel(), s.start[a], s.end[b - 1]
+        chunks = []
+        for k in range(0, len(at), 4096):  # a text of one word repeated has as many equal contexts as words
+            some = slice(k, k + 4096)
+            chunks.append(pa.array([heads[h] + raw[i:j] for h, i, j in zip(head[some].tolist(), x[some].tolist(), y[some].tolist(), strict=True)], pa.large_binary()).dictionary_encode())
+        spelled = pa.chunked_array(chunks).unify_dictionaries().combine_chunks()
         which = spelled.indices.to_numpy(zero_copy_only=False)
         order = np.argsort(which, kind="stable")
         times = np.bincount(which)
@@ -259,7 +264,7 @@ def maximal_repeats(store: DataFrame, window: int, prefix: int, group: int) -> D
     return with_words.repartition(partitions_for(store, buckets, 1), "bucket").groupBy("bucket").applyInArrow(repeats, "piece long, begin int, stop int")
 
 
-def remove(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35, prefix: int = 8, carry: list[str] | None = None, group: int = 200_000) -> DataFrame:
+def remove(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35, prefix: int = 8, carry: list[str] | None = None, group: int = 50_000) -> DataFrame:
     """doc_id, n_words, n_removed and text (the kept words joined by one space) of every document, then the carried columns."""
     carried = carry or []
     names, types = [f"carry_{i}" for i in range(len(carried))], dict(df.dtypes)

@@ -84,13 +84,18 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
     release()
 
 
+def blank(data: np.ndarray) -> np.ndarray:
+    """Which bytes separate words."""
+    return _SPACE[data]
+
+
 def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and text number of each word ``[^\\x20\\x09-\\x0D]+``, in order."""
     n = len(data)
     if not n:
         z = np.zeros(0, np.int64)
         return z, z, z
-    solid = ~_SPACE[data]
+    solid = ~blank(data)
     first, last = solid.copy(), solid.copy()
     first[1:] &= ~solid[:-1]
     last[:-1] &= ~solid[1:]
