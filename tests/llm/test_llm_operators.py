@@ -333,6 +333,41 @@ def test_neighbours_recall_ties_and_bad_vectors(spark):
     assert neighbours.search(df.limit(0)).count() == 0
 
 
+def test_neighbours_of_the_embeddings_table(spark):
+    """Recall against brute force, and what a query reads of the table."""
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = table.select("vec_id", "embedding").collect()
+    ids = np.array([r["vec_id"] for r in rows])
+    x = np.array([r["embedding"] for r in rows], dtype=np.float64)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    got = collections.defaultdict(set)
+    for r in neighbours.search(table).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    asked = np.flatnonzero(ids % 50 == 0)
+    s = unit[asked] @ unit.T
+    s[np.arange(len(asked)), asked] = -9
+    best = ids[np.argsort(-s, axis=1)[:, :5]]
+    assert set(got) == set(ids[asked].tolist())
+    assert sum(len(set(b) & got[q]) for q, b in zip(ids[asked].tolist(), best.tolist(), strict=True)) >= 0.9 * best.size
+
+
+def test_neighbours_of_repeated_ids_and_odd_sizes(spark):
+    rows = [(0, [1e200, 0.0]), (0, [1e-300, 1e-302]), (7, [1.0, 1.0]), (7, [1.0, 0.5]), (50, [5e-324, 0.0])]
+    df = spark.createDataFrame([(i, v, "a", 3, 4) for i, v in rows], "vec_id long, embedding array<double>, row string, list int, block int")
+    got = collections.Counter((r["query_id"], r["rank"], r["vec_id"], round(r["score"], 9)) for r in neighbours.search(df).collect())
+
+    def cosine(a, b):
+        a, b = np.array(a) / max(map(abs, a)), np.array(b) / max(map(abs, b))
+        return float(a @ b / np.sqrt((a @ a) * (b @ b)))
+
+    want = collections.Counter()
+    for n, (q, v) in enumerate(rows):
+        if q % 50 == 0:
+            others = sorted(((-cosine(v, w), i) for m, (i, w) in enumerate(rows) if m != n))
+            want.update((q, k + 1, i, round(-c, 9)) for k, (c, i) in enumerate(others[:5]))
+    assert got == want
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><h1>Head &amp; x</h1><p>one <b>two</b>
 three<p>four<br>five<ul><li>a<li>b<ol start=3><li>c<li>d</ol><li hidden>zz</ul><table><tr><th>Name<th>Val<tr><td>long name<td>1<tr><td>x<td>22</table><pre>  a
    b</pre><div style="display: none">no</div><details><summary>S</summary>body</details><script>var a="</p>";</script>a < b<!-- c --> end"""
