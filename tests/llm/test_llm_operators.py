@@ -255,25 +255,41 @@ def test_rules_are_learned_and_applied(spark, docs):
     assert all(r["kept"] != r["base_failed"] for r in unlabelled.collect())
 
 
-def test_perplexity_equals_a_plain_model(spark, nothing):
+def test_perplexity_equals_a_plain_model(spark, nothing, monkeypatch):
     rng = random.Random(8)
     rows = [(k, "".join(rng.choice("aab c") for _ in range(rng.randint(0, 60))) if k % 9 else None, "en" if k % 2 else None) for k in range(80)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     labels = spark.createDataFrame([(k, int(k % 3 != 0), 0) for k in range(80)], "doc_id long, quality int, toxic int")
-    trusted = [t or "" for k, t, _ in rows if k % 3]
-    want = {k: _plain_perplexity(trusted, t) for k, t, _ in rows if t}
-    found = {r["doc_id"]: r for r in perplexity.classify(df, labels).collect()}
-    assert len(found) == 80 and all(not found[k]["kept"] and found[k]["perplexity"] is None for k, t, _ in rows if not t)
-    for k, p in want.items():
-        assert found[k]["perplexity"] == pytest.approx(p, rel=1e-4)
-    flagged = perplexity.with_trust(df, perplexity.trusted_ids(labels))
-    table = perplexity.probabilities(perplexity.count_ngrams(flagged))
-    joined = {r["doc_id"]: r["perplexity"] for r in perplexity.score(flagged, table, ["doc_id"], few=0).collect()}
-    for k, p in want.items():
-        assert joined[k] == pytest.approx(p, rel=1e-4)
+    learned = [t or "" for k, t, _ in rows if k % 3 and zlib.crc32(str(k).encode()) % 5]
+    want = {k: _plain_perplexity(learned, t) for k, t, _ in rows if t}
+    for shard, sent in ((500_000, 32 << 20), (7, 400)):  # many shards, each of which stands several times
+        monkeypatch.setattr(perplexity, "SHARD_NGRAMS", shard)
+        monkeypatch.setattr(perplexity, "SHARD_BYTES", sent)
+        found = {r["doc_id"]: r for r in perplexity.classify(df, labels).collect()}
+        assert len(found) == 80 and all(not found[k]["kept"] and found[k]["perplexity"] is None for k, t, _ in rows if not t)
+        for k, p in want.items():
+            assert found[k]["perplexity"] == pytest.approx(p, rel=1e-9)
     assert perplexity.classify(nothing.select("doc_id", "text", "lang"), labels).count() == 0
 
 
+def test_labels_twice_thresholds_and_carried_columns(spark):
+    rng = random.Random(5)
+    rows = [(k, " ".join(rng.choice(VOCAB) for _ in range(40)) if k % 10 else "".join(chr(rng.randint(33, 126)) for _ in range(200)), "en", k, True) for k in range(400)]
+    df = spark.createDataFrame(rows + [rows[1], (None, "no id", None, 1, None)], "doc_id long, text string, lang string, n_bytes int, kept boolean")
+    labels = spark.createDataFrame([(k, int(k % 10 != 0)) for k in range(400)] + [(1, 0), (1, None), (None, 1)], "doc_id long, quality int")
+    ids = {r["doc_id"]: r["trusted"] for r in perplexity.trusted_ids(labels).collect()}
+    assert 1 not in ids and 2 in ids
+    found = collections.defaultdict(list)
+    for r in perplexity.classify(df, labels, least=10).collect():
+        found[r["doc_id"]].append(r)
+    assert len(found[1]) == 2 and found[1][0] == found[1][1] and len(found) == 401
+    assert all(r["kept"] == (r["adjusted"] <= r["threshold"]) for x in found.values() for r in x)
+    assert sum(found[k][0]["kept"] for k in range(400) if k % 10) >= 355 and not any(found[k][0]["kept"] for k in range(0, 400, 10))
+    kept = perplexity.classify(df, labels, carry=df.columns, least=10)
+    assert kept.columns == df.columns and {r["doc_id"] for r in kept.collect()} == {k for k, x in found.items() if x[0]["kept"]}
+    assert all(r["kept"] for r in perplexity.classify(df.where("doc_id < 20"), labels.limit(0)).collect())
+
+
 def _plain_perplexity(trusted, t, order=5):
     """Interpolated modified Kneser-Ney by dictionaries."""
 

@@ -1,13 +1,17 @@
-"""Shuffles of packed rows: tasks send each shard one binary row per piece instead of a row per item."""
+"""Pieces of documents, and shuffles of packed rows: tasks send each shard one binary row per piece instead of a row per item."""
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from trajlake.llm.text import pieces
+from trajlake.llm.workspace import written
+
 U = np.uint64
 
 
@@ -21,6 +25,27 @@ def partitions_for(df: DataFrame, items: int, each: int) -> int:
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-items // each))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """piece and docs: some MB of documents (with a column text) as one compressed value, written to the shared folder.
+
+    A piece's number is drawn once and stands in the written table, so later steps may run again at will.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, piece.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+                stream.write_batch(piece)
+            yield pa.RecordBatch.from_arrays([pa.array([int.from_bytes(os.urandom(7), "big")]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["piece", "docs"])
+
+    return written(docs.mapInArrow(pack, "piece long, docs binary"))
+
+
+def unpacked(table: pa.Table | pa.RecordBatch, row: int = 0) -> pa.Table:
+    """The documents of a piece."""
+    return pa.ipc.open_stream(table["docs"][row].as_py()).read_all().combine_chunks()
+
+
 def deal(shard: np.ndarray, columns: list[np.ndarray], names: list[str]) -> pa.RecordBatch | None:
     """One row per shard that occurs: its number and, as bytes, its part of each column in order."""
     if not len(shard):

@@ -12,7 +12,7 @@ def connected(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """node and root (the smallest node reachable) of every node of the edges (a, b).
 
     Each round links the larger neighbours of a node to its smallest one, then the smaller ones; it
-    ends when a round changes nothing. Rounds are written to the shared folder, so lineage stays short.
+    ends when a round changes nothing, and raises if that takes more than ``most_rounds``. Rounds are written to the shared folder, so lineage stays short.
     Self-loops and repeated edges are harmless; nodes without an edge to another are not returned.
     """
     now = written(edges.select("a", "b").where("a <> b").selectExpr("greatest(a, b) as a", "least(a, b) as b").distinct())
@@ -28,6 +28,8 @@ def connected(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         if after == mark:
             break
         mark = after
+    else:
+        raise RuntimeError(f"components still changed after {most_rounds} rounds")
     return now.selectExpr("a as node", "b as root").unionByName(now.selectExpr("b as node", "b as root").distinct())
 
 

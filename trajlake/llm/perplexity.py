@@ -1,18 +1,23 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney byte n-gram model.
 
-The model counts n-grams of UTF-8 bytes (order 5, key of 40 bits) of all trusted documents. Discounts
-come from the counts of counts of each order; every order's probabilities are joined to their
-contexts and to the next lower order by key, all tables dealt by that key, down to a uniform base.
-The result is one table of n-gram, log-probability for the n-grams that the corpus holds (backed off
-where trusted text lacks them). Documents are scored by that table: where it is small (checked) each
-task gets a copy, else each document's n-gram counts are joined to its shards. A language's threshold is a
-quantile of its trusted documents' perplexities, from a histogram of bounded size, times a margin. A
-few bytes say little, so the compared perplexity takes in ``prior_bytes`` of the language's usual one.
+The model counts n-grams of UTF-8 bytes (order 5, key of 40 bits) of trusted documents. Discounts come
+from the counts of counts of each order; every order's probabilities are joined to their contexts and to
+the next lower order by key, all tables dealt by that key, down to a uniform base. The result is one table
+of n-gram, log-probability for the n-grams that the corpus holds (backed off where trusted text lacks them).
+
+Documents are scored by sharded count joins: each piece of documents sends its distinct n-grams to the
+shards that hold their probabilities, and what comes back is summed by its own counts. Neither side is
+ever copied to all tasks, and a common n-gram counts once a piece. A language's threshold is a quantile of
+the perplexities of its trusted documents that the model was not trained on (one in five, by a checksum of
+doc_id), from a histogram of bounded size, times a margin. A few bytes say little, so the compared
+perplexity takes in ``prior_bytes`` of the language's usual one.
 
 Cases: a null or empty text has no perplexity and is rejected; a null language is a language of its
-own ("und"); a language with few trusted documents takes the threshold of all; a document labelled
-twice takes the smaller label; without trusted documents nothing can be judged and every text is kept;
-repeated rows get equal results; an empty table gives an empty result.
+own ("und"); a language with few held-out trusted documents takes the threshold of all; with few of all
+languages together, thresholds come from all trusted documents; a document labelled twice takes the
+smaller label; a document at its threshold is kept; without trusted documents nothing can be judged and
+every text is kept; repeated rows get equal results; carried columns may have any names; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,13 +29,20 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from trajlake.llm.text import per_text, pieces, utf8
+from trajlake.llm.blocks import U, deal, gathered, packed, partitions_for, runs, unpacked
+from trajlake.llm.text import mix, release, utf8
 from trajlake.llm.workspace import written
 
 ORDER = 5
-#: Ids of trusted documents that may be copied to every task, and rows of the table that may.
-FEW_IDS, FEW_NGRAMS = 2_000_000, 8_000_000
+#: Ids of trusted documents that may be copied to every task.
+FEW_IDS = 2_000_000
+#: N-grams of a shard, and bytes that its pieces send to it at once.
+SHARD_NGRAMS, SHARD_BYTES = 500_000, 32 << 20
+#: One trusted document in so many is not learned from; thresholds come from these.
+HELD_OUT = 5
 STEP = 0.005  # width of the histogram's bins, in log perplexity
 
 
@@ -63,8 +75,8 @@ def with_trust(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     return docs.join(known, "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
 
 
-def count_ngrams(docs: DataFrame) -> DataFrame:
-    """gram and c, its count in trusted texts, for every n-gram of the corpus; docs: text, trusted."""
+def count_ngrams(store: DataFrame) -> DataFrame:
+    """gram and c, its count in the texts to learn from, for every n-gram of the corpus; documents have text and learn."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, total = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -72,21 +84,24 @@ def count_ngrams(docs: DataFrame) -> DataFrame:
         def flush() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(held), pa.array(total)], names=["gram", "c"])
 
-        for piece in pieces(batches):
-            key, off = keys_of(piece.column(0))
-            good = np.repeat(piece.column(1).to_numpy(zero_copy_only=False).astype(bool), np.diff(off))
-            code, distinct = pd.factorize(key)
-            both, at = np.unique(np.concatenate([held, distinct]), return_inverse=True)
-            count = np.zeros(len(both), np.int64)
-            np.add.at(count, at, np.concatenate([total, np.bincount(code[good], minlength=len(distinct))]))
-            held, total = both, count
-            if len(held) > 3_000_000:
-                yield flush()
-                held, total = held[:0], total[:0]
+        for batch in batches:
+            for row in range(batch.num_rows):
+                piece = unpacked(batch, row)
+                key, off = keys_of(piece["text"])
+                good = np.repeat(piece["learn"].to_numpy().astype(bool), np.diff(off))
+                code, distinct = pd.factorize(key)
+                both, at = np.unique(np.concatenate([held, distinct]), return_inverse=True)
+                count = np.zeros(len(both), np.int64)
+                np.add.at(count, at, np.concatenate([total, np.bincount(code[good], minlength=len(distinct))]))
+                held, total = both, count
+                if len(held) > 3_000_000:
+                    yield flush()
+                    held, total = held[:0], total[:0]
+                release()
         if len(held):
             yield flush()
 
-    return docs.select("text", "trusted").mapInArrow(run, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
+    return store.select("piece", "docs").mapInArrow(run, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
 
 
 def _discounted(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -122,59 +137,78 @@ def probabilities(grams: DataFrame) -> DataFrame:
     return lower.select("gram", F.log("p").alias("logp"))
 
 
-def _as_arrays(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    rows = table.toArrow()
-    gram, logp = rows["gram"].to_numpy(), rows["logp"].to_numpy().astype(np.float32)
-    order = np.argsort(gram)
-    return gram[order], logp[order]
-
-
-def score(docs: DataFrame, table: DataFrame, carry: list[str], few: int = FEW_NGRAMS) -> DataFrame:
-    """The carried columns, n_bytes and perplexity (null without text) of each document; docs: doc_id, text."""
-    names = [f"k{i}" for i in range(len(carry))]
-    types = dict(docs.dtypes)
-    schema = "".join(f"{n} {types[c]}, " for n, c in zip(names, carry, strict=True)) + "n_bytes long, perplexity double"
-    rows = docs.select("text", *[F.col(c).alias(n) for n, c in zip(names, carry, strict=True)])
-    if table.count() <= few:
-        shared = docs.sparkSession.sparkContext.broadcast(_as_arrays(table))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            gram, logp = shared.value
-            for piece in pieces(batches):
-                key, off = keys_of(piece.column(0))
-                size = np.diff(off)
-                total = np.zeros(len(size))
-                some = np.flatnonzero(size)
-                if len(some):
-                    code, distinct = pd.factorize(key)
-                    value = logp[np.searchsorted(gram, distinct)].astype(np.float64)
-                    total[some] = np.add.reduceat(value[code], off[some])
-                mean = np.exp(-total / np.maximum(size, 1))
-                yield pa.RecordBatch.from_arrays([*piece.columns[1:], pa.array(size), pa.array(mean, mask=size == 0)], names=[*names, "n_bytes", "perplexity"])
-
-        scored = rows.mapInArrow(run, schema)
-    else:
-
-        def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for piece in pieces(batches):
-                key, off = keys_of(piece.column(0))
-                text = np.repeat(np.arange(piece.num_rows), np.diff(off))
-                order = np.lexsort((key, text))
-                key, text = key[order], text[order]
-                new = np.ones(len(key), bool)
-                new[1:] = (key[1:] != key[:-1]) | (text[1:] != text[:-1])
-                first = np.flatnonzero(new)
-                yield pa.RecordBatch.from_arrays([piece.column(1).take(pa.array(text[first])), pa.array(key[first]), pa.array(np.diff(np.append(first, len(key))))], names=["row", "gram", "n"])
-
-        keyed = written(rows.withColumn("row", F.expr("uuid()")))
-        sums = keyed.select("text", "row").mapInArrow(spread, "row string, gram long, n long").join(table, "gram").groupBy("row").agg(F.sum("n").alias("n_bytes"), F.sum(F.col("n") * F.col("logp")).alias("logp"))
-        scored = keyed.drop("text").join(sums, "row", "left").select(*names, F.coalesce("n_bytes", F.lit(0)).alias("n_bytes"), F.exp(-F.col("logp") / F.col("n_bytes")).alias("perplexity"))
-    return scored.select(*[F.col(n).alias(c) for n, c in zip(names, carry, strict=True)], "n_bytes", "perplexity")
+def _asked(column: pa.ChunkedArray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct n-grams of a piece by shard and value, their shards, the place of each byte's n-gram among them, and the texts' offsets."""
+    key, off = keys_of(column)
+    code, distinct = pd.factorize(key)
+    shard = (mix(distinct.view(U)) % U(shards)).astype(np.int64)
+    order = np.lexsort((distinct, shard))
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return distinct[order], shard[order], place[code], off
+
+
+def score(store: DataFrame, table: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """The named columns (name to type) of all documents, n_bytes and perplexity (null without text)."""
+    n, count = table.count(), store.count()
+    shards = max(1, -(-n // SHARD_NGRAMS))
+    parts = max(1, -(-count * min(n, 1_000_000) * 4 // (shards * SHARD_BYTES)))  # a shard with many pieces stands several times
+    held, slots = partitions_for(store, count, 8), partitions_for(store, shards * parts, 1)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                gram, shard, _, _ = _asked(unpacked(batch, row)["text"], shards)
+                piece = batch["piece"][row].as_py()
+                first, size = runs(shard)
+                sent = [pa.compress(np.diff(gram[a : a + c], prepend=0).tobytes(), codec="zstd", asbytes=True) for a, c in zip(first.tolist(), size.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(shard[first] * parts + piece % parts), pa.array(shard[first]), pa.array(np.full(len(first), piece)), pa.array(size), pa.array(sent, pa.binary())], names=["slot", "shard", "piece", "n", "gram"])
+                release()
+
+    def stand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            gram, logp = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            shard = (mix(gram.view(U)) % U(shards)).astype(np.int64)
+            for k in range(parts if len(gram) else 0):
+                out = deal(shard * parts + k, [gram, logp], ["gram", "logp"])
+                yield pa.RecordBatch.from_arrays([out.column(0).cast(pa.int64()), out.column(1), out.column(2)], names=["slot", "gram", "logp"])
+
+    def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
+        gram, logp = gathered(known, "gram", np.int64), gathered(known, "logp", np.float64)
+        order = np.argsort(gram)
+        gram, logp = gram[order], logp[order]
+        out = []
+        for size, raw in zip(asked["n"].to_pylist(), asked["gram"].to_pylist(), strict=True):
+            wanted = np.cumsum(np.frombuffer(pa.decompress(raw, decompressed_size=8 * size, codec="zstd", asbytes=True), np.int64))
+            out.append(logp[np.searchsorted(gram, wanted)].tobytes())
+        return pa.table({"piece": asked["piece"], "shard": asked["shard"], "logp": pa.array(out, pa.binary())})
+
+    schema = "".join(f"{c} {t}, " for c, t in columns.items()) + "n_bytes long, perplexity double"
+    nothing = to_arrow_schema(StructType.fromDDL(schema)).empty_table()
+
+    def total(docs_of: pa.Table, answers: pa.Table) -> pa.Table:
+        if not docs_of.num_rows:
+            return nothing
+        docs = unpacked(docs_of)
+        _, _, place, off = _asked(docs["text"], shards)
+        logp = gathered(answers.sort_by("shard"), "logp", np.float64)
+        size = np.diff(off)
+        some = np.flatnonzero(size)
+        sums = np.zeros(len(size))
+        if len(some):
+            sums[some] = np.add.reduceat(logp[place], off[:-1][some])
+        release()
+        return pa.table({**{c: docs[c] for c in columns}, "n_bytes": pa.array(size), "perplexity": pa.array(np.exp(-sums / np.maximum(size, 1)), mask=size == 0)})
+
+    asks = store.mapInArrow(ask, "slot long, shard long, piece long, n long, gram binary")
+    stands = table.select("gram", "logp").mapInArrow(stand, "slot long, gram binary, logp binary")
+    answers = asks.repartition(slots, "slot").groupBy("slot").cogroup(stands.repartition(slots, "slot").groupBy("slot")).applyInArrow(answer, "piece long, shard long, logp binary")
+    return store.repartition(held, "piece").groupBy("piece").cogroup(answers.repartition(held, "piece").groupBy("piece")).applyInArrow(total, schema)
 
 
 def thresholds(scored: DataFrame, quantile: float, margin: float, least: int) -> DataFrame:
-    """lang and threshold; scored: lang, trusted, perplexity. lang null holds the threshold of all languages."""
-    binned = scored.where("trusted and perplexity is not null").groupBy("lang", F.floor(F.log("perplexity") / STEP).alias("bin")).agg(F.count("*").alias("n"))
+    """lang and threshold; scored: lang, judge (rows to take), perplexity. lang null holds the threshold of all languages."""
+    binned = scored.where("judge and perplexity is not null").groupBy("lang", F.floor(F.log("perplexity") / STEP).alias("bin")).agg(F.count("*").alias("n"))
     sides = binned.unionByName(binned.groupBy("bin").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("lang"), "bin", "n"))
     listed = sides.groupBy("lang").agg(F.sum("n").alias("all"), F.array_sort(F.collect_list(F.struct("bin", "n"))).alias("bins"))  # at most some thousand bins
     reached = F.aggregate(
@@ -194,21 +228,25 @@ def _by_language(values: dict[str, float], otherwise: float | None) -> Column:
 
 
 def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", carry: list[str] | None = None, quantile: float = 0.99, margin: float = 1.1, least: int = 100, prior_bytes: int = 64) -> DataFrame:
-    """doc_id, lang, n_bytes, perplexity, threshold, adjusted and kept, or the carried columns and quality_kept."""
-    kept = carry if carry is not None else []
-    docs = df.select(df[id_col].cast("long").alias("doc_id"), df[text_col].cast("string").alias("text"), F.coalesce(df[lang_col].cast("string"), F.lit("und")).alias("lang_"), *[F.col(c).alias(f"c_{i}") for i, c in enumerate(kept)])
-    trusted = with_trust(docs.select("doc_id", "text", F.col("lang_").alias("lang")), trusted_ids(labels))
-    grams = written(count_ngrams(trusted))
+    """doc_id, lang, n_bytes, perplexity, threshold, adjusted and kept; with ``carry`` only these columns of the kept documents."""
+    carried = carry or []
+    names, types = [f"c_{i}" for i in range(len(carried))], dict(df.dtypes)
+    docs = df.select(df[id_col].cast("long").alias("doc_id"), df[text_col].cast("string").alias("text"), F.coalesce(df[lang_col].cast("string"), F.lit("und")).alias("lang"), *[df[c].alias(n) for c, n in zip(carried, names, strict=True) if c != text_col])
+    flagged = with_trust(docs, trusted_ids(labels))
+    apart = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % HELD_OUT == 0
+    store = packed(flagged.withColumn("learn", F.col("trusted") & ~apart))
+    grams = written(count_ngrams(store))
     table = written(probabilities(grams))
-    narrow = written(score(trusted, table, ["doc_id", "lang", "trusted"]))
-    usual = narrow.where("trusted and perplexity is not null").groupBy("lang").agg((F.sum(F.col("n_bytes") * F.log("perplexity")) / F.sum("n_bytes")).alias("m"))
-    usual = {r["lang"]: r["m"] for r in usual.collect()}  # one row per language
+    own = {n: types[c] for c, n in zip(carried, names, strict=True) if c != text_col}
+    scored = written(score(store, table, {"doc_id": "bigint", "lang": "string", "trusted": "boolean", "learn": "boolean", **({"text": "string"} if text_col in carried else {}), **own}))
+    known = scored.where("trusted and perplexity is not null")
+    usual = {r["lang"]: r["m"] for r in known.groupBy("lang").agg((F.sum(F.col("n_bytes") * F.log("perplexity")) / F.sum("n_bytes")).alias("m")).collect()}  # one row per language
     shrunk = F.exp((F.col("n_bytes") * F.log("perplexity") + prior_bytes * _by_language(usual, sum(usual.values()) / len(usual) if usual else None)) / (F.col("n_bytes") + prior_bytes))
-    limits = {r["lang"]: r["threshold"] for r in thresholds(narrow.withColumn("perplexity", shrunk), quantile, margin, least).collect()}
+    judges = F.col("trusted") & ~F.col("learn") if known.where("not learn").count() >= least else F.col("trusted")
+    limits = {r["lang"]: r["threshold"] for r in thresholds(scored.select("lang", judges.alias("judge"), shrunk.alias("perplexity")), quantile, margin, least).collect()}
     limit = _by_language({k: v for k, v in limits.items() if k is not None}, limits.get(None))
     fine = F.col("perplexity").isNotNull() & (F.col("threshold").isNull() | (shrunk <= F.col("threshold")))
-    if not kept:
-        return narrow.withColumn("threshold", limit).select("doc_id", "lang", "n_bytes", "perplexity", "threshold", shrunk.alias("adjusted"), fine.alias("kept"))
-    names = [f"c_{i}" for i in range(len(kept))]
-    again = score(docs.withColumnRenamed("lang_", "lang"), table, [*names, "lang"]).withColumn("threshold", limit).withColumn("kept_", fine)
-    return again.select(*[F.col(n).alias(c) for n, c in zip(names, kept, strict=True)], F.col("kept_").alias("quality_kept"))
+    judged = scored.withColumn("threshold", limit)
+    if carry is None:
+        return judged.select("doc_id", "lang", "n_bytes", "perplexity", "threshold", shrunk.alias("adjusted"), fine.alias("kept"))
+    return judged.where(fine).select(*[F.col("text" if c == text_col else n).alias(c) for c, n in zip(carried, names, strict=True)])

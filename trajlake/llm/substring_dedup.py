@@ -29,7 +29,6 @@ empty table gives an empty result; carried columns may have any names.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,8 +39,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from trajlake.llm.blocks import U, partitions_for, sliding
-from trajlake.llm.text import blank, mix, pieces, release, span_hash, utf8, window_hash, words
+from trajlake.llm.blocks import U, packed, partitions_for, sliding, unpacked
+from trajlake.llm.text import blank, mix, release, span_hash, utf8, window_hash, words
 from trajlake.llm.workspace import written
 
 #: Bytes of one suffix with its surroundings, about; of a bucket; and most prefixes that may grow at once.
@@ -159,24 +158,6 @@ def deep_nodes(contexts: pa.Array, left: np.ndarray, lo: np.ndarray, hi: np.ndar
     return least, greatest
 
 
-def _unpacked(table: pa.Table) -> pa.Table:
-    """The documents of a piece."""
-    return pa.ipc.open_stream(table["docs"][0].as_py()).read_all().combine_chunks()
-
-
-def packed(docs: DataFrame) -> DataFrame:
-    """piece and docs: some MB of documents as one compressed value, written to the shared folder."""
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches):
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, piece.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
-                stream.write_batch(piece)
-            yield pa.RecordBatch.from_arrays([pa.array([int.from_bytes(os.urandom(7), "big")]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["piece", "docs"])
-
-    return written(docs.mapInArrow(pack, "piece long, docs binary"))
-
-
 def maximal_repeats(store: DataFrame, window: int, prefix: int, group: int) -> DataFrame:
     """piece, begin and stop (in words of the piece) of maximal repeats of at least ``window`` words; they may overlap."""
     grown: list[np.ndarray] = []
@@ -188,7 +169,7 @@ def maximal_repeats(store: DataFrame, window: int, prefix: int, group: int) -> D
             for batch in batches:
                 for k in range(batch.num_rows):
                     part = pa.Table.from_batches([batch.slice(k, 1)])
-                    key, count = np.unique(Suffixes(_unpacked(part)["text"], window, prefix).keys(grown)[-1][3], return_counts=True)
+                    key, count = np.unique(Suffixes(unpacked(part)["text"], window, prefix).keys(grown)[-1][3], return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), part["piece"].combine_chunks().take(pa.array(np.zeros(len(key), np.int64))), pa.array(count)], names=["key", "piece", "n"])
                     release()
 
@@ -213,7 +194,7 @@ def maximal_repeats(store: DataFrame, window: int, prefix: int, group: int) -> D
         """Suffixes with their surroundings, equal ones once, with their places in the piece."""
         if not docs_of.num_rows or not keys_of.num_rows:
             return nothing
-        s = Suffixes(_unpacked(docs_of)["text"], window, prefix)
+        s = Suffixes(unpacked(docs_of)["text"], window, prefix)
         wanted = np.unique(keys_of["key"].to_numpy().view(U))
         parts = []
         for level, (at, lo, hi, key) in enumerate(s.keys(grown)):
@@ -278,7 +259,7 @@ def remove(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
     def cut(docs_of: pa.Table, repeats_of: pa.Table) -> pa.Table:
         if not docs_of.num_rows:
             return nothing
-        table = _unpacked(docs_of)
+        table = unpacked(docs_of)
         data, off = utf8(table["text"])
         start, end, text = words(data, off)
         count = np.bincount(text, minlength=table.num_rows)

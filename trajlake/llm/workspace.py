@@ -2,19 +2,39 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_scratch: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """Folder of ``spark.checkpoint.dir``; only where that is unset (tests), an own temporary one."""
+    """A new folder's name below ``spark.checkpoint.dir``. Where that is unset, a local session (tests) gets a temporary one; a cluster raises."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="trajlake-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/trajlake/{uuid.uuid4().hex}"
+    return "/".join([root.rstrip("/"), "trajlake", *_scratch[-1:], uuid.uuid4().hex])
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Folders named inside are deleted at the end: what is computed from them must be written elsewhere by then."""
+    whole = shared_dir(spark)
+    _scratch.append(whole.rsplit("/trajlake/", 1)[1])
+    try:
+        yield
+    finally:
+        _scratch.pop()
+        path = spark._jvm.org.apache.hadoop.fs.Path(whole)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
