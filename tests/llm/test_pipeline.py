@@ -6,6 +6,7 @@ import os
 import random
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -60,3 +61,28 @@ def test_mixed_and_foreign_documents_are_rejected(spark):
     assert sum(k in kept for k, _ in mixed) <= 75
     assert not any(2 * 10**9 + k in kept for k in range(len(foreign)))
     assert sum(k < 10**9 for k in kept) >= 0.98 * docs.where("text rlike '[a-zA-Z]'").count()
+
+
+def test_odd_rows_and_clashing_columns(spark, tmp_path):
+    """Nulls in every column, repeated rows, long texts and columns named as the operators name theirs."""
+    clash = "score double, lang_pred string, own_0 int, n_words int, n_removed int, piece int, quality_kept boolean, kept int, component_id int, fp int, n int, length int, again int, c_0 int, trusted boolean, threshold double"
+    names = [c.split()[0] for c in clash.split(", ")]
+    base = spark.read.parquet(f"{SF}/documents.parquet")
+    long = base.where("n_chars > 100").orderBy("doc_id").first()
+    odd = [(10**9, None, "en", "a", 1), (None, long["text"] + " x", "en", "a", 1), (None, long["text"] + " x", "en", "a", 1), (10**9 + 1, "", None, None, None), (10**9 + 2, long["text"] * 300, long["lang"], None, 5), (10**9 + 3, long["text"] + " end", None, "b", None), (10**9 + 3, long["text"] + " end", None, "b", None)]
+    docs = base.unionByName(spark.createDataFrame(odd, base.schema))
+    docs = docs.unionByName(base.where("doc_id % 7 = 0")).select("*", *[F.expr(f"cast(if(doc_id % 2 = 0, 1, null) as {c.split()[1]})").alias(c.split()[0]) for c in clash.split(", ")])
+    docs.write.parquet(str(tmp_path / "start"))
+    docs = spark.read.parquet(str(tmp_path / "start"))
+    columns = docs.columns
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, SF).write.parquet(str(tmp_path / name))
+        after = spark.read.parquet(str(tmp_path / name))
+        if k == len(corpus_pipeline.STAGES) - 1:
+            assert after.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+            break
+        assert after.columns == columns and [t for _, t in after.dtypes] == [t for _, t in docs.dtypes]
+        assert after.where("doc_id % 2 = 0").count() == after.where(" and ".join(f"{c} is not null" for c in names)).count() > 0
+        if name == "near_duplicates":
+            assert after.count() == after.select("doc_id", "text").distinct().count()
+        docs = after

@@ -15,9 +15,9 @@ from trajlake.llm.workspace import written
 U = np.uint64
 
 
-def shards_of(df: DataFrame) -> int:
-    """As many shards as the session has shuffle partitions."""
-    return max(4, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def shards_of(df: DataFrame, size: int = 0, each: int = 64 << 20) -> int:
+    """As many shards as ``size`` bytes ask for, and as the session has shuffle partitions at least."""
+    return max(4, partitions_for(df, size, each))
 
 
 def partitions_for(df: DataFrame, items: int, each: int) -> int:

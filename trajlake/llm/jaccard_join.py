@@ -13,7 +13,7 @@
    others in pairs of bounded blocks.
 5. Links join classes to components; copies follow their class.
 
-Cases: a null or empty text has an empty set, no link and its own id as component; fewer words than n
+N-grams and sets are known by 64-bit hashes of their words. Cases: a null or empty text has an empty set, no link and its own id as component; fewer words than n
 count as one n-gram; repeated rows are equal documents; an empty table gives an empty result.
 """
 
@@ -81,18 +81,21 @@ def classes(df: DataFrame, n: int) -> DataFrame:
     return df.mapInArrow(run, "doc_id long, n_shingles long, fp long")
 
 
-def shared_ngrams(df: DataFrame, n: int, need: int) -> DataFrame:
+def shared_ngrams(df: DataFrame, n: int, need: int, size: int) -> DataFrame:
     """Classes that may have a partner: fp, n, grams (those of more than one class) and prefix, as bytes.
 
-    ``need`` is the threshold in hundredths.
+    ``need`` is the threshold in hundredths, ``size`` the bytes of all texts: a shard's n-grams fit memory.
     """
-    shards = shards_of(df)
+    shards = shards_of(df, 2 * size)
 
     def incidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
             gram, bounds, fp = sets_of(piece.column(1), n)
             size = np.diff(bounds)
             row = np.repeat(np.arange(len(size)), size)
+            once = np.zeros(len(size), bool)  # a class goes once a piece, however many copies stand in it
+            once[np.unique(fp, return_index=True)[1]] = True
+            row, gram = row[once[row]], gram[once[row]]
             shard = ((gram >> U(32)) % U(shards)).astype(np.int64)
             order = np.argsort(shard.astype(np.uint16) if shards < 1 << 16 else shard, kind="stable")
             row, shard, gram = row[order], shard[order], gram[order]
@@ -137,13 +140,13 @@ def shared_ngrams(df: DataFrame, n: int, need: int) -> DataFrame:
 
     block = "shard int, fp binary, n binary, gram binary, df binary"
     dealt = df.mapInArrow(incidence, "shard int, fp binary, n binary, count binary, gram binary")
-    back = dealt.groupBy("shard").applyInArrow(common, block)
-    return back.groupBy("shard").applyInArrow(survivors, "fp long, n int, grams binary, prefix binary")
+    back = dealt.repartition(shards, "shard").groupBy("shard").applyInArrow(common, block)
+    return back.repartition(shards, "shard").groupBy("shard").applyInArrow(survivors, "fp long, n int, grams binary, prefix binary")
 
 
 def candidate_components(found: DataFrame) -> DataFrame:
     """fp and root of the classes that share a prefix n-gram with another, directly or through others."""
-    shards = max(4, shards_of(found) // 4)
+    shards = max(4, shards_of(found, 2 * (found.agg(F.sum(F.octet_length("prefix"))).first()[0] or 0)) // 4)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -279,7 +282,8 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int =
     need = round(100 * threshold)
     docs = documents(df, id_col, text_col)
     classed = written(classes(docs, n))
-    found = written(shared_ngrams(docs, n, need))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    found = written(shared_ngrams(docs, n, need, size))
     rooted = written(candidate_components(found))
     roots = connected(links(found, rooted, need))
     smallest = classed.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("own"))

@@ -13,8 +13,8 @@ doc_id), from a histogram of bounded size, times a margin. A few bytes say littl
 perplexity takes in ``prior_bytes`` of the language's usual one.
 
 Cases: a null or empty text has no perplexity and is rejected; a null language is a language of its
-own ("und"); a language with few held-out trusted documents takes the threshold of all; with few of all
-languages together, thresholds come from all trusted documents; a document labelled twice takes the
+own ("und"); a language with fewer than ``least`` held-out trusted documents takes the threshold of all;
+with fewer of all languages together, all trusted documents are learned from and judged by; a document labelled twice takes the
 smaller label; a document at its threshold is kept; without trusted documents nothing can be judged and
 every text is kept; repeated rows get equal results; carried columns may have any names; an empty table
 gives an empty result.
@@ -234,6 +234,8 @@ def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     docs = df.select(df[id_col].cast("long").alias("doc_id"), df[text_col].cast("string").alias("text"), F.coalesce(df[lang_col].cast("string"), F.lit("und")).alias("lang"), *[df[c].alias(n) for c, n in zip(carried, names, strict=True) if c != text_col])
     flagged = with_trust(docs, trusted_ids(labels))
     apart = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % HELD_OUT == 0
+    if flagged.where(F.col("trusted") & apart).count() < least:
+        apart = F.lit(False)
     store = packed(flagged.withColumn("learn", F.col("trusted") & ~apart))
     grams = written(count_ngrams(store))
     table = written(probabilities(grams))
