@@ -12,37 +12,57 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trajlake.llm import jaccard_join, language, packing, perplexity, substring_dedup
-from trajlake.llm.workspace import shared_dir, written
+from trajlake.llm.workspace import scratch, shared_dir, written
 
 #: Rows of ids that may be copied to every task; more are joined by shuffle.
 FEW_IDS = 2_000_000
 
 
+def _plain(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The same columns under names that no operator uses, and each column's."""
+    names = {c: f"own_{k}" for k, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Reject documents without a letter and those whose language stays ambiguous between two codewords."""
     model = language.fit(docs)
-    carried = [c for c in docs.columns if c not in ("doc_id", "text")]
-    named = language.predict(docs, model, carry=[*carried, "text"])
-    return named.where("lang_pred <> 'und' and not ambiguous").select(docs.columns)
+    plain, names = _plain(docs)
+    named = language.predict(plain, model, id_col=names["doc_id"], text_col=names["text"], carry=list(names.values()))
+    return named.where("lang_pred <> 'und' and not ambiguous").select(*names.values()).toDF(*docs.columns)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Reject documents whose perplexity lies beyond their language's threshold."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return perplexity.classify(docs, labels, carry=docs.columns).where("quality_kept").select(docs.columns)
+    return perplexity.classify(docs, labels, carry=docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest doc_id of each group of near copies."""
+    """Keep the smallest doc_id of each group of near copies, and one of rows with one id and text."""
     extra = written(jaccard_join.join(docs).where("component_id <> doc_id").select("doc_id"))
-    return docs.join(F.broadcast(extra) if extra.count() <= FEW_IDS else extra, "doc_id", "left_anti").select(docs.columns)
+    plain, names = _plain(docs)
+    own, text = names["doc_id"], names["text"]
+    left = plain.join(_few(extra), F.col(own) == F.col("doc_id"), "left_anti")
+    again = written(left.groupBy(own).agg(F.count("*").alias("n")).where("n > 1").select(F.col(own).alias("again")))
+    if again.isEmpty():
+        return left.toDF(*docs.columns)
+    same = F.col(own).eqNullSafe(F.col("again"))
+    twice = left.join(_few(again), same, "left_semi").dropDuplicates([own, text])
+    return left.join(_few(again), same, "left_anti").unionByName(twice).toDF(*docs.columns)
+
+
+def _few(ids: DataFrame) -> DataFrame:
+    """Copied to every task only if they are few."""
+    return F.broadcast(ids) if ids.count() <= FEW_IDS else ids
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remove passages that occur elsewhere; a document keeps its row, with the words that are left."""
-    carried = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    cut = substring_dedup.remove(docs, carry=carried)
-    return cut.select(*[F.length("text").cast("long").alias("n_chars") if c == "n_chars" else F.col(c) for c in docs.columns])
+    plain, names = _plain(docs)
+    carried = [n for c, n in names.items() if c not in ("text", "n_chars")]
+    cut = substring_dedup.remove(plain, id_col=names["doc_id"], text_col=names["text"], carry=carried)
+    return cut.select(*[F.col("text") if c == "text" else F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(names[c]).alias(c) for c in docs.columns])
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,12 +83,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of sf_dir, each written and read again."""
+    """All stages over the documents of sf_dir, each written and read again; a stage's own intermediates are deleted."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            path = shared_dir(spark)
-            docs.write.parquet(path)
-            docs = spark.read.parquet(path)
-    return docs
+        if k == len(STAGES) - 1:
+            return stage(spark, docs, sf_dir)
+        path = shared_dir(spark)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
