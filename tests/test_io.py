@@ -43,8 +43,26 @@ def test_export_manifest_has_the_files_digests(spark, tmp_path):
     path = str(tmp_path / "out")
     m = sinks.write_jsonl(spark.createDataFrame([("a", 1), ("b", None)], "k string, v int").coalesce(1), path).collect()
     assert len(m) == 1 and m[0]["sha256"] == hashlib.sha256((tmp_path / "out" / m[0]["file"]).read_bytes()).hexdigest()
+    declared = spark.createDataFrame([("models", "1"), ("tools", " "), ("prompts", "2")], "version_group string, version string")
+    assert [r[0] for r in sinks.undeclared_groups(declared).collect()] == ["scenarios", "tools", "images", "evaluators", "exporters"]
+
+
+def test_allowlists_pages_and_registries(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"repositories": [{"repository": "a/b"}, 7]}')
+    (tmp_path / "b.json").write_text('[{"repository": "c/d"}]')
+    (tmp_path / "c.json").write_text('{"repository": "e/f"}')
+    assert [json.loads(r["raw"] or "null") for r in readers.allowlist_records(spark, str(tmp_path / "a.json")).orderBy("position").collect()] == [{"repository": "a/b"}, None]
+    assert [readers.allowlist_records(spark, str(tmp_path / f)).first()["raw"] for f in ("b.json", "c.json")] == ['{"repository":"c/d"}', '{"repository":"e/f"}']
+    (tmp_path / "page.json").write_text('{"rows": [{"row_idx": 4, "row": {"x": 1}}, {"row_idx": 5, "row": {"x": 2}}, {"row_idx": 6, "row": 3}]}')
+    assert [(r["row_idx"], r["raw"]) for r in readers.paged_rows(spark, str(tmp_path / "page.json"), 5, 2).collect()] == [(5, '{"x":2}')]
     with pytest.raises(ValueError):
-        sinks.release_manifest({"models": 1})
+        readers.paged_rows(spark, "x", -1, 2)
+    (tmp_path / "scenarios").mkdir()
+    for k in ("s2", "s1"):
+        (tmp_path / "scenarios" / f"{k}.json").write_text(json.dumps({"scenario_id": k}))
+    assert [r["scenario_id"] for r in readers.registry_scenarios(spark, str(tmp_path)).collect()] == ["s1", "s2"]
+    (tmp_path / "old.jsonl").write_text('{"id": "a"}\n\n{"id": "a"}\nbroken\n{"id": "b"}\n')
+    assert sorted(r["id"] for r in readers.resumed(spark, str(tmp_path / "old.jsonl"), "id").collect()) == ["a", "b"]
 
 
 def test_monitor_follows_sessions_over_batches(spark, tmp_path):

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LICENSES = ("mit", "apache-2.0", "bsd-2-clause", "bsd-3-clause", "isc", "mpl-2.0", "unlicense", "cc0-1.0")
+from trajlake.functions.fields import normal_label, normal_source
+
+# Licences that training data may have, as normalised labels.
+LICENSES = ("0bsd", "apache_2.0", "bsd_2_clause", "bsd_3_clause", "cc0_1.0", "isc", "mit", "mpl_2.0", "python_2.0", "unlicense")
 
 
 def source_type(c: Column, default: str = "public_issue") -> Column:
@@ -14,7 +17,8 @@ def source_type(c: Column, default: str = "public_issue") -> Column:
 
 
 def license_ok(c: Column) -> Column:
-    return F.lower(F.trim(c)).isin(*LICENSES)
+    """Whether a licence, however it is spelled, is one of those; a blank or missing one is not."""
+    return normal_label(c).isin(*LICENSES)
 
 
 def issues(records: DataFrame) -> DataFrame:
@@ -32,6 +36,34 @@ def issues(records: DataFrame) -> DataFrame:
     return records.select("position", F.explode(checks).alias("code"))
 
 
+def allowlist_issues(allowlist: DataFrame, benchmarks: tuple[str, ...] = ()) -> DataFrame:
+    """position, repository and code of every check that a repository on the list fails; approved are those without a row.
+
+    allowlist: position, repository, benchmark_overlap, source_uri, license, language, collection_sources,
+    test_commands, ci_commands. Null counts as missing.
+    """
+    repository = normal_source(F.col("repository"))
+    uri = F.trim(F.coalesce("source_uri", F.lit("")))
+    host = F.lower(F.regexp_extract(uri, r"^https://(?:[^/?#@]*@)?([^/?#:]*)", 1))
+    public = uri.startswith("file:") | (uri.startswith("https://") & host.contains(".") & (host != "127.0.0.1"))
+
+    def none(c: str) -> Column:
+        return F.coalesce(F.size(F.filter(c, lambda x: F.trim(x) != "")), F.lit(0)) <= 0
+
+    checks = F.array_compact(
+        F.array(
+            F.when(repository == "", "missing_repository"),
+            F.when(repository.isin(*[b.lower() for b in benchmarks], "\x00") | F.coalesce("benchmark_overlap", F.lit(False)), "benchmark_overlap"),
+            F.when(uri == "", "missing_source_uri").when(~public, "non_public_source_uri"),
+            F.when(normal_label(F.col("license")) == "", "missing_license").when(~license_ok(F.col("license")), "license_not_allowlisted"),
+            F.when(normal_label(F.col("language")) == "", "missing_language"),
+            F.when(none("collection_sources"), "missing_collection_source"),
+            F.when(none("test_commands") & none("ci_commands"), "missing_stable_command"),
+        )
+    )
+    return allowlist.select("position", repository.alias("repository"), F.explode(checks).alias("code"))
+
+
 def first_rejection(records: DataFrame) -> DataFrame:
     """The first rule that rejects a record, in order; empty if none does."""
     code = (
@@ -193,3 +225,44 @@ def scenarios(records: DataFrame, limit: int) -> DataFrame:
     stop = judged.where("issue = ''").orderBy("position").limit(limit).agg(F.max("position").alias("last"), F.count("*").alias("n"))
     head = judged.join(F.broadcast(stop)).where((F.col("n") < limit) | (F.col("position") <= F.col("last")))
     return head.select("position", F.when(F.col("issue") == "", F.concat(F.lit("scenario_"), F.substring(F.sha2("source_instance_id", 256), 1, 16))).alias("scenario_id"), "issue")
+
+
+def quarantined(imports: DataFrame, synthetic: DataFrame, holdouts: DataFrame, filters: DataFrame) -> DataFrame:
+    """One row: records set aside by four kinds of summaries and the number of their issues.
+
+    The first three have skipped and issues, the last quarantined and issues; null counts as none.
+    """
+    sides = [d.select(F.col("skipped").alias("n"), "issues") for d in (imports, synthetic, holdouts)] + [filters.select(F.col("quarantined").alias("n"), "issues")]
+    every = sides[0]
+    for side in sides[1:]:
+        every = every.unionByName(side)
+    found = F.greatest(F.coalesce(F.size("issues"), F.lit(0)), F.lit(0))
+    return every.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("records"), F.coalesce(F.sum(found), F.lit(0)).cast("long").alias("issues"))
+
+
+def failure_evidence(results: DataFrame, scenarios: DataFrame) -> DataFrame:
+    """Per source instance the last failed result: source_instance_id, scenario_id, summary.
+
+    results: summary (order), position, scenario_id, source_instance_id, valid; scenarios: scenario_id,
+    source_instance_id. A result without an instance takes its scenario's; without either it is left out.
+    """
+    known = scenarios.select("scenario_id", F.col("source_instance_id").alias("_own")).where("_own <> ''").dropDuplicates(["scenario_id"])
+    failed = results.where(~F.coalesce("valid", F.lit(True))).join(known, "scenario_id", "left")
+    instance = F.coalesce(F.nullif(F.trim("source_instance_id"), F.lit("")), F.col("_own"))
+    last = failed.withColumn("_id", instance).where("_id is not null").groupBy("_id").agg(F.max(F.struct("summary", "position", "scenario_id")).alias("last"))
+    return last.select(F.col("_id").alias("source_instance_id"), "last.scenario_id", "last.summary")
+
+
+def selected_ids(rows: DataFrame, key: str, explicit: DataFrame | None = None, listed: DataFrame | None = None) -> DataFrame:
+    """Rows whose id is asked for: explicit and listed ids together mean those in both, neither means all rows.
+
+    An empty table of ids that is given does ask, for nothing.
+    """
+    asked = explicit if listed is None else listed if explicit is None else explicit.select(key).intersect(listed.select(key))
+    return rows if asked is None else rows.join(asked.select(key).distinct(), key, "left_semi")
+
+
+def job_selection(explicit: DataFrame, listed: DataFrame) -> DataFrame | None:
+    """Distinct ids of both tables; None if there are none, which means that nothing is left out."""
+    both = explicit.select("job_id").unionByName(listed.select("job_id")).where("job_id is not null").distinct()
+    return None if both.isEmpty() else both

@@ -228,6 +228,26 @@ def sft(messages: DataFrame) -> DataFrame:
     return grouped.where((final["role"] == "assistant") & (F.length(F.trim(final["content"])) > 0)).select("session_id", F.size("m").cast("long").alias("messages"), F.sha2(joined, 256).alias("messages_sha256"))
 
 
+#: Verifiers whose verdict does not rest on the agent.
+HARD_VERIFIERS = ("hidden_command", "required_state", "forbidden_state")
+
+
+def sft_eligibility(results: DataFrame, replayed: DataFrame) -> DataFrame:
+    """job_id and reason ("" if its trace may be trained on), the first that holds of: infrastructure failure,
+    not successful, no hard verifier or one without a score, not ended as successful.
+
+    results: job_id, verifier, passed, infra, score; replayed: job_id, success (of the finished trace). A job
+    with no replayed trace did not end as successful.
+    """
+    hard = F.col("verifier").isin(*HARD_VERIFIERS)
+    grouped = results.groupBy("job_id").agg(
+        F.bool_and("passed").alias("passed"), F.bool_or("infra").alias("infra"), F.count(F.when(hard, 1)).alias("hard"), F.coalesce(F.bool_and(F.when(hard, F.col("score") > 0)), F.lit(False)).alias("scored")
+    )
+    met = grouped.join(replayed.select("job_id", "success"), "job_id", "left")
+    reason = F.when(F.col("infra"), "infrastructure_failure").when(~F.col("passed"), "not_successful").when((F.col("hard") == 0) | ~F.col("scored"), "no_hard_verifier").when(~F.coalesce("success", F.lit(False)), "not_finished_as_successful").otherwise("")
+    return met.select("job_id", reason.alias("reason"))
+
+
 def preference_pairs(runs: DataFrame) -> DataFrame:
     """Per scenario its best and worst run by (reward, trace_id) where their rewards differ."""
     ends = runs.groupBy("scenario_id").agg(F.count("*").alias("runs"), F.max(F.struct("reward", "trace_id")).alias("best"), F.min(F.struct("reward", "trace_id")).alias("worst"))
@@ -251,7 +271,7 @@ def semantic_hash(trace: DataFrame) -> DataFrame:
 
 
 def prompt_prefixes(messages: DataFrame) -> DataFrame:
-    """Before each assistant message: how many messages and characters its prompt has, and their running digest."""
+    """Before each assistant message: how many messages and characters its prompt has."""
     before = Window.partitionBy("session_id").orderBy("sequence").rowsBetween(Window.unboundedPreceding, -1)
     sizes = messages.select("session_id", "sequence", "role", F.count("*").over(before).alias("prompt_messages"), F.coalesce(F.sum(F.length("content")).over(before), F.lit(0)).cast("long").alias("prompt_chars"))
     return sizes.where("role = 'assistant'").drop("role")

@@ -62,3 +62,61 @@ def bound_violations(calls: DataFrame, limit: int) -> DataFrame:
         )
     )
     return calls.withColumn("rules", rules).where(F.size("rules") > 0).withColumn("violations", F.array_join("rules", ",")).drop("rules")
+
+
+#: Names under which a usage record may count input, output, all tokens, and hold details of the input.
+INPUT, OUTPUT, ALL, DETAILS = ("input_tokens", "prompt_tokens"), ("output_tokens", "completion_tokens"), ("total_tokens",), ("input_tokens_details", "prompt_tokens_details")
+
+
+def priced(calls: DataFrame, raw: str, uncached: str, cached: str, output: str) -> DataFrame:
+    """The calls with input_tokens, cached_tokens, output_tokens, an exact cost_usd (decimal) and error ("" where all fits).
+
+    ``raw`` names a column of usage records as JSON text. Aliases of one count must agree; prices are per
+    million tokens. The first rule that is broken is the error, and such a call has no counts and no cost.
+    """
+    v = calls.withColumn("_u", F.try_parse_json(raw))
+
+    def there(name: str) -> Column:
+        return F.expr(f"try_variant_get(_u, '$.{name}', 'variant') is not null")
+
+    def count(name: str) -> Column:
+        return F.expr(f"if(schema_of_variant(try_variant_get(_u, '$.{name}', 'variant')) = 'BIGINT', try_variant_get(_u, '$.{name}', 'bigint'), null)")
+
+    def first(names: tuple[str, ...]) -> Column:
+        return F.coalesce(*[count(n) for n in names])
+
+    def differ(names: tuple[str, ...]) -> Column:
+        return F.coalesce(count(names[0]) != count(names[1]), F.lit(False))
+
+    counted = (*INPUT, *OUTPUT, *ALL, "prompt_cache_hit_tokens", "prompt_cache_miss_tokens", *[f"{d}.cached_tokens" for d in DETAILS])
+    broken = F.lit(False)
+    for name in counted:
+        broken = broken | (there(name) & F.coalesce(count(name) < 0, F.lit(True)))
+    hit, miss = (F.coalesce(count(f"prompt_cache_{k}_tokens"), F.lit(0)) for k in ("hit", "miss"))
+    details = [F.expr(f"to_json(try_variant_get(_u, '$.{d}', 'variant'))") for d in DETAILS]
+    detail = F.coalesce(*[count(f"{d}.cached_tokens") for d in DETAILS], F.lit(0))
+    v = v.withColumns({"_hit": hit, "_miss": miss, "_detail": detail, "_in": F.coalesce(first(INPUT), F.when(there("prompt_cache_hit_tokens") | there("prompt_cache_miss_tokens"), hit + miss)), "_out": first(OUTPUT), "_all": first(ALL)})
+    kept = F.when(F.col("_hit") > 0, F.col("_hit")).otherwise(F.col("_detail"))
+    error = (
+        F.when(F.col("_u").isNull() | (F.coalesce(F.size(F.json_object_keys(raw)), F.lit(0)) <= 0), "empty")
+        .when(broken, "not_a_count")
+        .when(differ(INPUT), "input_conflict")
+        .when(F.col("_in").isNull(), "input_missing")
+        .when(F.coalesce(details[0] != details[1], F.lit(False)), "details_conflict")
+        .when((F.col("_hit") > 0) & (F.col("_detail") > 0) & (F.col("_hit") != F.col("_detail")), "cached_conflict")
+        .when((F.col("_miss") > 0) & (F.col("_hit") + F.col("_miss") != F.col("_in")), "cache_does_not_add_up")
+        .when(kept > F.col("_in"), "cached_above_input")
+        .when(differ(OUTPUT), "output_conflict")
+        .when(F.col("_out").isNull(), "output_missing")
+        .when(F.coalesce(F.col("_all") != F.col("_in") + F.col("_out"), F.lit(False)), "total")
+        .otherwise("")
+    )
+    v = v.withColumns({"error": error, "_kept": kept})
+    fine = F.col("error") == ""
+
+    def part(n: Column, price: str) -> Column:
+        return n.cast("decimal(18,0)") * F.lit(price).cast("decimal(10,4)")
+
+    cost = part(F.col("_in") - F.col("_kept"), uncached) + part(F.col("_kept"), cached) + part(F.col("_out"), output)
+    shown = {"input_tokens": F.when(fine, F.col("_in")), "cached_tokens": F.when(fine, F.col("_kept")), "output_tokens": F.when(fine, F.col("_out")), "cost_usd": F.when(fine, (cost.cast("decimal(30,4)") * F.lit("0.000001").cast("decimal(6,6)")).cast("decimal(38,10)"))}
+    return v.withColumns(shown).drop("_u", "_hit", "_miss", "_detail", "_in", "_out", "_all", "_kept")

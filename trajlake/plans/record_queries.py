@@ -10,13 +10,13 @@ from trajlake.plans import adapters as A
 from trajlake.plans.registry import query
 
 W = f"WITH {A.RECORDS}, {A.ALLOW} "
-OK = "('mit', 'apache-2.0', 'bsd-2-clause', 'bsd-3-clause', 'isc', 'mpl-2.0', 'unlicense', 'cc0-1.0')"
+OK = "(" + ", ".join(f"'{v}'" for v in R.LICENSES) + ")"
 KIND = "CASE source_type WHEN 'pull_request' THEN 'public_pull_request' WHEN 'ci_run' THEN 'public_ci' ELSE 'public_issue' END"
 ISSUES = f"""v_issues AS (SELECT position, unnest(list_filter([CASE WHEN source_instance_id = '' THEN 'missing_instance_id' END, CASE WHEN title = '' THEN 'missing_title' END,
- CASE WHEN NOT regexp_full_match(revision, '[0-9a-f]{{40}}') THEN 'revision_not_fixed' END, CASE WHEN license = '' THEN 'missing_license' WHEN lower(trim(license)) NOT IN {OK} THEN 'license_not_allowed' END,
+ CASE WHEN NOT regexp_full_match(revision, '[0-9a-f]{{40}}') THEN 'revision_not_fixed' END, CASE WHEN license = '' THEN 'missing_license' WHEN replace(replace(lower(trim(license)), '-', '_'), ' ', '_') NOT IN {OK} THEN 'license_not_allowed' END,
  CASE WHEN source_url NOT LIKE 'https://%' THEN 'url_not_https' END, CASE WHEN source_type = '' THEN 'missing_source_type' END], lambda x: x IS NOT NULL)) AS code FROM v_records)"""
 LAST = "v_last AS (SELECT repository, arg_max(license, position) AS allow_license FROM v_allow GROUP BY repository)"
-REASON = f"""v_reason AS (SELECT position, CASE WHEN allow_license IS NULL THEN 'repository_not_allowlisted' WHEN lower(allow_license) NOT IN {OK} THEN 'repository_license' WHEN lower(trim(license)) NOT IN {OK} THEN 'record_license' ELSE '' END AS reason
+REASON = f"""v_reason AS (SELECT position, CASE WHEN allow_license IS NULL THEN 'repository_not_allowlisted' WHEN replace(replace(lower(allow_license), '-', '_'), ' ', '_') NOT IN {OK} THEN 'repository_license' WHEN replace(replace(lower(trim(license)), '-', '_'), ' ', '_') NOT IN {OK} THEN 'record_license' ELSE '' END AS reason
  FROM v_records LEFT JOIN v_last USING (repository))"""
 ACCEPTED = """v_accepted AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_instance_id ORDER BY position) AS n FROM v_records) WHERE n = 1 AND position IN (SELECT position FROM v_reason WHERE reason = '') AND position NOT IN (SELECT position FROM v_issues))"""
 ALL = f"{W}, {ISSUES}, {LAST}, {REASON}, {ACCEPTED} "

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Keys that may hold the list of records of a JSON document, in order.
+# Keys that may hold the list of records of a JSON document, in order.
 CONTAINERS = ("records", "instances", "data", "tasks")
 
 
@@ -50,3 +50,34 @@ def blobs(spark: SparkSession, path: str) -> DataFrame:
     """Content-addressed files (sha256/ab/<digest>): digest, size and whether the content has that digest."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return files.select(F.regexp_extract("path", r"([0-9a-f]{64})$", 1).alias("digest"), F.col("length").alias("size"), (F.sha2("content", 256) == F.regexp_extract("path", r"([0-9a-f]{64})$", 1)).alias("intact")).where("digest <> ''")
+
+
+def allowlist_records(spark: SparkSession, path: str) -> DataFrame:
+    """One row (position, raw) per repository of an allowlist: JSON lines, an array, or an object that holds ``repositories``."""
+    if path.endswith(".jsonl"):
+        return json_records(spark, path, lines=True)
+    whole = spark.read.text(path, wholetext=True)
+    listed = F.coalesce(F.get_json_object("value", "$.repositories"), F.when(F.ltrim("value").startswith("["), F.col("value")), F.concat(F.lit("["), F.col("value"), F.lit("]")))
+    items = whole.select(listed.alias("i")).select(F.posexplode(F.expr("cast(try_parse_json(i) as array<variant>)")).alias("position", "v"))
+    text = F.to_json("v")
+    return items.select(F.col("position").cast("long"), F.when(text.startswith("{"), text).alias("raw"))
+
+
+def paged_rows(spark: SparkSession, path: str, offset: int, length: int) -> DataFrame:
+    """Rows offset to offset + length of saved pages of a rows API ({"rows": [{"row_idx": n, "row": {...}}]}): row_idx, raw."""
+    if offset < 0 or length < 1:
+        raise ValueError("offset must be 0 or more and length 1 or more")
+    pages = spark.read.text(path, wholetext=True).select(F.explode(F.expr("try_variant_get(try_parse_json(value), '$.rows', 'array<variant>')")).alias("r"))
+    rows = pages.select(F.try_variant_get("r", "$.row_idx", "bigint").alias("row_idx"), F.to_json(F.try_variant_get("r", "$.row", "variant")).alias("raw"))
+    return rows.where((F.col("row_idx") >= offset) & (F.col("row_idx") < offset + length) & F.col("raw").startswith("{"))
+
+
+def registry_scenarios(spark: SparkSession, folder: str) -> DataFrame:
+    """Scenarios of a registry folder (scenarios/*.json), in order of id: scenario_id, raw."""
+    files = spark.read.text(f"{folder}/scenarios/*.json", wholetext=True)
+    return files.select(F.get_json_object("value", "$.scenario_id").alias("scenario_id"), F.col("value").alias("raw")).where("scenario_id is not null").orderBy("scenario_id")
+
+
+def resumed(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """Ids that an earlier export to JSON lines already holds, each once."""
+    return json_records(spark, path, lines=True).select(F.get_json_object("raw", f"$.{key}").alias(key)).where(f"{key} is not null").distinct()
