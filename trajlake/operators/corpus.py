@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trajlake.functions.text import normalized_query, tokens
+from trajlake.functions.text import normalized_query
 
 
 def exact_duplicates(seeds: DataFrame) -> DataFrame:
@@ -16,27 +16,32 @@ def exact_duplicates(seeds: DataFrame) -> DataFrame:
 
 def token_classes(seeds: DataFrame) -> DataFrame:
     """Distinct token sets without pure numbers: rep (smallest seed), its seeds, n and the tokens; no empty set."""
-    words = F.array_sort(F.array_distinct(F.filter(tokens(F.col("query")), lambda t: ~t.rlike("^[0-9]+$"))))
-    return seeds.select("seed_id", words.alias("tokens")).where(F.size("tokens") > 0).groupBy("tokens").agg(F.min("seed_id").alias("rep"), F.count("*").alias("seeds")).withColumn("n", F.size("tokens"))
+    lettered = F.regexp_extract_all(F.lower("query"), F.lit("[0-9]*[a-z][a-z0-9]*"), 0)
+    words = F.sort_array(F.array_distinct(lettered))
+    return seeds.select("seed_id", words.alias("tokens")).withColumn("key", F.sha2(F.array_join("tokens", " "), 256)).groupBy("key").agg(F.min("seed_id").alias("rep"), F.count("*").alias("seeds"), F.first("tokens").alias("tokens")).drop("key").withColumn("n", F.size("tokens")).where("n > 0")
 
 
 def semantic_duplicates(seeds: DataFrame, tenths: int = 8) -> DataFrame:
     """Pairs of token-set representatives with Jaccard of at least tenths / 10, found by rare-token prefixes.
 
     Tokens are ordered by document frequency; two sets that similar share one of their first
-    n - ceil(t n) + 1 tokens, so only these are joined. Copies follow their representative.
+    n - ceil(t n) + 1 tokens, and after the first one they share enough must be left in both, so only
+    such places are joined. Copies follow their representative.
     """
-    classes = token_classes(seeds).select("rep", "n", "tokens")
-    frequency = classes.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("df"))
-    ordered = classes.select("rep", "n", F.explode("tokens").alias("token")).join(frequency, "token")
-    place = F.row_number().over(Window.partitionBy("rep").orderBy("df", "token"))
-    prefix = ordered.where("df > 1 or n > 0").withColumn("place", place).where(F.col("place") <= F.col("n") - F.floor((F.col("n") * tenths + 9) / 10) + 1).where("df > 1").select("rep", "n", "token")
+    flat = token_classes(seeds).select("rep", F.explode("tokens").alias("token"))
+    frequency = flat.groupBy("token").agg(F.count("*").alias("df"))
+    ordered = flat.join(frequency, "token").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("toks")).withColumn("n", F.size("toks"))
+    kept = F.slice("toks", F.lit(1), F.col("n") - F.floor((F.col("n") * tenths + 9) / 10).cast("int") + 1)
+    prefix = ordered.select("rep", "n", F.posexplode(kept).alias("place", "t")).where("t.df > 1").select("rep", "n", "place", F.col("t.token").alias("token"))
     a, b = prefix.alias("a"), prefix.alias("b")
-    near = (F.col("a.token") == F.col("b.token")) & (F.col("a.rep") < F.col("b.rep")) & (10 * F.least("a.n", "b.n") >= tenths * F.greatest("a.n", "b.n"))
+    most = F.least(F.col("a.n") - F.col("a.place"), F.col("b.n") - F.col("b.place"))  # shared tokens, if this is the first
+    near = (F.col("a.token") == F.col("b.token")) & (F.col("a.rep") < F.col("b.rep")) & (10 * most >= tenths * (F.col("a.n") + F.col("b.n") - most))
     pairs = a.join(b, near).select(F.col("a.rep").alias("left_id"), F.col("b.rep").alias("right_id")).distinct()
-    left = classes.select(F.col("rep").alias("left_id"), F.col("tokens").alias("lt"), F.col("n").alias("ln"))
-    right = classes.select(F.col("rep").alias("right_id"), F.col("tokens").alias("rt"), F.col("n").alias("rn"))
-    met = pairs.join(left, "left_id").join(right, "right_id").withColumn("shared", F.size(F.array_intersect("lt", "rt")))
+    names = F.transform("toks", lambda t: t["token"])
+    left = ordered.select(F.col("rep").alias("left_id"), names.alias("lt"), F.col("n").alias("ln"))
+    right = ordered.select(F.col("rep").alias("right_id"), names.alias("rt"), F.col("n").alias("rn"))
+    spread = int(seeds.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes, much work: not to be coalesced
+    met = pairs.join(left, "left_id").repartition(spread, "right_id", "left_id").join(right, "right_id").withColumn("shared", F.size(F.array_intersect("lt", "rt")))
     return met.where(10 * F.col("shared") >= tenths * (F.col("ln") + F.col("rn") - F.col("shared"))).select("left_id", "right_id", F.round(F.col("shared") / (F.col("ln") + F.col("rn") - F.col("shared")), 6).alias("jaccard"))
 
 
