@@ -262,13 +262,17 @@ def test_perplexity_equals_a_plain_model(spark, nothing, monkeypatch):
     labels = spark.createDataFrame([(k, int(k % 3 != 0), 0) for k in range(80)], "doc_id long, quality int, toxic int")
     learned = [t or "" for k, t, _ in rows if k % 3 and zlib.crc32(str(k).encode()) % 5]
     want = {k: _plain_perplexity(learned, t) for k, t, _ in rows if t}
-    for shard, sent in ((500_000, 32 << 20), (7, 400)):  # many shards, each of which stands several times
+    seen = []
+    for few, shard, sent in ((8_000_000, 0, 0), (0, 500_000, 32 << 20), (0, 7, 400)):  # copied; joined; many shards, each of which stands several times
+        monkeypatch.setattr(perplexity, "FEW_NGRAMS", few)
         monkeypatch.setattr(perplexity, "SHARD_NGRAMS", shard)
         monkeypatch.setattr(perplexity, "SHARD_BYTES", sent)
-        found = {r["doc_id"]: r for r in perplexity.classify(df, labels).collect()}
+        found = {r["doc_id"]: r for r in perplexity.classify(df, labels, least=5).collect()}
         assert len(found) == 80 and all(not found[k]["kept"] and found[k]["perplexity"] is None for k, t, _ in rows if not t)
         for k, p in want.items():
-            assert found[k]["perplexity"] == pytest.approx(p, rel=1e-9)
+            assert found[k]["perplexity"] == pytest.approx(p, rel=1e-5)
+        seen.append({k: r["perplexity"] for k, r in found.items()})
+    assert seen[0] == seen[1] == seen[2]
     assert perplexity.classify(nothing.select("doc_id", "text", "lang"), labels).count() == 0
 
 

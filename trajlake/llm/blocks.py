@@ -34,7 +34,7 @@ def packed(docs: DataFrame) -> DataFrame:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
             sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, piece.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+            with pa.ipc.new_stream(sink, piece.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))) as stream:
                 stream.write_batch(piece)
             yield pa.RecordBatch.from_arrays([pa.array([int.from_bytes(os.urandom(7), "big")]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["piece", "docs"])
 

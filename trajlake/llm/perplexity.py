@@ -7,7 +7,9 @@ of n-gram, log-probability for the n-grams that the corpus holds (backed off whe
 
 Documents are scored by sharded count joins: each piece of documents sends its distinct n-grams to the
 shards that hold their probabilities, and what comes back is summed by its own counts. Neither side is
-ever copied to all tasks, and a common n-gram counts once a piece. A language's threshold is a quantile of
+copied to all tasks, and a common n-gram counts once a piece. A table of at most ``few`` n-grams (counted)
+is one shard that fits every task: it is copied there instead, and the sums are the same to the last bit.
+A language's threshold is a quantile of
 the perplexities of its trusted documents that the model was not trained on (one in five, by a checksum of
 doc_id), from a histogram of bounded size, times a margin. A few bytes say little, so the compared
 perplexity takes in ``prior_bytes`` of the language's usual one.
@@ -33,12 +35,14 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from trajlake.llm.blocks import U, deal, gathered, packed, partitions_for, runs, unpacked
-from trajlake.llm.text import mix, release, utf8
+from trajlake.llm.text import mix, pieces, release, utf8
 from trajlake.llm.workspace import written
 
 ORDER = 5
 #: Ids of trusted documents that may be copied to every task.
 FEW_IDS = 2_000_000
+#: N-grams of a table that may be copied to every task (12 bytes each).
+FEW_NGRAMS = 8_000_000
 #: N-grams of a shard, and bytes that its pieces send to it at once.
 SHARD_NGRAMS, SHARD_BYTES = 500_000, 32 << 20
 #: One trusted document in so many is not learned from; thresholds come from these.
@@ -75,8 +79,8 @@ def with_trust(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     return docs.join(known, "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
 
 
-def count_ngrams(store: DataFrame) -> DataFrame:
-    """gram and c, its count in the texts to learn from, for every n-gram of the corpus; documents have text and learn."""
+def count_ngrams(docs: DataFrame) -> DataFrame:
+    """gram and c, its count in the texts to learn from, for every n-gram of the corpus; docs: text, learn."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, total = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -84,24 +88,21 @@ def count_ngrams(store: DataFrame) -> DataFrame:
         def flush() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(held), pa.array(total)], names=["gram", "c"])
 
-        for batch in batches:
-            for row in range(batch.num_rows):
-                piece = unpacked(batch, row)
-                key, off = keys_of(piece["text"])
-                good = np.repeat(piece["learn"].to_numpy().astype(bool), np.diff(off))
-                code, distinct = pd.factorize(key)
-                both, at = np.unique(np.concatenate([held, distinct]), return_inverse=True)
-                count = np.zeros(len(both), np.int64)
-                np.add.at(count, at, np.concatenate([total, np.bincount(code[good], minlength=len(distinct))]))
-                held, total = both, count
-                if len(held) > 3_000_000:
-                    yield flush()
-                    held, total = held[:0], total[:0]
-                release()
+        for piece in pieces(batches):
+            key, off = keys_of(piece.column(0))
+            good = np.repeat(piece.column(1).to_numpy(zero_copy_only=False).astype(bool), np.diff(off))
+            code, distinct = pd.factorize(key)
+            both, at = np.unique(np.concatenate([held, distinct]), return_inverse=True)
+            count = np.zeros(len(both), np.int64)
+            np.add.at(count, at, np.concatenate([total, np.bincount(code[good], minlength=len(distinct))]))
+            held, total = both, count
+            if len(held) > 3_000_000:
+                yield flush()
+                held, total = held[:0], total[:0]
         if len(held):
             yield flush()
 
-    return store.select("piece", "docs").mapInArrow(run, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
+    return docs.select("text", "learn").mapInArrow(run, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
 
 
 def _discounted(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -134,7 +135,7 @@ def probabilities(grams: DataFrame) -> DataFrame:
         asked = asked.join(own, "gram", "left").join(spare, "context", "left")
         base = asked.withColumn("p", F.lit(1 / 256)) if lower is None else asked.join(lower.withColumnRenamed("gram", "suffix"), "suffix")
         lower = written(base.select("gram", (F.coalesce("own", F.lit(0.0)) + F.coalesce("spare", F.lit(1.0)) * F.col("p")).alias("p")))
-    return lower.select("gram", F.log("p").alias("logp"))
+    return lower.select("gram", F.log("p").cast("float").alias("logp"))
 
 
 def _asked(column: pa.ChunkedArray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -148,9 +149,40 @@ def _asked(column: pa.ChunkedArray, shards: int) -> tuple[np.ndarray, np.ndarray
     return distinct[order], shard[order], place[code], off
 
 
-def score(store: DataFrame, table: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """The named columns (name to type) of all documents, n_bytes and perplexity (null without text)."""
-    n, count = table.count(), store.count()
+def _perplexities(logp: np.ndarray, place: np.ndarray, off: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Bytes and perplexity of each text, from its n-grams' places in ``logp``."""
+    size = np.diff(off)
+    some = np.flatnonzero(size)
+    sums = np.zeros(len(size))
+    if len(some):
+        sums[some] = np.add.reduceat(logp.astype(np.float64)[place], off[:-1][some])
+    return pa.array(size), pa.array(np.exp(-sums / np.maximum(size, 1)), mask=size == 0)
+
+
+def score(docs: DataFrame, table: DataFrame, columns: list[str], few: int | None = None) -> DataFrame:
+    """The named columns of all documents, n_bytes and perplexity (null without text); docs: text and the columns."""
+    n = table.count()
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
+    schema = "".join(f"{c} {kinds[c]}, " for c in columns) + "n_bytes long, perplexity double"
+    if n > (FEW_NGRAMS if few is None else few):
+        return _joined(packed(docs.select(*dict.fromkeys(["text", *columns]))), table, n, columns, schema)
+    rows = table.select("gram", "logp").toArrow().sort_by("gram")
+    shared = docs.sparkSession.sparkContext.broadcast((rows["gram"].to_numpy(), rows["logp"].to_numpy()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gram, logp = shared.value
+        for piece in pieces(batches):
+            key, off = keys_of(piece.column(0))
+            code, distinct = pd.factorize(key)
+            yield pa.RecordBatch.from_arrays([*piece.columns[1:], *_perplexities(logp[np.searchsorted(gram, distinct)], code, off)], names=[*columns, "n_bytes", "perplexity"])
+
+    own = docs.select("text", *[F.col(c).alias(f"s_{k}") for k, c in enumerate(columns)])
+    return own.mapInArrow(run, schema)
+
+
+def _joined(store: DataFrame, table: DataFrame, n: int, columns: list[str], schema: str) -> DataFrame:
+    """Scores by sharded count joins; store: pieces of documents."""
+    count = store.count()
     shards = max(1, -(-n // SHARD_NGRAMS))
     parts = max(1, -(-count * min(n, 1_000_000) * 4 // (shards * SHARD_BYTES)))  # a shard with many pieces stands several times
     held, slots = partitions_for(store, count, 8), partitions_for(store, shards * parts, 1)
@@ -174,7 +206,7 @@ def score(store: DataFrame, table: DataFrame, columns: dict[str, str]) -> DataFr
                 yield pa.RecordBatch.from_arrays([out.column(0).cast(pa.int64()), out.column(1), out.column(2)], names=["slot", "gram", "logp"])
 
     def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
-        gram, logp = gathered(known, "gram", np.int64), gathered(known, "logp", np.float64)
+        gram, logp = gathered(known, "gram", np.int64), gathered(known, "logp", np.float32)
         order = np.argsort(gram)
         gram, logp = gram[order], logp[order]
         out = []
@@ -183,7 +215,6 @@ def score(store: DataFrame, table: DataFrame, columns: dict[str, str]) -> DataFr
             out.append(logp[np.searchsorted(gram, wanted)].tobytes())
         return pa.table({"piece": asked["piece"], "shard": asked["shard"], "logp": pa.array(out, pa.binary())})
 
-    schema = "".join(f"{c} {t}, " for c, t in columns.items()) + "n_bytes long, perplexity double"
     nothing = to_arrow_schema(StructType.fromDDL(schema)).empty_table()
 
     def total(docs_of: pa.Table, answers: pa.Table) -> pa.Table:
@@ -191,14 +222,9 @@ def score(store: DataFrame, table: DataFrame, columns: dict[str, str]) -> DataFr
             return nothing
         docs = unpacked(docs_of)
         _, _, place, off = _asked(docs["text"], shards)
-        logp = gathered(answers.sort_by("shard"), "logp", np.float64)
-        size = np.diff(off)
-        some = np.flatnonzero(size)
-        sums = np.zeros(len(size))
-        if len(some):
-            sums[some] = np.add.reduceat(logp[place], off[:-1][some])
+        size, perplexity = _perplexities(gathered(answers.sort_by("shard"), "logp", np.float32), place, off)
         release()
-        return pa.table({**{c: docs[c] for c in columns}, "n_bytes": pa.array(size), "perplexity": pa.array(np.exp(-sums / np.maximum(size, 1)), mask=size == 0)})
+        return pa.table({**{c: docs[c] for c in columns}, "n_bytes": size, "perplexity": perplexity})
 
     asks = store.mapInArrow(ask, "slot long, shard long, piece long, n long, gram binary")
     stands = table.select("gram", "logp").mapInArrow(stand, "slot long, gram binary, logp binary")
@@ -230,17 +256,16 @@ def _by_language(values: dict[str, float], otherwise: float | None) -> Column:
 def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", carry: list[str] | None = None, quantile: float = 0.99, margin: float = 1.1, least: int = 100, prior_bytes: int = 64) -> DataFrame:
     """doc_id, lang, n_bytes, perplexity, threshold, adjusted and kept; with ``carry`` only these columns of the kept documents."""
     carried = carry or []
-    names, types = [f"c_{i}" for i in range(len(carried))], dict(df.dtypes)
+    names = [f"c_{i}" for i in range(len(carried))]
     docs = df.select(df[id_col].cast("long").alias("doc_id"), df[text_col].cast("string").alias("text"), F.coalesce(df[lang_col].cast("string"), F.lit("und")).alias("lang"), *[df[c].alias(n) for c, n in zip(carried, names, strict=True) if c != text_col])
     flagged = with_trust(docs, trusted_ids(labels))
     apart = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % HELD_OUT == 0
     if flagged.where(F.col("trusted") & apart).count() < least:
         apart = F.lit(False)
-    store = packed(flagged.withColumn("learn", F.col("trusted") & ~apart))
-    grams = written(count_ngrams(store))
+    flagged = flagged.withColumn("learn", F.col("trusted") & ~apart)
+    grams = written(count_ngrams(flagged))
     table = written(probabilities(grams))
-    own = {n: types[c] for c, n in zip(carried, names, strict=True) if c != text_col}
-    scored = written(score(store, table, {"doc_id": "bigint", "lang": "string", "trusted": "boolean", "learn": "boolean", **({"text": "string"} if text_col in carried else {}), **own}))
+    scored = written(score(flagged, table, ["doc_id", "lang", "trusted", "learn"]))
     known = scored.where("trusted and perplexity is not null")
     usual = {r["lang"]: r["m"] for r in known.groupBy("lang").agg((F.sum(F.col("n_bytes") * F.log("perplexity")) / F.sum("n_bytes")).alias("m")).collect()}  # one row per language
     shrunk = F.exp((F.col("n_bytes") * F.log("perplexity") + prior_bytes * _by_language(usual, sum(usual.values()) / len(usual) if usual else None)) / (F.col("n_bytes") + prior_bytes))
@@ -248,7 +273,8 @@ def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     limits = {r["lang"]: r["threshold"] for r in thresholds(scored.select("lang", judges.alias("judge"), shrunk.alias("perplexity")), quantile, margin, least).collect()}
     limit = _by_language({k: v for k, v in limits.items() if k is not None}, limits.get(None))
     fine = F.col("perplexity").isNotNull() & (F.col("threshold").isNull() | (shrunk <= F.col("threshold")))
-    judged = scored.withColumn("threshold", limit)
     if carry is None:
-        return judged.select("doc_id", "lang", "n_bytes", "perplexity", "threshold", shrunk.alias("adjusted"), fine.alias("kept"))
-    return judged.where(fine).select(*[F.col("text" if c == text_col else n).alias(c) for c, n in zip(carried, names, strict=True)])
+        return scored.withColumn("threshold", limit).select("doc_id", "lang", "n_bytes", "perplexity", "threshold", shrunk.alias("adjusted"), fine.alias("kept"))
+    own = ["text" if c == text_col else n for c, n in zip(carried, names, strict=True)]
+    again = score(docs, table, list(dict.fromkeys(["lang", *own]))).withColumn("threshold", limit)
+    return again.where(fine).select(*[F.col(n).alias(c) for n, c in zip(own, carried, strict=True)])

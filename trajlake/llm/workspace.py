@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import contextlib
+import functools
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Folder of the step that runs now, if it is one of a chain.
 _scratch: list[str] = []
 
 
@@ -24,17 +25,35 @@ def shared_dir(spark: SparkSession) -> str:
     return "/".join([root.rstrip("/"), "trajlake", *_scratch[-1:], uuid.uuid4().hex])
 
 
-@contextlib.contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
-    """Folders named inside are deleted at the end: what is computed from them must be written elsewhere by then."""
-    whole = shared_dir(spark)
-    _scratch.append(whole.rsplit("/trajlake/", 1)[1])
-    try:
-        yield
-    finally:
-        _scratch.pop()
-        path = spark._jvm.org.apache.hadoop.fs.Path(whole)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def stage(fn: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A step of a chain in which each result is written before the next step begins, and read again.
+
+    Its intermediates lie in a folder of their own; those of the step before are deleted when it begins,
+    unless its input still reads them.
+    """
+
+    @functools.wraps(fn)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        name = uuid.uuid4().hex
+        own = shared_dir(spark).rsplit("/", 1)[0] + "/" + name
+        if _before and not any(_before[-1].rsplit("/", 1)[1] in f for f in docs.inputFiles()):
+            _delete(spark, _before.pop())
+        _before.append(own)
+        _scratch.append(name)
+        try:
+            return fn(spark, docs, sf_dir)
+        finally:
+            _scratch.pop()
+
+    return run
+
+
+_before: list[str] = []
 
 
 def written(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
