@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from trajlake.llm.text import SpanCoder, per_text, pieces, pretokens, utf8
+from trajlake.llm.text import LARGE_PIECE_BYTES, SpanCoder, per_text, pieces, pretokens, utf8
 from trajlake.llm.workspace import documents
 
 
@@ -140,7 +140,7 @@ def encode(df: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, _ = coder(ranks_path)
-        for piece in pieces(batches):
+        for piece in pieces(batches, limit=LARGE_PIECE_BYTES):
             data, off = utf8(piece.column(1))
             start, end, text = pretokens(data, off)
             ids, count = code(data, start, end)
@@ -180,7 +180,7 @@ def round_trip(df: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col:
             size[rank] = len(text)
         first = np.cumsum(size) - size
         table = np.frombuffer(b"".join(replay.token.get(k, b"") for k in range(replay.size)), dtype=np.uint8)
-        for piece in pieces(batches):
+        for piece in pieces(batches, limit=LARGE_PIECE_BYTES):
             data, off = utf8(piece.column(1))
             start, end, text = pretokens(data, off)
             ids, count = code(data, start, end)

@@ -185,7 +185,7 @@ def _joined(store: DataFrame, table: DataFrame, n: int, columns: list[str], sche
     count = store.count()
     shards = max(1, -(-n // SHARD_NGRAMS))
     parts = max(1, -(-count * min(n, 1_000_000) * 4 // (shards * SHARD_BYTES)))  # a shard with many pieces stands several times
-    held, slots = partitions_for(store, count, 8), partitions_for(store, shards * parts, 1)
+    held, slots = partitions_for(store, count, 16), partitions_for(store, shards * parts, 1)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -44,7 +44,7 @@ from trajlake.llm.text import blank, mix, release, span_hash, utf8, window_hash,
 from trajlake.llm.workspace import written
 
 #: Bytes of one suffix with its surroundings, about; of a bucket; and most prefixes that may grow at once.
-SUFFIX_BYTES, BUCKET_BYTES, MOST_GROWN = 450, 8 << 20, 4_000_000
+SUFFIX_BYTES, BUCKET_BYTES, MOST_GROWN = 450, 4 << 20, 4_000_000
 
 
 def ranges(level: int, most: int) -> list[tuple[int, int]]:
@@ -188,7 +188,7 @@ def maximal_repeats(store: DataFrame, window: int, prefix: int, group: int) -> D
         grown = [*grown, np.sort(np.array(heavy, dtype=np.int64).view(U))]
 
     buckets = max(1, -(-suffixes * SUFFIX_BYTES // BUCKET_BYTES))
-    held = partitions_for(store, store.count(), 8)
+    held = partitions_for(store, store.count(), 16)
 
     def contexts(docs_of: pa.Table, keys_of: pa.Table) -> pa.Table:
         """Suffixes with their surroundings, equal ones once, with their places in the piece."""
@@ -254,7 +254,7 @@ def remove(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
     nothing = to_arrow_schema(StructType.fromDDL(schema)).empty_table()
     store = packed(docs)
     again = written(maximal_repeats(store, window, prefix, group))
-    held = partitions_for(store, store.count(), 8)
+    held = partitions_for(store, store.count(), 16)
 
     def cut(docs_of: pa.Table, repeats_of: pa.Table) -> pa.Table:
         if not docs_of.num_rows:

@@ -15,7 +15,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U = np.uint64
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
+#: Text bytes at a time where a piece's distinct spans are encoded once.
+LARGE_PIECE_BYTES = 4 << 20
 #: Text bytes at a time where many arrays as long as the text live at once.
 SMALL_PIECE_BYTES = 1 << 20
 
@@ -218,7 +220,7 @@ class SpanCoder:
     each. What is kept is bounded: beyond ``limit`` spans it starts anew.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], limit: int = 1_000_000):
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], limit: int = 500_000):
         self.encode, self.limit = encode, limit
         self._clear()
 

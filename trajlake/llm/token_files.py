@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trajlake.llm.text import pieces
+from trajlake.llm.text import LARGE_PIECE_BYTES, pieces
 from trajlake.llm.tokens import text_ids
 from trajlake.llm.workspace import documents, shared_dir
 
@@ -48,7 +48,7 @@ def write(df: DataFrame, tokenizer_path: str, end_id: int, vocabulary: int, path
         name = f"{folder}/{uuid.uuid4().hex}"
         docs = tokens = 0
         out = {}
-        for piece in pieces(batches):
+        for piece in pieces(batches, limit=LARGE_PIECE_BYTES):
             if not out:
                 out = {kind: store.open_output_stream(f"{name}.{kind}") for kind in ("bin", "idx", "doc")}
                 out["idx"].write(np.zeros(1, "<i8").tobytes())
