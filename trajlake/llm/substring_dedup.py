@@ -34,12 +34,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from trajlake.llm.blocks import U, packed, partitions_for, sliding, unpacked
+from trajlake.llm.blocks import U, packed, partitions_for, runs, sliding, unpacked
 from trajlake.llm.text import blank, mix, release, span_hash, utf8, window_hash, words
 from trajlake.llm.workspace import written
 
@@ -90,7 +91,7 @@ class Suffixes:
                 mine = mine[ok]
                 fits[mine] = True
                 if len(mine):
-                    key[mine] = mix(window_hash(self.word, width)[at[mine] - a] + U(a * 65_537 + b))
+                    key[mine] = mix(window_hash(self.word, width, at[mine] - a) + U(a * 65_537 + b))
             at, lo, hi, key = at[fits], lo[fits], hi[fits], key[fits]
             out.append((at, lo, hi, key))
             if level < len(grown):
@@ -159,7 +160,7 @@ def deep_nodes(contexts: pa.Array, left: np.ndarray, lo: np.ndarray, hi: np.ndar
 
 
 def maximal_repeats(store: DataFrame, window: int, prefix: int, group: int) -> DataFrame:
-    """piece, begin and stop (in words of the piece) of maximal repeats of at least ``window`` words; they may overlap."""
+    """piece, begins and stops (in words of the piece) of maximal repeats of at least ``window`` words; a row holds one bucket's, where those of different rows may overlap."""
     grown: list[np.ndarray] = []
     found: DataFrame | None = None
     suffixes = 0
@@ -238,11 +239,22 @@ def maximal_repeats(store: DataFrame, window: int, prefix: int, group: int) -> D
         row = np.repeat(np.arange(len(which)), times)
         hit = np.flatnonzero(least[which[row]] >= 0)
         row, place = row[hit], at.flatten().to_numpy(zero_copy_only=False).astype(np.int64)[hit]
+        number, piece = pd.factorize(table["piece"].to_numpy())
+        base = number[row].astype(np.int64) << 32
+        first, reach = base + place - greatest[which[row]], base + place - least[which[row]] + window
+        order = np.argsort(first, kind="stable")
+        first, reach = first[order], np.maximum.accumulate(reach[order])
+        head = np.flatnonzero(np.append(True, first[1:] > reach[:-1])[: len(first)])
+        begin, stop = first[head], reach[np.append(head[1:], len(first))[: len(head)] - 1]
+        own = begin >> 32  # repeats that overlap are one; a row holds a piece's
+        at_row, size = runs(own)
+        cuts = pa.array(np.append(0, np.cumsum(size)).astype(np.int32))
+        ends = [pa.ListArray.from_arrays(cuts, pa.array((x - (own << 32)).astype(np.int32))) for x in (begin, stop)]
         release()
-        return pa.table({"piece": table["piece"].combine_chunks().take(pa.array(row)), "begin": pa.array((place - greatest[which[row]]).astype(np.int32)), "stop": pa.array((place - least[which[row]] + window).astype(np.int32))})
+        return pa.table({"piece": pa.array(piece[own[at_row]]), "begin": ends[0], "stop": ends[1]})
 
     with_words = store.repartition(held, "piece").groupBy("piece").cogroup(found.repartition(held, "piece").groupBy("piece")).applyInArrow(contexts, "bucket int, piece long, context binary, at array<int>")
-    return with_words.repartition(partitions_for(store, buckets, 1), "bucket").groupBy("bucket").applyInArrow(repeats, "piece long, begin int, stop int")
+    return with_words.repartition(partitions_for(store, buckets, 1), "bucket").groupBy("bucket").applyInArrow(repeats, "piece long, begin array<int>, stop array<int>")
 
 
 def remove(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35, prefix: int = 8, carry: list[str] | None = None, group: int = 50_000) -> DataFrame:
@@ -264,8 +276,8 @@ def remove(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
         start, end, text = words(data, off)
         count = np.bincount(text, minlength=table.num_rows)
         change = np.zeros(len(start) + 1, np.int64)
-        np.add.at(change, repeats_of["begin"].to_numpy(), 1)
-        np.add.at(change, repeats_of["stop"].to_numpy(), -1)
+        np.add.at(change, pc.list_flatten(repeats_of["begin"]).to_numpy(), 1)
+        np.add.at(change, pc.list_flatten(repeats_of["stop"]).to_numpy(), -1)
         gone = np.cumsum(change[:-1]) > 0
         kept = ~gone
         # each kept word with one space after it; the last space of a text is left out

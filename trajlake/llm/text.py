@@ -126,8 +126,13 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return table[data]
 
 
-def window_hash(word: np.ndarray, width: int) -> np.ndarray:
-    """Hash of each run of ``width`` consecutive word hashes (may cross texts: the caller masks those)."""
+def window_hash(word: np.ndarray, width: int, begin: np.ndarray | None = None) -> np.ndarray:
+    """Hash of each run of ``width`` consecutive word hashes (may cross texts: the caller masks those), or of those that begin at ``begin``."""
+    if begin is not None:
+        some = np.zeros(len(begin), U)
+        for k, key in enumerate(_keys(width)[:width]):
+            some += word[begin + k] * key
+        return mix(some)
     n = len(word) - width + 1
     if n <= 0:
         return np.zeros(0, U)
