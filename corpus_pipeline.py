@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trajlake.llm import jaccard_join, language, packing, perplexity, substring_dedup
-from trajlake.llm.workspace import shared_dir, stage, written
+from trajlake.llm.workspace import delete, kept, scratch, shared_dir, written
 
 #: Rows of ids that may be copied to every task; more are joined by shuffle.
 FEW_IDS = 2_000_000
@@ -24,7 +24,6 @@ def _plain(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     return docs.toDF(*names.values()), names
 
 
-@stage
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Reject documents without a letter and those whose language stays ambiguous between two codewords."""
     model = language.fit(docs)
@@ -33,17 +32,16 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return named.where("lang_pred <> 'und' and not ambiguous").select(*names.values()).toDF(*docs.columns)
 
 
-@stage
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Reject documents whose perplexity lies beyond their language's threshold."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return perplexity.classify(docs, labels, carry=docs.columns)
 
 
-@stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the smallest doc_id of each group of near copies, and one of rows with one id and text."""
-    extra = written(jaccard_join.join(docs).where("component_id <> doc_id").select("doc_id"))
+    with scratch(spark):
+        extra = kept(jaccard_join.join(docs).where("component_id <> doc_id").select("doc_id"))
     plain, names = _plain(docs)
     own, text = names["doc_id"], names["text"]
     left = plain.join(_few(extra), F.col(own) == F.col("doc_id"), "left_anti")
@@ -60,7 +58,6 @@ def _few(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= FEW_IDS else ids
 
 
-@stage
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remove passages that occur elsewhere; a document keeps its row, with the words that are left."""
     plain, names = _plain(docs)
@@ -69,7 +66,6 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return cut.select(*[F.col("text") if c == "text" else F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(names[c]).alias(c) for c in docs.columns])
 
 
-@stage
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -88,11 +84,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of sf_dir, each written and read again; a stage's own intermediates are deleted."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (_, step) in enumerate(STAGES):
-        if k == len(STAGES) - 1:
-            return step(spark, docs, sf_dir)
+    """All stages over the documents of sf_dir, each written and read again.
+
+    Of what a stage wrote on its way nothing stays once its output stands, and of the outputs only the last.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for _, step in STAGES:
         path = shared_dir(spark)
-        step(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch(spark):
+            step(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            delete(spark, before)
+        docs, before = spark.read.parquet(path), path
+    return docs

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from trajlake.llm.blocks import U, components, deal, gathered, runs, shards_of
 from trajlake.llm.components import connected
 from trajlake.llm.text import lower_ascii, mix, pieces, span_hash, utf8, window_hash, words
-from trajlake.llm.workspace import documents, written
+from trajlake.llm.workspace import documents, kept, scratch, written
 
 _RUN = U(0x9E3779B97F4A7C15)
 
@@ -282,13 +282,14 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int =
     need = round(100 * threshold)
     docs = documents(df, id_col, text_col)
     classed = written(classes(docs, n))
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    found = written(shared_ngrams(docs, n, need, size))
-    rooted = written(candidate_components(found))
-    roots = connected(links(found, rooted, need))
-    smallest = classed.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("own"))
-    joined = smallest.join(roots.select(F.col("node").alias("fp"), "root"), "fp")
-    least = joined.groupBy("root").agg(F.min("own").alias("least"))
-    linked = joined.join(least, "root").select("fp", "least")
-    final = written(smallest.join(linked, "fp", "left").select("fp", F.coalesce("least", "own").alias("component")))
+    with scratch(df.sparkSession):
+        size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        found = written(shared_ngrams(docs, n, need, size))
+        rooted = written(candidate_components(found))
+        roots = connected(links(found, rooted, need))
+        smallest = classed.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("own"))
+        joined = smallest.join(roots.select(F.col("node").alias("fp"), "root"), "fp")
+        least = joined.groupBy("root").agg(F.min("own").alias("least"))
+        linked = joined.join(least, "root").select("fp", "least")
+        final = kept(smallest.join(linked, "fp", "left").select("fp", F.coalesce("least", "own").alias("component")))
     return classed.join(final, "fp", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))

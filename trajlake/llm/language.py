@@ -34,11 +34,17 @@ _ascii_letter = np.zeros(256, dtype=bool)
 _ascii_letter[[*range(65, 91), *range(97, 123)]] = True
 
 
-def _grams(data: np.ndarray) -> np.ndarray:
-    """Bucket of the 4-gram that begins at each byte (the text ends in spaces)."""
+def _grams(data: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Bucket of the 4-gram that begins at each byte; every text ends in spaces, so no byte of the next one is seen."""
     b = np.concatenate([_fold[data], np.full(3, 32, np.uint32)])
     n = len(data)
-    key = b[:n] | b[1 : n + 1] << 8 | b[2 : n + 2] << 16 | b[3 : n + 3] << 24
+    key = b[:n].copy()
+    for k in (1, 2, 3):
+        ahead = b[k : n + k].copy()
+        for back in range(1, k + 1):
+            at = off[1:] - back
+            ahead[at[at >= 0]] = 32
+        key |= ahead << np.uint32(8 * k)
     return ((key * np.uint32(2654435761)) >> np.uint32(18)).astype(np.int64)
 
 
@@ -82,7 +88,7 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", alp
         total: dict[str, np.ndarray] = {}
         for piece in pieces(batches):
             data, off = utf8(piece.column(0))
-            gram = _grams(data)
+            gram = _grams(data, off)
             lang = np.array(piece.column(1).to_pylist(), dtype=object)
             for name in set(lang.tolist()):
                 of = np.repeat(lang == name, np.diff(off))
@@ -128,11 +134,11 @@ def predict(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
             some = np.flatnonzero(length > 0)
             share = np.zeros((n, max(1, len(m.languages) if m else 1)))
             if len(some):
-                gram = _grams(data) if m else None
+                gram = _grams(data, off) if m else None
                 if m:
                     f = np.zeros((n, m.codes.shape[1]))
                     for b in range(m.codes.shape[1]):
-                        f[some, b] = np.add.reduceat(m.weights[gram, b], off[:-1][some], dtype=np.float64)
+                        f[some, b] = np.add.reduceat(m.weights[gram, b].astype(np.float64), off[:-1][some])
                     f[some] /= length[some, None]
                     unit = np.clip(f / m.scale, -3, 3)
                     loss = (np.exp(-unit[:, None, :] * m.codes[None]) * m.scale).sum(axis=2) / m.scale.sum()

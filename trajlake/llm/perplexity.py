@@ -36,7 +36,7 @@ from pyspark.sql.types import StructType
 
 from trajlake.llm.blocks import U, deal, gathered, packed, partitions_for, runs, unpacked
 from trajlake.llm.text import mix, pieces, release, utf8
-from trajlake.llm.workspace import written
+from trajlake.llm.workspace import kept, scratch, written
 
 ORDER = 5
 #: Ids of trusted documents that may be copied to every task.
@@ -263,8 +263,8 @@ def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if flagged.where(F.col("trusted") & apart).count() < least:
         apart = F.lit(False)
     flagged = flagged.withColumn("learn", F.col("trusted") & ~apart)
-    grams = written(count_ngrams(flagged))
-    table = written(probabilities(grams))
+    with scratch(df.sparkSession):
+        table = kept(probabilities(written(count_ngrams(flagged))))
     scored = written(score(flagged, table, ["doc_id", "lang", "trusted", "learn"]))
     known = scored.where("trusted and perplexity is not null")
     usual = {r["lang"]: r["m"] for r in known.groupBy("lang").agg((F.sum(F.col("n_bytes") * F.log("perplexity")) / F.sum("n_bytes")).alias("m")).collect()}  # one row per language

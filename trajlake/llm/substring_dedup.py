@@ -42,7 +42,7 @@ from pyspark.sql.types import StructType
 
 from trajlake.llm.blocks import U, packed, partitions_for, runs, sliding, unpacked
 from trajlake.llm.text import blank, mix, release, span_hash, utf8, window_hash, words
-from trajlake.llm.workspace import written
+from trajlake.llm.workspace import kept, scratch, written
 
 #: Bytes of one suffix with its surroundings, about; of a bucket; and most prefixes that may grow at once.
 SUFFIX_BYTES, BUCKET_BYTES, MOST_GROWN = 450, 4 << 20, 4_000_000
@@ -265,7 +265,8 @@ def remove(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
     schema = "doc_id long, n_words long, n_removed long, text string" + "".join(f", {k} {types[c]}" for k, c in zip(names, carried, strict=True))
     nothing = to_arrow_schema(StructType.fromDDL(schema)).empty_table()
     store = packed(docs)
-    again = written(maximal_repeats(store, window, prefix, group))
+    with scratch(df.sparkSession):
+        again = kept(maximal_repeats(store, window, prefix, group))
     held = partitions_for(store, store.count(), 16)
 
     def cut(docs_of: pa.Table, repeats_of: pa.Table) -> pa.Table:

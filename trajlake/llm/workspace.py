@@ -2,66 +2,72 @@
 
 from __future__ import annotations
 
-import functools
+import contextlib
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Iterator
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders of the scratches open in this thread, outermost first.
+_open: ContextVar[tuple[str, ...]] = ContextVar("open_scratches", default=())
 
-#: Folder of the step that runs now, if it is one of a chain.
-_scratch: list[str] = []
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder's name below ``spark.checkpoint.dir``. Where that is unset, a local session (tests) gets a temporary one; a cluster raises."""
+def _root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="trajlake-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return "/".join([root.rstrip("/"), "trajlake", *_scratch[-1:], uuid.uuid4().hex])
+    return f"{root.rstrip('/')}/trajlake"
+
 
+def shared_dir(spark: SparkSession) -> str:
+    """A new folder's name below ``spark.checkpoint.dir``, within the innermost open scratch of this thread.
+
+    Where that setting is unset, a local session (tests) gets a temporary one; a cluster raises.
+    """
+    return f"{(_open.get() or (_root(spark),))[-1]}/{uuid.uuid4().hex}"
 
-def _delete(spark: SparkSession, folder: str) -> None:
+
+def delete(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stage(fn: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
-    """A step of a chain in which each result is written before the next step begins, and read again.
-
-    Its intermediates lie in a folder of their own; those of the step before are deleted when it begins,
-    unless its input still reads them.
-    """
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables written within are deleted at the end, in this thread's block alone; what is to outlive it goes through ``kept``."""
+    folder = shared_dir(spark)
+    token = _open.set((*_open.get(), folder))
+    try:
+        yield
+    finally:
+        _open.reset(token)
+        delete(spark, folder)
 
-    @functools.wraps(fn)
-    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        name = uuid.uuid4().hex
-        own = shared_dir(spark).rsplit("/", 1)[0] + "/" + name
-        if _before and not any(_before[-1].rsplit("/", 1)[1] in f for f in docs.inputFiles()):
-            _delete(spark, _before.pop())
-        _before.append(own)
-        _scratch.append(name)
-        try:
-            return fn(spark, docs, sf_dir)
-        finally:
-            _scratch.pop()
 
-    return run
+def written(df: DataFrame) -> DataFrame:
+    """Cut lineage: write ``df`` to the shared folder as Parquet and read it back."""
+    return _written(df, shared_dir(df.sparkSession))
 
 
-_before: list[str] = []
+def kept(df: DataFrame) -> DataFrame:
+    """Like ``written``, but outside the innermost open scratch, so that the table outlives it."""
+    around = _open.get()
+    token = _open.set(around[:-1])
+    try:
+        path = shared_dir(df.sparkSession)
+    finally:
+        _open.reset(token)
+    return _written(df, path)
 
 
-def written(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Cut lineage: write ``df`` to the shared folder as Parquet and read it back."""
-    spark = df.sparkSession
-    path = shared_dir(spark)
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def documents(df: DataFrame, id_col: str, text_col: str, *others: str) -> DataFrame:
