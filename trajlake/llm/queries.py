@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trajlake.llm import byte_bpe, drift_clusters, html_text, jaccard_join, language, neighbours, oracle, packing, perplexity, quality_rules, substring_dedup, token_files
+from trajlake.llm import best_position, byte_bpe, drift_clusters, html_text, jaccard_join, language, neighbours, oracle, packing, perplexity, quality_rules, substring_dedup, token_files
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -60,6 +60,10 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(_read(spark, sf_dir, "embeddings"))
 
 
+def op11_best_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_position.search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op13_drift_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift_clusters.cluster(_read(spark, sf_dir, "embeddings"))
 
@@ -76,6 +80,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_neighbours": op10_neighbours,
+        "op11_best_position": op11_best_position,
         "op13_drift_clusters": op13_drift_clusters,
     }
 

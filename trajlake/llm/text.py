@@ -93,11 +93,15 @@ def blank(data: np.ndarray) -> np.ndarray:
 
 def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and text number of each word ``[^\\x20\\x09-\\x0D]+``, in order."""
-    n = len(data)
+    return spans(~blank(data), off)
+
+
+def spans(solid: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and text number of each maximal run of solid bytes within a text, in order."""
+    n = len(solid)
     if not n:
         z = np.zeros(0, np.int64)
         return z, z, z
-    solid = ~blank(data)
     first, last = solid.copy(), solid.copy()
     first[1:] &= ~solid[:-1]
     last[:-1] &= ~solid[1:]
@@ -120,6 +124,24 @@ def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     return mix(np.add.reduceat(value, first) + length.astype(U) * U(0x9E3779B97F4A7C15))
 
 
+def distinct_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """Number of each span among the distinct ones, and these; told apart by hash and then by every byte."""
+    which, distinct = pd.factorize(span_hash(data, start, end))
+    first = np.full(len(distinct), len(which), np.int64)
+    np.minimum.at(first, which, np.arange(len(which)))
+    raw, length, of = data.tobytes(), end - start, first[which]
+    same = bool((length == length[of]).all())
+    if same and len(start):
+        shift = np.repeat(start[of] - start, length)
+        at = np.arange(int(length.sum()), dtype=np.int64) - np.repeat(np.cumsum(length) - length - start, length)
+        same = bool((data[at] == data[at + shift]).all())
+    if same:
+        return which, [raw[a:b] for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)]
+    code: dict[bytes, int] = {}
+    which = np.array([code.setdefault(raw[a:b], len(code)) for a, b in zip(start.tolist(), end.tolist(), strict=True)], np.int64)
+    return which, list(code)
+
+
 def lower_ascii(data: np.ndarray) -> np.ndarray:
     table = np.arange(256, dtype=np.uint8)
     table[65:91] += 32
