@@ -49,4 +49,10 @@ def _op13(rounds: int = 10, k: int = 8, dims: int = 64) -> str:
     return f"WITH {', '.join(steps)} SELECT vec_id, c AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(cx, ',')) AS centroid_sha256 FROM z"
 
 
-SQL = {"op6_jaccard_join": OP6, "op8_substring_dedup": OP8, "op11_best_position": OP11, "op13_drift_clusters": _op13()}
+_QUINTETS = "[CAST('0x' || substr(h, 1 + 5 * i, 5) AS INTEGER) for i in range(8)]"
+OP12 = f"""WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)
+ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, array_to_string(flatten([[substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((v >> s) & 31), 1) for s in [15, 10, 5, 0]] for v in {_QUINTETS}]), '') AS payload_digest,
+ CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to, CAST(NULL AS VARCHAR) AS issue FROM p"""
+
+
+SQL = {"op6_jaccard_join": OP6, "op8_substring_dedup": OP8, "op11_best_position": OP11, "op12_warc": OP12, "op13_drift_clusters": _op13()}

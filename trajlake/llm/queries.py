@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trajlake.llm import best_position, byte_bpe, drift_clusters, html_text, jaccard_join, language, neighbours, oracle, packing, perplexity, quality_rules, substring_dedup, token_files
+from trajlake.llm import best_position, byte_bpe, drift_clusters, html_text, jaccard_join, language, neighbours, oracle, packing, perplexity, quality_rules, substring_dedup, token_files, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -64,6 +64,15 @@ def op11_best_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_position.search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.read(warc.write(_read(spark, sf_dir, "pages")), payloads=False)
+
+    def page(name: str) -> Column:
+        return F.regexp_extract(name, r"^urn:trajlake:page:(-?\d+|none):", 1).try_cast("long")
+
+    return found.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to"), "issue")
+
+
 def op13_drift_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift_clusters.cluster(_read(spark, sf_dir, "embeddings"))
 
@@ -81,6 +90,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_byte_bpe": op9_byte_bpe,
         "op10_neighbours": op10_neighbours,
         "op11_best_position": op11_best_position,
+        "op12_warc": op12_warc,
         "op13_drift_clusters": op13_drift_clusters,
     }
 
