@@ -10,6 +10,10 @@ elements, of which rules with simple selectors (kind, id, classes, and lists of
 queries are followed. ``display: none`` takes an element's whole content away, ``visibility: hidden`` its
 text but not that of descendants which are visible again.
 
+Cells stand in columns as long as the blanks and bars for it, over all tables of a page, are at most PADDING times the
+page's characters; further tables have their cells side by side, each as wide as its text. So a page's text is bounded by
+a multiple of the page.
+
 Each page is rendered on its own inside Arrow batches of bounded size, without shuffle, in time linear in
 its length. Cases: a null or blank page gives an empty text; very long pages are rendered whole; elements
 nested deeper than DEPTH become siblings; stray tags, comments and quotes never fail; a quote without its
@@ -20,6 +24,7 @@ result.
 
 from __future__ import annotations
 
+import collections
 import html
 import re
 import sys
@@ -31,6 +36,10 @@ from pyspark.sql import DataFrame
 from trajlake.llm.text import pieces
 
 DEPTH = 256
+#: Blanks and bars that align a page's tables may be so many times its characters (of at least 1000).
+PADDING = 8
+#: Those that the page at hand may still take.
+_spare = [0]
 _MARKUP = re.compile(r"<(?=[a-zA-Z/!?])")
 _NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*+)")
 #: What stands in a tag up to its end. Nothing is given back, so a tag without an end costs one pass.
@@ -198,10 +207,14 @@ def _declared(style: str) -> dict[str, tuple[str, bool]]:
 
 
 class _Sheet:
-    """Rules of a page's style elements that tell display or visibility, by the part of the selector that is rarest."""
+    """Rules of a page's style elements that tell display or visibility.
+
+    Rules of one selector are merged to the strongest of each property. A selector stands under that part of it which
+    the fewest selectors have, and what is said of a kind, id and classes is worked out once.
+    """
 
     def __init__(self, root: Element):
-        self.rules: dict[str, list[tuple]] = {}
+        merged: dict[tuple[str, frozenset[str]], dict[str, tuple]] = {}
         serial = 0
         for css in self._texts(root):
             for selectors, body in self._blocks(re.sub(r"/\*.*?(?:\*/|\Z)", "", css, flags=re.S)):
@@ -212,10 +225,16 @@ class _Sheet:
                         continue
                     tag = "" if m[1] in (None, "*") else m[1].lower()
                     names = re.findall(r"[.#][\w-]+", m[2])
-                    key = next((n for n in names if n[0] == "#"), names[0] if names else tag)
                     weight = (sum(n[0] == "#" for n in names), sum(n[0] == "." for n in names), tag != "")
-                    self.rules.setdefault(key, []).append((weight, serial, tag, frozenset(names), told))
+                    own = merged.setdefault((tag, frozenset(names)), {})
+                    for name, (value, important) in told.items():
+                        own[name] = max(own.get(name, ((), "")), ((important, 0, weight, serial), value))
                     serial += 1
+        often = collections.Counter(n for _, names in merged for n in names)
+        self.rules: dict[str, list[tuple]] = {}
+        for (tag, names), told in merged.items():
+            self.rules.setdefault(min(names, key=lambda n: (often[n], n), default=tag), []).append((tag, names, told))
+        self.known: dict[tuple[str, str, str], dict[str, tuple]] = {}
 
     @staticmethod
     def _texts(root: Element) -> Iterator[str]:
@@ -246,16 +265,18 @@ class _Sheet:
 
     def of(self, node: Element) -> dict[str, tuple]:
         """What the rules say of an element: name to (order of strength, value)."""
-        names = ["#" + node.get("id")] if node.raw and node.get("id") else []
-        if node.raw and node.get("class"):
-            names += ["." + c for c in node.get("class").split()]
-        out: dict[str, tuple] = {}
-        for key in (*names, node.tag, ""):
-            for weight, serial, tag, wanted, told in self.rules.get(key, ()):
-                if (not tag or tag == node.tag) and wanted.issubset(names):
-                    for name, (value, important) in told.items():
-                        out[name] = max(out.get(name, ((), "")), ((important, 0, weight, serial), value))
-        return out
+        own, classes = (node.get("id") or "", node.get("class") or "") if node.raw else ("", "")
+        out = self.known.get((node.tag, own, classes))
+        if out is None:
+            names = {"." + c for c in classes.split()} | ({"#" + own} if own else set())
+            out = {}
+            for key in (*names, node.tag, ""):
+                for tag, wanted, told in self.rules.get(key, ()):
+                    if (not tag or tag == node.tag) and wanted <= names:
+                        for name, said in told.items():
+                            out[name] = max(out.get(name, ((), "")), said)
+            self.known[node.tag, own, classes] = out
+        return dict(out)
 
 
 def _prune(node: Element, sheet: _Sheet | None, shown: bool) -> None:
@@ -508,6 +529,15 @@ def _table(node: Element, pre: bool) -> list[str]:
             if (r, c) not in wide:
                 width[c] = max(width.get(c, 0), max(map(len, lines), default=0))
     used = sorted({c for cells in grid for c in cells})
+    tall = [max(map(len, cells.values()), default=0) for cells in grid]
+    plain = sum(len(x) for cells in grid for lines in cells.values() for x in lines)
+    padding = sum(tall) * sum(width.get(c, 0) + 3 for c in used) - plain
+    if padding > _spare[0]:  # cells side by side, without columns
+        for cells, most in zip(grid, tall, strict=True):
+            for k in range(most):
+                out.append(" | ".join(lines[k] for _, lines in sorted(cells.items()) if k < len(lines) and lines[k]))
+        return out
+    _spare[0] -= max(0, padding)
     for cells in grid:
         for k in range(max((len(x) for x in cells.values()), default=0)):
             parts = [cells[c][k] if c in cells and k < len(cells[c]) else "" for c in used]
@@ -524,6 +554,7 @@ def render(page: str | None) -> str:
     if sys.getrecursionlimit() < 8 * DEPTH:
         sys.setrecursionlimit(8 * DEPTH)
     root = parse(page.replace("\x00", ""))
+    _spare[0] = PADDING * max(len(page), 1000)
     sheet = _Sheet(root) if re.search(r"display|visibility", page, re.I) and re.search("<style", page, re.I) else None
     _prune(root, sheet, True)
     lines = _lines(root, False)

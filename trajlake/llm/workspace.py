@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import functools
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -14,13 +15,17 @@ from pyspark.sql import DataFrame, SparkSession
 _open: ContextVar[tuple[str, ...]] = ContextVar("open_scratches", default=())
 
 
+@functools.cache
+def _local() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="trajlake-")
+
+
 def _root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="trajlake-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local()
     return f"{root.rstrip('/')}/trajlake"
 
 
