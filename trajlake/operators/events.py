@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trajlake.functions.ids import canonical_json
+
 VERSION = 2
 # Fields that a payload must have, by the event's type.
 REQUIRED = {
@@ -40,6 +42,11 @@ def _at(path: str, of: str = "_v") -> Column:
     return F.expr(f"try_variant_get({of}, '$.{path}', 'variant')")
 
 
+def _quoted(c: Column) -> Column:
+    """A text as a JSON string."""
+    return F.regexp_extract(F.to_json(F.struct(c.alias("t"))), r"(?s)^.\"t\":(.*).$", 1)
+
+
 def _kind(c: Column) -> Column:
     """JSON type of a value; empty if it is missing."""
     return F.coalesce(F.schema_of_variant(c), F.lit(""))
@@ -74,7 +81,8 @@ def violations(events: DataFrame) -> DataFrame:
 
     ids = F.filter(F.transform("_calls", lambda c: F.try_variant_get(c, "$.id", "string")), lambda x: F.coalesce(x != "", F.lit(False)))
     response, tool = kind == "model_response", kind == "tool_message"
-    own = F.concat(F.lit('{"event_type":"'), kind, F.lit('","payload":'), F.col("payload"), F.lit(',"schema_version":'), F.col("schema_version").cast("string"), F.lit(',"sequence":'), F.col("sequence").cast("string"), F.lit(',"session_id":"'), F.col("session_id"), F.lit('"}'))
+    text = F.concat(F.lit('{"event_type":'), _quoted(kind), F.lit(',"payload":'), F.col("payload"), F.lit(',"schema_version":'), F.col("schema_version").cast("string"), F.lit(',"sequence":'), F.col("sequence").cast("string"), F.lit(',"session_id":'), _quoted(F.col("session_id")), F.lit("}"))
+    own = canonical_json(F.when(F.coalesce(F.col("event_id"), F.lit("")) != "", text))
     has_calls = _kind(_at("tool_calls")) != ""
 
     def on(when: Column, bad: Column, code: str | Column) -> Column:

@@ -30,7 +30,10 @@ CALL = "'{\"function\":{\"name\":\"t' || CAST({m} % 3 AS {s}) || '\"},\"id\":\"c
 
 
 def _payloads(s: str) -> str:
-    """Raw events of the stream: session, sequence, type, canonical payload text and version; ``s`` is the text type."""
+    """Raw events of the stream: session, sequence, type, payload as spelled and in canonical form, and version; ``s`` is the text type.
+
+    Some payloads are spelled with blanks, another order of fields and a letter beyond ASCII, some session ids hold a quote.
+    """
 
     def text(n: str) -> str:
         return f"CAST({n} AS {s})"
@@ -45,16 +48,19 @@ def _payloads(s: str) -> str:
  WHEN 'session_finished' THEN '{{"final_state_hash":"y","success":true,"termination_reason":"' || CASE WHEN event_id % 2 = 0 THEN 'timeout' ELSE 'tired' END || '"}}'
  WHEN 'system_message' THEN '{{' || {content} || ',' || {mid} || '}}' WHEN 'user_message' THEN '{{' || {hidden} || {content} || '}}'
  WHEN 'verification_result' THEN '{{"note":"\\"rubric\\":","passed":true,"score":1,"verifier":"v"}}' ELSE '{{"call_id":"c1","name":"t"}}' END"""
-    session = f"'s' || {text('user_id % 40')}"
-    return f"""SELECT event_id AS n, {session} AS session_id, CAST(row_number() OVER (PARTITION BY user_id % 40 ORDER BY event_id) - CASE WHEN event_id % 31 = 0 THEN 1000000 ELSE 1 END AS INTEGER) AS sequence,
- kind AS event_type, {body} AS payload, CASE WHEN event_id % 29 = 0 THEN 1 ELSE 2 END AS schema_version FROM (SELECT *, {KIND} AS kind FROM events) k"""
+    session = f"CASE WHEN user_id % 40 = 7 THEN 's\"7' ELSE 's' || {text('user_id % 40')} END"
+    odd = "event_id % 4 = 1"
+    spelled = f"CASE WHEN {odd} THEN '{{ \"zé\" : [ 1 , \"\\u00fc\" ] ,' || substr(body, 2) ELSE body END"
+    plain = f"CASE WHEN {odd} THEN substr(body, 1, length(body) - 1) || ',\"z\\u00e9\":[1,\"\\u00fc\"]}}' ELSE body END"
+    return f"""SELECT n, session_id, sequence, event_type, schema_version, {spelled} AS payload, {plain} AS canonical FROM (SELECT event_id, event_id AS n, {session} AS session_id, CAST(row_number() OVER (PARTITION BY user_id % 40 ORDER BY event_id) - CASE WHEN event_id % 31 = 0 THEN 1000000 ELSE 1 END AS INTEGER) AS sequence,
+ kind AS event_type, {body} AS body, CASE WHEN event_id % 29 = 0 THEN 1 ELSE 2 END AS schema_version FROM (SELECT *, {KIND} AS kind FROM events) k) b"""
 
 
-OWN = """'{"event_type":"' || event_type || '","payload":' || payload || ',"schema_version":' || CAST(schema_version AS VARCHAR) || ',"sequence":' || CAST(sequence AS VARCHAR) || ',"session_id":"' || session_id || '"}'"""
+OWN = """'{"event_type":"' || event_type || '","payload":' || canonical || ',"schema_version":' || CAST(schema_version AS VARCHAR) || ',"sequence":' || CAST(sequence AS VARCHAR) || ',"session_id":"' || replace(session_id, '"', '\\"') || '"}'"""
 
 
 def _raw(sha: str, s: str) -> str:
-    return f"SELECT session_id, sequence, event_type, payload, schema_version, CASE WHEN n % 2 = 0 THEN '' WHEN n % 37 = 0 THEN 'event_0' ELSE 'event_' || substr({sha}, 1, 16) END AS event_id FROM ({_payloads(s)}) p"
+    return f"SELECT session_id, sequence, event_type, payload, canonical, schema_version, CASE WHEN n % 2 = 0 THEN '' WHEN n % 37 = 0 THEN 'event_0' ELSE 'event_' || substr({sha}, 1, 16) END AS event_id FROM ({_payloads(s)}) p"
 
 
 RAW = f"v_raw_events AS ({_raw(f'sha256({OWN})', 'VARCHAR')})"
