@@ -223,6 +223,33 @@ def budget_prefix(jobs: DataFrame, budget: int, order: str = "job_id") -> DataFr
     return placed.join(F.broadcast(stop)).where(F.col("stop").isNull() | (F.col("position") < F.col("stop"))).select("job_id", "position", "used")
 
 
+def reserved_prefix(jobs: DataFrame, budgets: dict[str, tuple[int, int]], order: str = "job_id", settle: int = 1) -> DataFrame:
+    """Admission in order under several budgets: job_id, position, admitted and reasons (of the first refused job, else empty).
+
+    ``budgets`` names a column of whole numbers with what each job really used, the limit, and what a job may use at
+    worst (0: nothing is reserved). When a job is asked for, those ``settle`` or more places before it count with what
+    they used, the ones between with their worst case. It is refused if that alone reaches a limit, or would pass it together
+    with its own worst case; the first refusal ends admission. Sums run over ranges of the order, not in one task. Cases: a null use
+    counts 0; ``order`` holds distinct values.
+    """
+    sums = {"position": F.lit(1).cast("long"), **{f"_u_{c}": F.coalesce(F.col(c), F.lit(0)).cast("long") for c in budgets}}
+    placed = running(jobs.select("job_id", *dict.fromkeys([order, *budgets])) if order != "job_id" else jobs.select("job_id", *budgets), order, sums)
+    known = placed.select((F.col("position") + settle).alias("position"), *[F.col(f"_u_{c}").alias(f"_d_{c}") for c in budgets])
+    met = placed.select("job_id", "position").join(known, "position", "left")
+    open_ = F.least(F.lit(settle - 1), F.col("position") - 1)
+    reasons = []
+    for c, (limit, worst) in budgets.items():
+        done = F.coalesce(F.col(f"_d_{c}"), F.lit(0))
+        reasons.append(F.when(done >= limit, f"{c}_spent"))
+        if worst:
+            reasons.append(F.when(done + (open_ + 1) * worst > limit, f"{c}_reserved"))
+    met = met.withColumn("reasons", F.array_compact(F.array(*reasons)))
+    stop = met.where(F.size("reasons") > 0).agg(F.min("position").alias("stop"))  # one row
+    met = met.join(F.broadcast(stop))
+    admitted = F.col("stop").isNull() | (F.col("position") < F.col("stop"))
+    return met.select("job_id", "position", admitted.alias("admitted"), F.when(F.col("position") == F.col("stop"), F.col("reasons")).otherwise(F.array().cast("array<string>")).alias("reasons"))
+
+
 def transitions(jobs: DataFrame, max_retries: int) -> DataFrame:
     """Next state of each job after its outcome: retry, give up, complete (it has a trace) or fail."""
     infra = F.col("status") == "infrastructure_failed"
