@@ -142,16 +142,6 @@ def shard_next_action(spark, sf):
     return R.next_action(c.select(F.col("c_custkey").alias("shard_id"), F.when(F.col("c_nationkey") % 5 == 0, "invalid").when(F.col("c_nationkey") % 5 == 1, "blocked").otherwise("ready").alias("preflight"), F.when(F.col("c_mktsegment") == "BUILDING", "complete").when(F.col("c_mktsegment") == "MACHINERY", "partial").alias("export")))
 
 
-@query(ALL + """SELECT array_to_string(list_filter([CASE WHEN a < 50 THEN 'too_few_accepted' END, CASE WHEN r - a > 100 THEN 'too_many_quarantined' END, CASE WHEN k < 3 THEN 'missing_source_type' END], lambda x: x IS NOT NULL), ',') AS issues, a AS accepted, r AS records FROM
- (SELECT (SELECT count(*) FROM v_accepted) AS a, count(*) AS r, count(DISTINCT source_type) AS k FROM v_records)""")
-def collection_readiness(spark, sf):
-    r = _records(spark, sf)
-    a = R.accepted(r, A.allowlist(spark, sf)).agg(F.count("*").alias("accepted"))
-    whole = r.agg(F.count("*").alias("records"), F.countDistinct("source_type").alias("k")).crossJoin(a)
-    found = F.array_compact(F.array(F.when(F.col("accepted") < 50, "too_few_accepted"), F.when(F.col("records") - F.col("accepted") > 100, "too_many_quarantined"), F.when(F.col("k") < 3, "missing_source_type")))
-    return whole.select(F.array_join(found, ",").alias("issues"), "accepted", "records")
-
-
 @query("""SELECT seed_id, CASE WHEN n = 0 THEN 'missing' WHEN n > 1 THEN 'duplicated' ELSE 'copied' END AS outcome FROM (SELECT p_partkey AS seed_id, count(l_orderkey) AS n FROM part LEFT JOIN (SELECT * FROM lineitem WHERE l_linenumber = 7) ON l_partkey = p_partkey GROUP BY 1)""")
 def candidate_assembly(spark, sf):
     return R.assembly(A.table(spark, sf, "part").select(F.col("p_partkey").alias("seed_id")), A.table(spark, sf, "lineitem").where("l_linenumber = 7").select(F.col("l_partkey").alias("seed_id")))

@@ -261,14 +261,6 @@ def quarantine_set(spark, sf):
     return V.quarantine(_risk(spark, sf), _decisions(spark, sf))
 
 
-@query(f"""WITH {A.JOBS}, r AS (SELECT count(*) AS rollouts, sum(success) / CAST(count(*) AS DOUBLE) AS sr, count(DISTINCT nullif(trace_id, '')) AS ut, count(nullif(trace_id, '')) - count(DISTINCT nullif(trace_id, '')) AS dup, count(*) FILTER (status = 'infrastructure_failed') / CAST(count(*) AS DOUBLE) AS inf FROM v_jobs)
- SELECT 'enough_rollouts' AS gate, rollouts >= 1000 AS passed FROM r UNION ALL SELECT 'success_rate', sr >= 0.1 FROM r UNION ALL SELECT 'no_duplicate_traces', dup = 0 FROM r UNION ALL SELECT 'infrastructure_failures', inf <= 0.05 FROM r""")
-def release_gates(spark, sf):
-    from trajlake.operators.jobs import quality_report
-
-    return V.gates(quality_report(A.jobs(spark, sf)), {"enough_rollouts": F.col("rollouts") >= 1000, "success_rate": F.col("success_rate") >= 0.1, "no_duplicate_traces": F.col("duplicate_traces") == 0, "infrastructure_failures": F.col("infrastructure_failures") / F.col("rollouts") <= 0.05})
-
-
 @query(f"WITH {RISK} SELECT trace_id, risk_score + 1 AS risk_score, risk_score AS recomputed FROM v_risk WHERE CAST(substr(trace_id, 2) AS BIGINT) % 10 = 0")
 def review_gate_revalidation(spark, sf):
     r = _risk(spark, sf)
