@@ -9,10 +9,12 @@ import time
 
 import corpus_pipeline
 import numpy as np
+import public_tokenizers
+import pyarrow.fs as pafs
 import pytest
 from pyspark.sql import functions as F
 
-from trajlake.llm import html_text, language, substring_dedup, workspace
+from trajlake.llm import html_text, language, substring_dedup, token_files, workspace
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -141,3 +143,21 @@ def test_scratch_is_deleted_also_after_a_failure_and_kept_tables_stay(spark, roo
         workspace.written(spark.range(5))
         raise ZeroDivisionError
     assert files() == len(stays.inputFiles())
+
+
+def test_token_files_by_ranges_and_with_every_id(spark, tmp_path):
+    store = pafs.SubTreeFileSystem("/", pafs.LocalFileSystem())  # not known as a local store
+    values = np.arange(10_000, dtype="<i8") * 3
+    (tmp_path / "x.idx").write_bytes(values.tobytes())
+    for s in (store, pafs.LocalFileSystem()):
+        m = token_files.Mapped(s, str(tmp_path / "x.idx"), "<i8")
+        assert len(m) == 10_000 and m.local is (s is not store)
+        for some in (slice(0, 5), slice(9_998, 10_050), slice(4096, 8193), slice(7, 7)):
+            assert m[some].tolist() == values[some].tolist()
+    rows = [(None, "a"), (-(1 << 63), "b b"), (0, ""), (None, None), ((1 << 63) - 1, "c"), (0, "d")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = token_files.read(spark, token_files.bases(token_files.write(df, public_tokenizers.path("word_bpe_49k.json"), end_id=2, vocabulary=49_408))).collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in got) == sorted((d is None, d or 0) for d, _ in rows)
+    ends = sorted((r["start"], r["start"] + r["n_tokens"]) for r in got)
+    assert ends[0][0] == 0 and all(a[1] == b[0] for a, b in zip(ends, ends[1:], strict=False))
+    assert [r["doc_id"] for r in sorted(got, key=lambda r: r["start"])] == [None, None, -(1 << 63), 0, 0, (1 << 63) - 1]

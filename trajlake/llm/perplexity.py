@@ -35,7 +35,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from trajlake.llm.blocks import U, deal, gathered, packed, partitions_for, runs, unpacked
-from trajlake.llm.text import mix, pieces, release, utf8
+from trajlake.llm.text import SMALL_PIECE_BYTES, mix, pieces, release, utf8
 from trajlake.llm.workspace import kept, scratch, written
 
 ORDER = 5
@@ -171,7 +171,7 @@ def score(docs: DataFrame, table: DataFrame, columns: list[str], few: int | None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gram, logp = shared.value
-        for piece in pieces(batches):
+        for piece in pieces(batches, limit=SMALL_PIECE_BYTES):
             key, off = keys_of(piece.column(0))
             code, distinct = pd.factorize(key)
             yield pa.RecordBatch.from_arrays([*piece.columns[1:], *_perplexities(logp[np.searchsorted(gram, distinct)], code, off)], names=[*columns, "n_bytes", "perplexity"])

@@ -1,12 +1,13 @@
 """Flat token-id files: unsigned integers, 64-bit document offsets, memory-mapped on reading.
 
-Documents are dealt by ranges of doc_id. Each task encodes its range in ascending order and writes
-three files into the shared folder: ``.bin`` (ids, little-endian, 16 bits if the vocabulary allows,
-else 32), ``.idx`` (n + 1 offsets in ids, int64) and ``.doc`` (doc_ids, int64). The manifest holds one
+Documents are dealt by ranges of doc_id, as many as the texts' bytes ask for. Each task encodes its range in ascending order and writes
+four files into the shared folder: ``.bin`` (ids, little-endian, 16 bits if the vocabulary allows,
+else 32), ``.idx`` (n + 1 offsets in ids, int64), ``.doc`` (doc_ids, int64) and ``.nul`` (a byte per document, 1 if its
+doc_id is null). Reading maps them into memory on a local store; on any other it reads ranges, some thousand documents at a time. The manifest holds one
 row per file; a partition's base is the exclusive prefix sum of the ids of those before it. File
 names are unique per attempt and only those in the manifest count, so lost tasks may run again.
 
-Cases: a null or empty text is a document with the end id alone; a null doc_id is written as -2**63;
+Cases: a null or empty text is a document with the end id alone; a null doc_id comes first;
 repeated doc_ids stay apart, ordered by text; an empty table gives an empty manifest and result.
 """
 
@@ -24,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trajlake.llm.blocks import partitions_for
 from trajlake.llm.text import LARGE_PIECE_BYTES, pieces
 from trajlake.llm.tokens import text_ids
 from trajlake.llm.workspace import documents, shared_dir
@@ -31,6 +33,29 @@ from trajlake.llm.workspace import documents, shared_dir
 MANIFEST = "part int, file string, width int, docs long, tokens long"
 
 
+#: Text bytes of a range, and documents that are read at a time.
+RANGE_BYTES, DOCUMENTS = 64 << 20, 4096
+
+
+class Mapped:
+    """A file of numbers of one kind: mapped into memory if it is local, else read by ranges."""
+
+    def __init__(self, store: fs.FileSystem, path: str, kind: str):
+        self.kind = np.dtype(kind)
+        self.local = isinstance(store, fs.LocalFileSystem)
+        self.file = np.memmap(path, dtype=kind, mode="r") if self.local else store.open_input_file(path)
+        self.size = len(self.file) if self.local else self.file.size() // self.kind.itemsize
+
+    def __len__(self) -> int:
+        return self.size
+
+    def __getitem__(self, some: slice) -> np.ndarray:
+        if self.local:
+            return np.asarray(self.file[some])
+        a, b, _ = some.indices(self.size)
+        return np.frombuffer(self.file.read_at((b - a) * self.kind.itemsize, a * self.kind.itemsize), dtype=self.kind)
+
+
 def _place(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
@@ -40,7 +65,8 @@ def write(df: DataFrame, tokenizer_path: str, end_id: int, vocabulary: int, path
     spark = df.sparkSession
     root = path or shared_dir(spark)
     width = 2 if vocabulary <= 1 << 16 else 4
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs = documents(df, id_col, text_col)
+    parts = partitions or partitions_for(df, docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0, RANGE_BYTES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, folder = _place(root)
@@ -50,7 +76,7 @@ def write(df: DataFrame, tokenizer_path: str, end_id: int, vocabulary: int, path
         out = {}
         for piece in pieces(batches, limit=LARGE_PIECE_BYTES):
             if not out:
-                out = {kind: store.open_output_stream(f"{name}.{kind}") for kind in ("bin", "idx", "doc")}
+                out = {kind: store.open_output_stream(f"{name}.{kind}") for kind in ("bin", "idx", "doc", "nul")}
                 out["idx"].write(np.zeros(1, "<i8").tobytes())
             ids, bounds = text_ids(piece.column(1), tokenizer_path, "words")
             n = piece.num_rows
@@ -58,7 +84,8 @@ def write(df: DataFrame, tokenizer_path: str, end_id: int, vocabulary: int, path
             closed[np.arange(len(ids)) + np.repeat(np.arange(n), np.diff(bounds))] = ids
             out["bin"].write(closed.tobytes())
             out["idx"].write((tokens + bounds[1:] + np.arange(1, n + 1)).astype("<i8").tobytes())
-            out["doc"].write(np.array([-(1 << 63) if d is None else d for d in piece.column(0).to_pylist()], "<i8").tobytes())
+            out["doc"].write(piece.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes())
+            out["nul"].write(piece.column(0).is_null().to_numpy(zero_copy_only=False).astype("u1").tobytes())
             docs += n
             tokens += len(closed)
         for stream in out.values():
@@ -67,7 +94,7 @@ def write(df: DataFrame, tokenizer_path: str, end_id: int, vocabulary: int, path
             part = TaskContext.get().partitionId() if TaskContext.get() else 0
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([os.path.basename(name)]), pa.array([width], pa.int32()), pa.array([docs]), pa.array([tokens])], names=["part", "file", "width", "docs", "tokens"])
 
-    ordered = documents(df, id_col, text_col).repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = docs.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(run, MANIFEST).write.mode("overwrite").parquet(f"{root}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{root}/manifest").withColumn("root", F.lit(root))
 
@@ -85,25 +112,17 @@ def bases(manifest: DataFrame) -> DataFrame:
 def read(spark: SparkSession, based: DataFrame) -> DataFrame:
     """Per document from the files alone: doc_id, start, n_tokens, ids_crc32 (of 32-bit ids)."""
 
-    def mapped(store: fs.FileSystem, file: str, kind: str) -> np.ndarray:
-        if isinstance(store, fs.LocalFileSystem):
-            return np.memmap(file, dtype=kind, mode="r")
-        with store.open_input_file(file) as f:
-            return np.frombuffer(f.read(), dtype=kind)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
                 store, folder = _place(r["root"])
-                ids = mapped(store, f"{folder}/{r['file']}.bin", f"<u{r['width']}")
-                at = mapped(store, f"{folder}/{r['file']}.idx", "<i8")
-                doc = mapped(store, f"{folder}/{r['file']}.doc", "<i8")
-                for row in range(0, len(doc), 4096):
-                    edge = at[row : row + 4097]
+                ids, at, doc, null = (Mapped(store, f"{folder}/{r['file']}.{end}", kind) for end, kind in (("bin", f"<u{r['width']}"), ("idx", "<i8"), ("doc", "<i8"), ("nul", "u1")))
+                for row in range(0, len(doc), DOCUMENTS):
+                    edge = at[row : row + DOCUMENTS + 1]
+                    own = doc[row : row + DOCUMENTS]
                     digest = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
-                    own = doc[row : row + 4096]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(own, mask=own == -(1 << 63)), pa.array(r["base"] + edge[:-1]), pa.array(np.diff(edge)), pa.array(digest, pa.int64())],
+                        [pa.array(own, mask=null[row : row + DOCUMENTS] > 0), pa.array(r["base"] + edge[:-1]), pa.array(np.diff(edge)), pa.array(digest, pa.int64())],
                         names=["doc_id", "start", "n_tokens", "ids_crc32"],
                     )
 

@@ -45,7 +45,8 @@ def coder(path: str, spans: str) -> SpanCoder:
             apart = dict(zip(odd, ids_of([parts[k].decode() for k in odd]), strict=True))
             rest = [p.decode() for k, p in enumerate(parts) if k not in apart] if apart else [p.decode() for p in parts]
             glue = MARK if spans == "pattern" else f" {MARK} "
-            runs = [np.array(x, dtype=np.uint32) for x in ids_of([glue.join(rest[at : at + 512]) + glue for at in range(0, len(rest), 512)])]
+            joined_up = [glue.join(rest[at : at + 512]) + glue for at in range(0, len(rest), 512)]
+            runs = [np.array(x, dtype=np.uint32) for at in range(0, len(joined_up), 8) for x in ids_of(joined_up[at : at + 8])]  # few at a time: an encoding is many times its ids
             flat = np.concatenate(runs) if runs else np.zeros(0, np.uint32)
             ends = np.flatnonzero(flat == mark[0])
             count = np.diff(ends, prepend=-1) - 1
