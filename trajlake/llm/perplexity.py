@@ -121,10 +121,11 @@ def _discounted(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def probabilities(grams: DataFrame) -> DataFrame:
     """gram and logp for each n-gram of ``grams`` (gram, c); c > 0 in trusted text."""
+    rows = grams.count()
     levels = {ORDER: grams.where("c > 0").select("gram", "c")}
     for k in range(ORDER - 1, 0, -1):  # a lower order counts the different bytes seen before
         suffix = F.col("gram").bitwiseAND(F.lit((1 << (8 * k)) - 1)).alias("gram")
-        levels[k] = written(levels[k + 1].select(suffix).groupBy("gram").agg(F.count("*").alias("c")))
+        levels[k] = written(levels[k + 1].select(suffix).groupBy("gram").agg(F.count("*").alias("c")), rows)
     wanted = {ORDER: grams.select("gram")}
     for k in range(ORDER - 1, 0, -1):
         wanted[k] = wanted[k + 1].select(F.col("gram").bitwiseAND(F.lit((1 << (8 * k)) - 1)).alias("gram")).distinct()
@@ -134,7 +135,7 @@ def probabilities(grams: DataFrame) -> DataFrame:
         asked = wanted[k].select("gram", F.shiftright("gram", 8).alias("context"), F.col("gram").bitwiseAND(F.lit((1 << (8 * (k - 1))) - 1)).alias("suffix"))
         asked = asked.join(own, "gram", "left").join(spare, "context", "left")
         base = asked.withColumn("p", F.lit(1 / 256)) if lower is None else asked.join(lower.withColumnRenamed("gram", "suffix"), "suffix")
-        lower = written(base.select("gram", (F.coalesce("own", F.lit(0.0)) + F.coalesce("spare", F.lit(1.0)) * F.col("p")).alias("p")))
+        lower = written(base.select("gram", (F.coalesce("own", F.lit(0.0)) + F.coalesce("spare", F.lit(1.0)) * F.col("p")).alias("p")), rows)
     return lower.select("gram", F.log("p").cast("float").alias("logp"))
 
 

@@ -54,9 +54,16 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         delete(spark, folder)
 
 
-def written(df: DataFrame) -> DataFrame:
-    """Cut lineage: write ``df`` to the shared folder as Parquet and read it back."""
-    return _written(df, shared_dir(df.sparkSession))
+#: Rows of a file of a table whose number of rows is known.
+FILE_ROWS = 1_000_000
+
+
+def written(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Cut lineage: write ``df`` to the shared folder as Parquet and read it back.
+
+    ``rows``, if the caller knows a bound of them, lets a small table be few files instead of one a partition.
+    """
+    return _written(df if rows is None else df.coalesce(max(1, -(-rows // FILE_ROWS))), shared_dir(df.sparkSession))
 
 
 def kept(df: DataFrame) -> DataFrame:
