@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trajlake.functions import commands
-from trajlake.operators import curation, jobs, recovery, trees
+from trajlake.operators import curation, digests, jobs, recovery, trees
 
 # --- trees
 
@@ -32,7 +32,7 @@ def _hashes(spark, rows, parts=5):
 
 
 def test_tree_hash_by_definition(spark, monkeypatch):
-    monkeypatch.setattr(trees, "RUN_BYTES", 60)
+    monkeypatch.setattr(digests, "RUN_BYTES", 60)
     names = ["a", "a-b", "a/b", "a.b/c", "é/ü", 'q"uo\\te', ".git", ".git/x", ".gitignore", ".github/w", "sub/.git/kept", "z\n", "日/😀"]
     entries = [(n, ["file", "symlink", "dir"][k % 3], f"{k:064x}", f"../t{k}") for k, n in enumerate(names)]
     more = [(f"d{k % 7}/f{k}", "file", f"{k:064x}", None) for k in range(300)]

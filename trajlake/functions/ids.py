@@ -32,7 +32,18 @@ def stable_id(prefix: str, raw: Column, digits: int = 16) -> Column:
     return F.concat(F.lit(prefix + "_"), F.substring(F.sha2(canonical_json(raw), 256), 1, digits))
 
 
+def keys_anywhere(raw: Column) -> Column:
+    """Names of all fields of a JSON text at any depth, escapes resolved; null where the text is no JSON.
+
+    Blanks that are written as escapes become blanks, other escaped characters (quotes, backslashes, controls) a mark. No pattern
+    repeats a group, so texts of any length are read without recursion.
+    """
+    plain = F.regexp_replace(F.regexp_replace(F.to_json(F.try_parse_json(raw)), r"\\[nrt]", " "), r"\\(?:u[0-9a-fA-F]{4}|.)", "\x01")
+    strings = F.regexp_extract_all(plain, F.lit(r'"[^"]*"(?:\s*:)?'), 0)  # whole strings one after the other
+    return F.transform(F.filter(strings, lambda s: s.endswith(":")), lambda s: F.regexp_replace(s, r'^"|"\s*:$', ""))
+
+
 def has_key(raw: Column, names: list[str]) -> Column:
-    """Whether any object inside the JSON text has one of the keys (case, dashes and underscores do not matter)."""
-    keys = F.transform(F.regexp_extract_all(raw, F.lit(r'"((?:[^"\\]|\\.)*)"\s*:'), 1), lambda k: F.regexp_replace(F.lower(k), "[-_ ]", ""))
-    return F.arrays_overlap(keys, F.array(*[F.lit(n.lower().replace("_", "")) for n in names]))
+    """Whether any object inside the JSON text has one of the keys (case, dashes, underscores and blanks do not matter); false where the text is no JSON."""
+    keys = F.transform(keys_anywhere(raw), lambda k: F.regexp_replace(F.lower(k), "[-_ ]", ""))
+    return F.coalesce(F.arrays_overlap(keys, F.array(*[F.lit(n.lower().replace("_", "")) for n in names])), F.lit(False))

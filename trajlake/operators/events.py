@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trajlake.functions.ids import canonical_json
+from trajlake.functions.ids import canonical_json, keys_anywhere
 
 VERSION = 2
 # Fields that a payload must have, by the event's type.
@@ -56,13 +56,6 @@ def _is_text(path: str, least: int = 0) -> Column:
     return (_kind(_at(path)) == "STRING") & (F.coalesce(F.length(F.expr(f"try_variant_get(_v, '$.{path}', 'string')")), F.lit(0)) >= least)
 
 
-def keys_anywhere(raw: Column) -> Column:
-    """Names of all fields of a JSON text at any depth, escapes resolved."""
-    plain = F.to_json(F.try_parse_json(raw))
-    strings = F.regexp_extract_all(plain, F.lit(r'"(?:[^"\\]|\\.)*"(?:\s*:)?'), 0)  # whole strings one after the other
-    return F.transform(F.filter(strings, lambda s: s.endswith(":")), lambda s: F.regexp_replace(s, r'^"|"\s*:$', ""))
-
-
 def violations(events: DataFrame) -> DataFrame:
     """session_id, sequence and code; events: session_id, sequence, event_type, payload, schema_version, event_id."""
     e = events.select("session_id", "sequence", "event_type", "payload", "schema_version", "event_id").withColumn("_v", F.try_parse_json("payload"))

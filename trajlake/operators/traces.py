@@ -219,10 +219,10 @@ def verifier_metrics(results: DataFrame) -> DataFrame:
     return last.groupBy("job_id").agg(F.count("*").alias("verifiers"), F.count(F.when(F.col("passed"), 1)).alias("passed"), F.coalesce(F.bool_and(other), F.lit(False)).alias("all_non_agent_passed"))
 
 
-def sft(messages: DataFrame) -> DataFrame:
-    """Training messages of each session in order, as one digest; only sessions that end with an assistant's words."""
+def sft(messages: DataFrame, eligible: DataFrame) -> DataFrame:
+    """Training messages of each session in order, as one digest; only sessions of ``eligible`` (session_id) that end with an assistant's words."""
     ordered = F.array_sort(F.collect_list(F.struct("sequence", "role", "content")))
-    grouped = messages.groupBy("session_id").agg(ordered.alias("m"))
+    grouped = messages.join(eligible.select("session_id").distinct(), "session_id", "left_semi").groupBy("session_id").agg(ordered.alias("m"))
     final = F.element_at("m", -1)
     joined = F.array_join(F.transform("m", lambda x: F.concat(x["role"], F.lit(":"), x["content"])), "\n")
     return grouped.where((final["role"] == "assistant") & (F.length(F.trim(final["content"])) > 0)).select("session_id", F.size("m").cast("long").alias("messages"), F.sha2(joined, 256).alias("messages_sha256"))
@@ -254,12 +254,6 @@ def preference_pairs(runs: DataFrame) -> DataFrame:
     return ends.where("best.reward > worst.reward").select("scenario_id", F.col("best.trace_id").alias("chosen"), F.col("worst.trace_id").alias("rejected"), (F.col("best.reward") - F.col("worst.reward")).alias("margin"))
 
 
-def skip_reasons(runs: DataFrame) -> DataFrame:
-    """Why runs are not exported: quarantined, then infrastructure failure, then a success not reproduced."""
-    reason = F.when(F.col("quarantined"), "quarantined").when(F.col("infra"), "infrastructure_failure").when((F.col("reward") > 0) & ~F.col("reproduced"), "success_not_reproduced").otherwise("exported")
-    return runs.groupBy(reason.alias("reason")).agg(F.count("*").alias("runs"))
-
-
 def counts(trace: DataFrame, column: str, of: Column) -> DataFrame:
     return trace.where(of).groupBy(column).agg(F.count("*").alias("n"), F.countDistinct("session_id").alias("sessions"))
 

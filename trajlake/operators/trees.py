@@ -1,8 +1,7 @@
 """Hash of a folder tree: SHA-256 over the JSON list of its entries in order of their path's parts.
 
-An entry is a file with its content's hash, a link with its target, or a folder; what lies in ``.git`` at the root does not count. Entries
-are sorted by ranges over all tasks, so one huge tree is no task of its own; each range turns its entries into ordered runs
-of text, and the runs of a tree are hashed one after the other as they stream by. No list of a tree's entries is ever held.
+An entry is a file with its content's hash, a link with its target, or a folder; what lies in ``.git`` at the root does not count. One
+huge tree is no task of its own: its entries are sorted by ranges, and ordered runs of them are hashed as they stream by.
 
 Cases: a tree of no entries has no row (its hash is that of ``[]``); a repeated path counts once, the first by kind and hash; a null path, tree or an unknown kind takes
 no part; paths may hold any character.
@@ -10,7 +9,6 @@ no part; paths may hold any character.
 
 from __future__ import annotations
 
-import hashlib
 import json
 from collections.abc import Iterator
 
@@ -18,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bytes of a run.
-RUN_BYTES = 1 << 20
+from trajlake.operators.digests import ordered_digests
+
 KINDS = ("dir", "file", "symlink")
 
 
@@ -32,51 +30,17 @@ def entry(path: str, kind: str, sha256: str | None, target: str | None) -> str:
 def tree_hashes(entries: DataFrame) -> DataFrame:
     """tree_id, entries and tree_sha256; entries: tree_id, path, kind, sha256 (of a file) and target (of a link)."""
 
-    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, first, last, held, size = None, None, None, [], 0
-
-        def flush() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([tree]), pa.array([first], pa.list_(pa.string())), pa.array([len(held)]), pa.array([",".join(held)])], names=["tree_id", "first", "n", "text"])
-
-        for batch in batches:
-            for row in batch.to_pylist():
-                if held and (row["tree_id"] != tree or size >= RUN_BYTES):
-                    yield flush()
-                    held, size = [], 0
-                if row["tree_id"] == tree and row["path"] == last:
-                    continue
-                if not held:
-                    first = row["parts"]
-                tree, last = row["tree_id"], row["path"]
-                held.append(entry(row["path"], row["kind"], row["sha256"], row["target"]))
-                size += len(held[-1])
-        if held:
-            yield flush()
-
-    def combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, n, digest = None, 0, None
-
-        def done() -> pa.RecordBatch:
-            digest.update(b"]")
-            return pa.RecordBatch.from_arrays([pa.array([tree]), pa.array([n]), pa.array([digest.hexdigest()])], names=["tree_id", "entries", "tree_sha256"])
-
+    def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                if row["tree_id"] != tree:
-                    if digest:
-                        yield done()
-                    tree, n, digest = row["tree_id"], 0, hashlib.sha256(b"[")
-                digest.update((("," if n else "") + row["text"]).encode())
-                n += row["n"]
-        if digest:
-            yield done()
+            lines = [entry(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("path", "kind", "sha256", "target")), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lines, pa.string())], names=["tree_id", "path", "line"])
 
     git = (F.col("path") == ".git") | F.col("path").startswith(".git/")
-    parts = F.split("path", "/", -1).alias("parts")
-    some = entries.select(F.col("tree_id").cast("string").alias("tree_id"), "path", "kind", "sha256", "target", parts).where(F.col("tree_id").isNotNull() & F.col("path").isNotNull() & ~git & F.col("kind").isin(*KINDS))
-    ordered = some.repartitionByRange("tree_id", "parts").sortWithinPartitions("tree_id", "parts", "kind", "sha256", "target")
-    texts = ordered.mapInArrow(runs, "tree_id string, first array<string>, n long, text string")
-    return texts.repartition("tree_id").sortWithinPartitions("tree_id", "first").mapInArrow(combined, "tree_id string, entries long, tree_sha256 string")
+    some = entries.select(F.col("tree_id").cast("string").alias("tree_id"), "path", "kind", "sha256", "target").where(F.col("tree_id").isNotNull() & F.col("path").isNotNull() & ~git & F.col("kind").isin(*KINDS))
+    once = some.groupBy("tree_id", "path").agg(F.min(F.struct("kind", "sha256", "target")).alias("e")).select("tree_id", "path", "e.*")
+    lines = once.mapInArrow(spelled, "tree_id string, path string, line string")
+    made = ordered_digests(lines, F.col("tree_id"), F.split("path", "/", -1), F.col("line"), ",", "[", "]")
+    return made.select(F.col("key").alias("tree_id"), F.col("n").alias("entries"), F.col("sha256").alias("tree_sha256"))
 
 
 def folder_entries(spark: SparkSession, root: str, tree_id: str) -> DataFrame:

@@ -20,11 +20,20 @@ def stable_ids(spark, sf):
     return A.table(spark, sf, "events").select("event_id", stable_id("evt", F.col("props")).alias("stable_id"))
 
 
-@query("SELECT page_id, page_id % 6 = 0 AS forbidden FROM pages")
+#: Names of a nested field and a value beside it, by page; with whether the name is a forbidden one.
+_NAMES = [("Hidden-Tests", "x", True), ("hidden\\u005ftests", "x", True), ("tests", 'say \\"hidden_tests\\": no', False), ("REFERENCE answer", "", True), ("hidden_tests_note", "hidden_tests", False), ('a\\"reference_answer', "reference_answer:", False)]
+
+
+def _nested(values: list[str]) -> str:
+    return f"CASE CAST(page_id % {len(_NAMES)} AS INT) " + " ".join(f"WHEN {k} THEN {v}" for k, v in enumerate(values)) + " END"
+
+
+@query(f"SELECT page_id, {_nested([str(n[2]) for n in _NAMES])} AND coalesce(html, '') NOT LIKE '%<table%' AS forbidden FROM pages")
 def forbidden_fields(spark, sf):
     p = A.table(spark, sf, "pages")
-    name = F.when(F.col("page_id") % 6 == 0, "Hidden-Tests").otherwise("tests")
-    raw = F.concat(F.lit('{"a": [{"'), name, F.lit('": 1}], "note": "hidden_tests : none"}'))
+    name, said = (F.expr(_nested(["r'" + n[k] + "'" for n in _NAMES])) for k in (0, 1))
+    inner = F.concat(F.lit('[{"'), name, F.lit('": "'), said, F.lit('"}]'))
+    raw = F.concat(F.lit('{"page": '), F.to_json(F.struct("url", "html")), F.lit(', "deep": {"list": [1, '), inner, F.when(F.coalesce("html", F.lit("")).contains("<table"), "").otherwise("]}}"))
     return p.select("page_id", has_key(raw, ["hidden_tests", "reference_answer"]).alias("forbidden"))
 
 

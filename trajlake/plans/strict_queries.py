@@ -233,17 +233,31 @@ def priced_usage(spark, sf):
     return U.priced(u, "usage", "3", "0.3", "15").select("l_orderkey", "l_linenumber", "l_partkey", "error", "input_tokens", "cached_tokens", "output_tokens", F.col("cost_usd").cast("double").alias("cost_usd"))
 
 
-@query(
-    """WITH r AS (SELECT l_orderkey AS job_id, CASE CAST(l_partkey % 4 AS INTEGER) WHEN 0 THEN 'hidden_command' WHEN 1 THEN 'required_state' ELSE 'agent_termination' END AS verifier, l_quantity > 5 AS passed, l_returnflag = 'R' AND l_quantity > 45 AS infra, l_discount AS score FROM lineitem),
+ELIGIBLE = """WITH r AS (SELECT l_orderkey AS job_id, CASE CAST(l_partkey % 4 AS INTEGER) WHEN 0 THEN 'hidden_command' WHEN 1 THEN 'required_state' ELSE 'agent_termination' END AS verifier, l_quantity > 5 AS passed, l_returnflag = 'R' AND l_quantity > 45 AS infra, l_discount AS score FROM lineitem),
  g AS (SELECT job_id, bool_and(passed) AS passed, bool_or(infra) AS infra, count(*) FILTER (verifier <> 'agent_termination') AS hard, coalesce(bool_and(score > 0) FILTER (verifier <> 'agent_termination'), false) AS scored FROM r GROUP BY 1)
  SELECT job_id, CASE WHEN infra THEN 'infrastructure_failure' WHEN NOT passed THEN 'not_successful' WHEN hard = 0 OR NOT scored THEN 'no_hard_verifier' WHEN o_orderstatus IS NULL OR o_orderstatus <> 'F' THEN 'not_finished_as_successful' ELSE '' END AS reason FROM g LEFT JOIN orders ON o_orderkey = job_id"""
-)
-def sft_eligibility(spark, sf):
+
+
+def _eligible(spark, sf):
     kind = F.when(F.col("l_partkey") % 4 == 0, "hidden_command").when(F.col("l_partkey") % 4 == 1, "required_state").otherwise("agent_termination")
     results = A.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("job_id"), kind.alias("verifier"), (F.col("l_quantity") > 5).alias("passed"), ((F.col("l_returnflag") == "R") & (F.col("l_quantity") > 45)).alias("infra"), F.col("l_discount").alias("score"))
     return T.sft_eligibility(results, A.table(spark, sf, "orders").select(F.col("o_orderkey").alias("job_id"), (F.col("o_orderstatus") == "F").alias("success")))
 
 
+@query(ELIGIBLE)
+def sft_eligibility(spark, sf):
+    return _eligible(spark, sf)
+
+
+@query(
+    f"""WITH {A.MESSAGES}, e AS (SELECT 's' || CAST(job_id AS VARCHAR) AS session_id FROM ({ELIGIBLE}) WHERE reason = '') SELECT session_id, count(*) AS messages, sha256(string_agg(role || ':' || content, chr(10) ORDER BY sequence)) AS messages_sha256
+ FROM v_msgs WHERE session_id IN (SELECT session_id FROM e) GROUP BY session_id HAVING arg_max(role, sequence) = 'assistant' AND length(trim(arg_max(content, sequence))) > 0"""
+)
+def sft_export(spark, sf):
+    fit = _eligible(spark, sf).where("reason = ''").select(F.concat(F.lit("s"), F.col("job_id").cast("string")).alias("session_id"))
+    return T.sft(A.messages(spark, sf), fit)
+
+
 @query("SELECT CAST(sum(CASE WHEN doc_id % 4 < 3 THEN n_chars ELSE 1 END) AS BIGINT) AS records, CAST(sum(CASE WHEN doc_id % 4 = 1 THEN 0 ELSE doc_id % 3 END) AS BIGINT) AS issues FROM documents")
 def quarantine_summary(spark, sf):
     d = A.table(spark, sf, "documents")

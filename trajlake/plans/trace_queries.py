@@ -154,11 +154,6 @@ def verifier_metrics(spark, sf):
     return T.verifier_metrics(_results(spark, sf))
 
 
-@query(f"WITH {A.MESSAGES} SELECT session_id, count(*) AS messages, sha256(string_agg(role || ':' || content, chr(10) ORDER BY sequence)) AS messages_sha256 FROM v_msgs GROUP BY session_id HAVING arg_max(role, sequence) = 'assistant' AND length(trim(arg_max(content, sequence))) > 0")
-def sft_export(spark, sf):
-    return T.sft(A.messages(spark, sf))
-
-
 RUNS = f"{A.JOBS}, v_runs AS (SELECT coalesce(nullif(scenario_id, ''), 'default') AS scenario_id, trace_id, success AS reward, CAST(job_id AS BIGINT) % 31 = 0 AS quarantined, status = 'infrastructure_failed' AS infra, CAST(job_id AS BIGINT) % 2 = 0 AS reproduced FROM v_jobs)"
 
 
@@ -173,11 +168,6 @@ def preference_pairs(spark, sf):
     return T.preference_pairs(_runs(spark, sf).where("not infra"))
 
 
-@query(f"WITH {RUNS} SELECT CASE WHEN quarantined THEN 'quarantined' WHEN infra THEN 'infrastructure_failure' WHEN reward > 0 AND NOT reproduced THEN 'success_not_reproduced' ELSE 'exported' END AS reason, count(*) AS runs FROM v_runs GROUP BY 1")
-def export_skip_reasons(spark, sf):
-    return T.skip_reasons(_runs(spark, sf))
-
-
 @query(W + "SELECT tool, count(*) AS n, count(DISTINCT session_id) AS sessions FROM v_trace WHERE event_type = 'tool_requested' GROUP BY 1")
 def tool_use_counts(spark, sf):
     return T.counts(_trace(spark, sf), "tool", T.is_type("tool_requested"))
@@ -286,7 +276,3 @@ def canonical_timestamps(spark, sf):
     return A.table(spark, sf, "events").select("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("canonical"))
 
 
-@query(W + """SELECT event_id, CASE WHEN tool NOT IN ('read_file', 'search_files', 'apply_patch', 'run_tests', 'ask_user') THEN 'deny' WHEN call_id = '' THEN 'deny' ELSE 'allow' END AS decision, CASE WHEN tool NOT IN ('read_file', 'search_files', 'apply_patch', 'run_tests', 'ask_user') THEN 'tool_not_enabled' WHEN call_id = '' THEN 'no_call_id' ELSE '' END AS reason FROM v_trace WHERE event_type = 'tool_requested'""")
-def policy_decisions(spark, sf):
-    reason = F.when(~F.col("tool").isin("read_file", "search_files", "apply_patch", "run_tests", "ask_user"), "tool_not_enabled").when(F.col("call_id") == "", "no_call_id").otherwise("")
-    return _trace(spark, sf).where(T.is_type("tool_requested")).select("event_id", reason.alias("reason")).select("event_id", F.when(F.col("reason") == "", "allow").otherwise("deny").alias("decision"), "reason")
