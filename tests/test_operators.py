@@ -237,6 +237,24 @@ def test_greedy_selection_equals_a_loop(spark):
     assert {r["seed_id"] for r in got.collect()} == set(_greedy(rows, 40, caps))
 
 
+def test_greedy_choices_beyond_the_combinations_that_fit(spark, monkeypatch):
+    monkeypatch.setattr(selection, "MOST_COMBINATIONS", 3)
+    rng = random.Random(12)
+    for head in (1, 6, 1000):
+        monkeypatch.setattr(selection, "HEAD_ROWS", head)
+        rows = [{"seed_id": f"s{k:03d}", "family": rng.choice(["a", "b", "c", None]), "method": rng.choice("xy"), "repo": rng.choice("mnopqr")} for k in range(60)]
+        caps = {"family": 0.4, "method": 1.0, "repo": 0.25}
+        got = selection.balanced(spark.createDataFrame(rows), 14, caps)
+        assert sorted(r["seed_id"] for r in got.collect()) == sorted(_greedy(rows, 14, caps)) and got.columns == ["family", "method", "repo", "seed_id"]
+        marks = [{"trace_id": f"t{k:03d}", "scenario_id": rng.choice(["a", "b", "c", "d", None]), "success": rng.random() < 0.5, "risk_score": rng.choice([0, 40, 75, 1000])} for k in range(40)]
+        few = selection.covering(spark.createDataFrame(marks), 13, ["scenario_id", "success"]).orderBy("position").collect()
+        with monkeypatch.context() as m:
+            m.setattr(selection, "MOST_COMBINATIONS", 1000)
+            want = selection.covering(spark.createDataFrame(marks), 13, ["scenario_id", "success"]).orderBy("position").collect()
+        assert [r["trace_id"] for r in few] == [r["trace_id"] for r in want]
+    assert selection.balanced(spark.createDataFrame(rows), 200, caps).count() == len(_greedy(rows, 200, caps))
+
+
 def test_greedy_review_equals_a_loop(spark):
     rng = random.Random(7)
     rows = [{"trace_id": f"t{k:03d}", "scenario_id": rng.choice("abcdefgh"), "success": rng.random() < 0.5, "risk_score": rng.choice([0, 40, 75, 1000, 1075])} for k in range(80)]
