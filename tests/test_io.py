@@ -20,6 +20,27 @@ def test_records_of_lines_arrays_containers_and_objects(spark, tmp_path):
     assert rows("a.jsonl") == [{"x": 1}, None, {"x": 3}]
     assert rows("b.json") == [{"x": 1}, {"x": 2}]
     assert rows("c.json") == [{"x": 5}] and rows("d.json") == [{"x": 7}]
+    (tmp_path / "e.json").write_text('\n {"x": 1}\noops\n{"x": 3}')  # lines, whatever the name
+    (tmp_path / "f.jsonl").write_text('{"records":\n [{"x": 8},\n 9]}')  # a document, whatever the name
+    (tmp_path / "g h%20i.json").write_text("[]")
+    assert rows("e.json") == [{"x": 1}, None, {"x": 3}] and rows("f.jsonl") == [{"x": 8}, None] and rows("g h%20i.json") == []
+    lines = [(r["position"], r["raw"] is None) for r in readers.json_records(spark, str(tmp_path / "e.json")).orderBy("position").collect()]
+    assert lines == [(2, False), (3, True), (4, False)]
+    assert readers.json_records(spark, str(tmp_path)).count() == 3 + 2 + 1 + 1 + 3 + 2
+
+
+def test_line_numbers_over_blocks_of_a_file(spark, tmp_path):
+    text = [("x" * (k * 37 % 90) if k % 7 else "") + str(k) if k % 11 else "" for k in range(3000)]
+    (tmp_path / "a.txt").write_text("\n".join(text) + "\n")
+    (tmp_path / "b.txt").write_text("only")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        got = readers.numbered_lines(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [r["value"] for r in sorted((r for r in got if r["file"].endswith("a.txt")), key=lambda r: r["line"])] == text
+    assert sorted(r["line"] for r in got if r["file"].endswith("a.txt")) == list(range(1, 3001)) and [(r["line"], r["value"]) for r in got if r["file"].endswith("b.txt")] == [(1, "only")]
 
 
 def test_only_an_open_last_line_may_be_broken(spark, tmp_path):

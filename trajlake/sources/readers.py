@@ -2,29 +2,63 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Keys that may hold the list of records of a JSON document, in order.
 CONTAINERS = ("records", "instances", "data", "tasks")
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """file, line (from 1, blank ones counted) and value of every line of text files of any size.
+
+    Spark reads a file in blocks: a line's number is its place in its block and the lines of the blocks before, which are counted
+    apart and added up, a row a block. No file is read whole and no line is moved.
+    """
+    def read() -> DataFrame:
+        named = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_start"), "value")
+        return named.withColumn("_id", F.monotonically_increasing_id())  # consecutive in a block
+
+    blocks = read().groupBy("file", "_start").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
+    before = F.sum("_n").over(Window.partitionBy("file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1))
+    blocks = blocks.select("file", "_start", "_first", F.coalesce(before, F.lit(0)).alias("_before"))
+    return read().join(blocks, ["file", "_start"]).select("file", (F.col("_id") - F.col("_first") + F.col("_before") + 1).alias("line"), "value")
+
+
+def _is_object(c: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(F.try_parse_json(c)).startswith("OBJECT"), F.lit(False))
+
+
 def json_records(spark: SparkSession, path: str, lines: bool | None = None) -> DataFrame:
-    """One row (position, raw) per record of JSON-lines files, or of JSON arrays, containers or single objects.
+    """One row (file, position, raw) per record of JSON-lines files, or of JSON arrays, containers or single objects.
 
-    ``raw`` stays text: records are dynamic. Lines or rows that hold no object are left in with raw
-    null, so that a caller can count them.
+    ``lines`` says what the files are; if it is not given, each file tells by its content: a file is one document if its first line that is not
+    blank begins an array, is no JSON by itself, or is an object and the only one; else it is JSON lines. ``position`` is the line's
+    number, from 1, or the record's place in the document. ``raw`` stays text: records are dynamic. Lines or rows that hold no
+    object are left in with raw null, so that a caller can name them. Only files that are one document are read whole.
     """
-    if lines if lines is not None else path.endswith(".jsonl"):
-        rows = spark.read.text(path).where(F.length(F.trim("value")) > 0)
-        raw = F.when(F.expr("try_parse_json(value) is not null") & F.trim("value").startswith("{"), F.col("value"))
-        return rows.select(F.monotonically_increasing_id().alias("position"), raw.alias("raw"))
-    whole = spark.read.text(path, wholetext=True)
+    numbered = numbered_lines(spark, path).where(F.length(F.trim("value")) > 0)
+    by_line = numbered.select("file", F.col("line").alias("position"), F.when(_is_object(F.col("value")), F.col("value")).alias("raw"))
+    if lines:
+        return by_line
+    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    if lines is None:
+        first = numbered.groupBy("file").agg(F.count("*").alias("n"), F.min_by(F.struct("value"), "line")["value"].alias("v"))
+        one = F.ltrim("v").startswith("[") | F.try_parse_json("v").isNull() | ((F.col("n") == 1) & _is_object(F.col("v")))
+        kinds = first.select("file", one.alias("one"))
+        documents = [r["file"] for r in kinds.where("one").select("file").collect()]  # names of files, not their rows
+        by_line = by_line.join(kinds.where("not one").select("file"), "file", "left_semi")
+        if not documents:
+            return by_line
+        whole = spark.read.text([unquote(f) for f in documents], wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     listed = F.coalesce(*[F.get_json_object("value", f"$.{c}") for c in CONTAINERS])
     items = F.when(F.ltrim(F.regexp_replace("value", r"^\s+", "")).startswith("["), F.col("value")).otherwise(F.coalesce(listed, F.concat(F.lit("["), F.col("value"), F.lit("]"))))
-    exploded = whole.select(items.alias("i")).select(F.posexplode(F.expr("cast(try_parse_json(i) as array<variant>)")).alias("position", "v"))
+    exploded = whole.select("file", items.alias("i")).select("file", F.posexplode(F.expr("cast(try_parse_json(i) as array<variant>)")).alias("position", "v"))
     text = F.to_json("v")
-    return exploded.select(F.col("position").cast("long"), F.when(text.startswith("{"), text).alias("raw"))
+    in_documents = exploded.select("file", F.col("position").cast("long"), F.when(text.startswith("{"), text).alias("raw"))
+    return in_documents if lines is False else by_line.unionByName(in_documents)
 
 
 def trace_lines(spark: SparkSession, path: str) -> DataFrame:
