@@ -64,6 +64,14 @@ def test_export_manifest_has_the_files_digests(spark, tmp_path):
     path = str(tmp_path / "out")
     m = sinks.write_jsonl(spark.createDataFrame([("a", 1), ("b", None)], "k string, v int").coalesce(1), path).collect()
     assert len(m) == 1 and m[0]["sha256"] == hashlib.sha256((tmp_path / "out" / m[0]["file"]).read_bytes()).hexdigest()
+    assert (tmp_path / "out" / m[0]["file"]).read_text() == '{"k":"a","v":1}\n{"k":"b"}\n'
+    nested = spark.createDataFrame([(1, {"z": 1, "a": None}, [("y", 2)])], "b int, a map<string,int>, c array<struct<z string, y int>>")
+    assert sinks.write_jsonl(nested, path).count() == 1 and [r["value"] for r in spark.read.text(path).collect()] == ['{"a":{"a":null,"z":1},"b":1,"c":[{"y":2,"z":"y"}]}']
+    with pytest.raises(Exception, match="zero"):
+        sinks.write_jsonl(spark.range(3).selectExpr("raise_error('zero') as x"), path)
+    assert spark.read.text(path).count() == 1  # a failed write leaves what was there
+    sinks.append_jsonl(nested, path)
+    assert spark.read.text(path).count() == 2
     declared = spark.createDataFrame([("models", "1"), ("tools", " "), ("prompts", "2")], "version_group string, version string")
     assert [r[0] for r in sinks.undeclared_groups(declared).collect()] == ["scenarios", "tools", "images", "evaluators", "exporters"]
 
