@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trajlake.functions.text import label
 from trajlake.operators.jobs import numbered
+from trajlake.operators.source_records import public_kind
 
 #: Sources that a collector exists for.
 SUPPORTED = ("issues", "pull_requests", "ci")
@@ -77,7 +78,9 @@ def readiness(plan: DataFrame, tasks: DataFrame, export: DataFrame, audit: DataF
     t = tasks.agg(F.count("*").alias("n"), F.count(F.when(label("collection_source").isin(*SUPPORTED), 1)).alias("supported"))
     e = export.agg(sound("export_valid"), *[number(c).alias(f"e_{c}") for c in ("plan_tasks", "selected_tasks", "skipped_tasks", "exported", "issues")])
     a = audit.agg(sound("audit_valid"), *[number(c).alias(f"a_{c}") for c in ("total", "accepted", "quarantined")])
-    types = accepted.select(label("source_type").alias("t")).where("t <> ''").agg(F.collect_set(F.when(F.col("t").isin(*source_types), F.col("t")) if source_types else F.lit(None).cast("string")).alias("present"))
+    source_types = tuple(sorted(set(source_types)))
+    wanted = F.array_distinct(F.array(*[public_kind(F.lit(k)) for k in source_types])) if source_types else F.array().cast("array<string>")
+    types = accepted.select(public_kind(F.col("source_type")).alias("t")).where("t <> ''").agg(F.collect_set(F.when(F.array_contains(wanted, F.col("t")), F.col("t"))).alias("present"))
     row = p.join(F.broadcast(t)).join(F.broadcast(e)).join(F.broadcast(a)).join(F.broadcast(types))  # one row each
     row = row.withColumn("planned", F.when(F.col("said") == 0, F.col("n")).otherwise(F.col("said")))
 
@@ -98,7 +101,7 @@ def readiness(plan: DataFrame, tasks: DataFrame, export: DataFrame, audit: DataF
         found(F.col("e_exported") != F.col("a_total"), "audit_export_count_mismatch", detail=against("a_total", F.col("e_exported"))),
         found((F.col("e_plan_tasks") != 0) & (F.col("planned") != 0) & (F.col("e_plan_tasks") != F.col("planned")), "plan_export_task_count_mismatch", detail=against("planned", F.col("e_plan_tasks"))),
         found(F.lit(all_tasks) & (F.col("e_selected_tasks") < F.col("planned")), "partial_plan_selection", detail=against("e_selected_tasks", F.col("planned"))),
-        *[found(~F.array_contains("present", k), "missing_required_source_type", detail=F.lit(k)) for k in sorted(set(source_types))],
+        *[found(~F.array_contains("present", public_kind(F.lit(k))), "missing_required_source_type", detail=F.lit(k)) for k in source_types],
         found(F.col("e_issues") > 0, "source_export_issues", "error" if clean_export else "warning", F.col("e_issues").cast("string")),
         found(F.col("e_skipped_tasks") != 0, "skipped_collection_tasks", "warning", F.col("e_skipped_tasks").cast("string")),
     ]

@@ -120,3 +120,40 @@ def priced(calls: DataFrame, raw: str, uncached: str, cached: str, output: str)
     cost = part(F.col("_in") - F.col("_kept"), uncached) + part(F.col("_kept"), cached) + part(F.col("_out"), output)
     shown = {"input_tokens": F.when(fine, F.col("_in")), "cached_tokens": F.when(fine, F.col("_kept")), "output_tokens": F.when(fine, F.col("_out")), "cost_usd": F.when(fine, (cost.cast("decimal(30,4)") * F.lit("0.000001").cast("decimal(6,6)")).cast("decimal(38,10)"))}
     return v.withColumns(shown).drop("_u", "_hit", "_miss", "_detail", "_in", "_out", "_all", "_kept")
+
+
+def _leaves(raw: Column, depth: int) -> Column:
+    """Fields of a JSON object at any depth as an array of path and value; objects below ``depth`` stay whole."""
+
+    def entries(v: Column) -> Column:
+        return F.map_entries(F.try_variant_get(v, "$", "map<string, variant>"))
+
+    def nested(v: Column) -> Column:
+        return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False)) & (F.coalesce(F.size(F.try_variant_get(v, "$", "map<string, variant>")), F.lit(0)) > 0)
+
+    out = F.transform(entries(F.try_parse_json(raw)), lambda e: F.struct(e["key"].alias("path"), e["value"].alias("v")))
+    for _ in range(depth - 1):
+        out = F.flatten(F.transform(out, lambda x: F.when(nested(x["v"]), F.transform(entries(x["v"]), lambda e: F.struct(F.concat(x["path"], F.lit("."), e["key"]).alias("path"), e["value"].alias("v")))).otherwise(F.array(x))))
+    return out
+
+
+def nested_usage(calls: DataFrame, key: str, raw: str, depth: int = 6) -> tuple[DataFrame, DataFrame]:
+    """Sums of nested usage records by ``key``: (key, path, total), and what cannot be summed: (key, path, code, n).
+
+    ``raw`` names a column of JSON objects of whole numbers, nested up to ``depth``. Codes: empty (null, no object, or one without fields), negative, not_a_count (anything
+    but a whole number, also an object nested deeper, or an empty one) and shape_conflict (a path that is a number in one record and an object in
+    another of the same key); such values are in no total. Records are taken apart where they lie; only sums by path are shuffled.
+    """
+    rows = calls.select(F.col(key).alias("key"), _leaves(F.col(raw), depth).alias("l"))
+    none = rows.where(F.coalesce(F.size("l"), F.lit(0)) <= 0).groupBy("key").agg(F.count("*").alias("n")).select("key", F.lit("").alias("path"), F.lit("empty").alias("code"), "n")
+    each = rows.select("key", F.explode("l").alias("x")).select("key", "x.path", F.coalesce(F.schema_of_variant("x.v"), F.lit("")).alias("kind"), F.try_variant_get("x.v", "$", "bigint").alias("value"))
+    good = (F.col("kind") == "BIGINT") & (F.col("value") >= 0)
+    code = F.when(F.col("kind") != "BIGINT", "not_a_count").when(F.col("value") < 0, "negative")
+    sums = each.groupBy("key", "path").agg(F.sum(F.when(good, F.col("value").cast("decimal(38,0)"))).alias("total"), F.count(F.when(good, 1)).alias("good"), F.count("*").alias("n"))
+    parts = F.split("path", "\\.")
+    above = sums.where(F.size(parts) > 1).select("key", F.explode(F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda k: F.array_join(F.slice(parts, 1, k), "."))).alias("path")).distinct().withColumn("inner", F.lit(True))
+    met = sums.join(above, ["key", "path"], "left")
+    clash = F.coalesce("inner", F.lit(False))
+    totals_ = met.where(~clash & (F.col("good") > 0)).select("key", "path", F.col("total").cast("long").alias("total"))
+    faults = each.where(code.isNotNull()).groupBy("key", "path", code.alias("code")).agg(F.count("*").alias("n"))
+    return totals_, faults.unionByName(none).unionByName(met.where(clash).select("key", "path", F.lit("shape_conflict").alias("code"), "n"))

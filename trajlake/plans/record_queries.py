@@ -31,11 +31,6 @@ def source_type_classify(spark, sf):
     return _records(spark, sf).select("position", R.source_type(F.col("source_type")).alias("source_type"))
 
 
-@query(ALL + "SELECT * FROM v_issues")
-def source_record_issues(spark, sf):
-    return R.issues(_records(spark, sf))
-
-
 @query(ALL + "SELECT code, count(*) AS records FROM v_issues GROUP BY code UNION ALL SELECT 'approved', count(*) FROM v_records WHERE position NOT IN (SELECT position FROM v_issues)")
 def allowlist_audit(spark, sf):
     r = _records(spark, sf)
@@ -44,12 +39,6 @@ def allowlist_audit(spark, sf):
     return found.groupBy("code").agg(F.count("*").alias("records")).unionByName(approved)
 
 
-@query(W + """SELECT position, CASE WHEN source_type = 'ci_run' THEN 'source_type' WHEN source_instance_id = '' OR title = '' THEN 'missing_fields' WHEN NOT regexp_full_match(revision, '[0-9a-f]{40}') THEN 'revision'
- WHEN lower(title) LIKE '%benchmark%' THEN 'benchmark_source' WHEN NOT has_verifier THEN 'no_oracle' ELSE '' END AS rejection_code FROM v_records""")
-def curation_rejections(spark, sf):
-    return R.first_rejection(_records(spark, sf))
-
-
 @query(ALL + "SELECT * FROM v_reason")
 def allowlist_filter(spark, sf):
     return R.allowlist_filter(_records(spark, sf), A.allowlist(spark, sf))

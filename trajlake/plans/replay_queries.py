@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from trajlake.operators import exports as X
 from trajlake.operators import policy as P
 from trajlake.operators import replay as R
+from trajlake.operators import source_records as S
+from trajlake.operators import usage as U
 from trajlake.operators.events import REQUIRED
 from trajlake.plans import adapters as A
 from trajlake.plans.registry import query
@@ -162,3 +164,52 @@ def export_manifest_differences(spark, sf):
     declared = right.where("view <> 'preference'").withColumn("records", F.col("records") + (F.col("view") == "analysis").cast("int")).withColumn("sha256", F.when(F.col("view") == "analysis", "x").otherwise(F.col("sha256")))
     odd = A.table(spark, sf, "region").where("r_regionkey = 0").select(F.lit("other").alias("view"), F.lit(1).cast("long").alias("records"), F.lit("y").alias("sha256"))
     return X.manifest_differences(declared.unionByName(odd), right)
+
+
+#: Source records of pages as JSON, with fields under other names, blank ones and wrong ones here and there.
+SOURCE = """SELECT page_id AS position, CASE WHEN page_id % 97 = 5 THEN 'no json' ELSE '{' || CASE CAST(page_id % 5 AS INTEGER) WHEN 0 THEN '"repository":"Org/A/"' WHEN 1 THEN '"owner":"o","name":"n"' WHEN 2 THEN '"full_name":"f/n"' WHEN 3 THEN '"repository":" "' ELSE '"repo":["x"]' END
+ || CASE WHEN page_id % 7 = 0 THEN '' ELSE ',"title":"T"' END || CASE WHEN page_id % 11 = 0 THEN ',"body":" "' ELSE ',"body":"b"' END || CASE CAST(page_id % 4 AS INTEGER) WHEN 0 THEN ',"labels":["", "x"]' WHEN 1 THEN ',"labels":[""]' WHEN 2 THEN ',"labels":"bug"' ELSE '' END || ',"license":"MIT"' || CASE WHEN page_id % 13 = 0 THEN '' ELSE ',"language":"go"' END
+ || CASE CAST(page_id % 6 AS INTEGER) WHEN 0 THEN ',"source_instance_id":"i"' WHEN 1 THEN ',"number":' || CAST(page_id AS {s}) ELSE '' END || CASE CAST(page_id % 3 AS INTEGER) WHEN 0 THEN ',"ci_commands":["run"]' WHEN 1 THEN ',"required_state":{}' ELSE ',"required_state":{"a":1}' END
+ || CASE CAST(page_id % 8 AS INTEGER) WHEN 0 THEN ',"source_url":"https://github.com/a/b"' WHEN 1 THEN ',"html_url":"https://Host.org/x"' WHEN 2 THEN ',"source_url":"http://github.com/c"' WHEN 3 THEN ',"url":"https://localhost/x"' WHEN 4 THEN ',"source_url":"ftp://a.b/"' WHEN 5 THEN ',"source_url":"https://github.com/a/b"' ELSE '' END
+ || CASE CAST(page_id % 9 AS INTEGER) WHEN 0 THEN ',"source_revision":"short"' WHEN 1 THEN '' ELSE ',"source_revision":"' || repeat('aB', 20) || '"' END || CASE CAST(page_id % 10 AS INTEGER) WHEN 0 THEN ',"source_type":"PRs"' WHEN 1 THEN ',"type":"workflow-run"' WHEN 2 THEN '' ELSE ',"source_type":"issue"' END
+ || CASE WHEN page_id % 17 = 0 THEN ',"metadata":{"dataset":"SWE-Bench Lite"}' WHEN page_id % 17 = 1 THEN ',"contamination_tags":["x","multi swe_bench"]' ELSE '' END || CASE WHEN page_id % 19 = 0 THEN ',"FAIL_TO_PASS":null' ELSE '' END || CASE WHEN page_id % 23 = 0 THEN ',"notes":[{"at":"see GIT@host:x"}]' ELSE '' END || '}' END AS raw FROM pages"""
+_p = "(page_id % 97 = 5)"
+_FAILS = {
+    "missing_repository": "page_id % 5 IN (3, 4)", "missing_title": "page_id % 7 = 0", "missing_body": "page_id % 11 = 0", "missing_labels": "page_id % 4 IN (1, 3)", "missing_license": "false", "missing_language": "page_id % 13 = 0", "missing_source_instance_id": "NOT (page_id % 6 = 0 OR (page_id % 6 = 1 AND page_id % 5 IN (0, 1, 2)) OR page_id % 8 < 6)",
+    "missing_candidate_verifier": "page_id % 3 = 1", "missing_source_url": "page_id % 8 > 5", "missing_fixed_revision": "page_id % 9 < 2", "non_public_source_url": "NOT {p} AND page_id % 8 IN (3, 4)", "private_url": "NOT {p} AND (page_id % 8 = 3 OR page_id % 23 = 0)",
+}
+_id = "CASE WHEN {p} THEN '' WHEN page_id % 6 = 0 THEN 'i' WHEN page_id % 6 = 1 AND page_id % 5 IN (0, 1, 2) THEN CASE CAST(page_id % 5 AS INTEGER) WHEN 0 THEN 'org__a' WHEN 1 THEN 'o__n' ELSE 'f__n' END || CASE WHEN page_id % 10 = 0 THEN '-pr-' WHEN page_id % 10 = 1 THEN '-ci-' ELSE '-issue-' END || page_id ELSE CASE CAST(page_id % 8 AS INTEGER) WHEN 1 THEN 'https://Host.org/x' WHEN 2 THEN 'http://github.com/c' WHEN 3 THEN 'https://localhost/x' WHEN 4 THEN 'ftp://a.b/' WHEN 6 THEN '' WHEN 7 THEN '' ELSE 'https://github.com/a/b' END END"
+
+
+def _source(spark, sf):
+    return _sql(spark, sf, ["pages"], SOURCE.replace("{s}", "STRING"))
+
+
+@query(
+    "SELECT page_id AS position, " + _id.replace("{p}", _p) + " AS source_instance_id, unnest(list_filter([" + ", ".join(f"CASE WHEN {_p if not w.startswith('NOT {p}') else 'false'} OR ({w.replace('{p}', _p)}) THEN '{c}' END" for c, w in _FAILS.items()) + "], lambda x: x IS NOT NULL)) AS code FROM pages"
+)
+def source_record_issues(spark, sf):
+    return S.record_issues(_source(spark, sf))
+
+
+@query(
+    f"""SELECT page_id AS position, CASE WHEN {_p} OR page_id % 10 IN (1, 2) THEN 'unsupported_source_type' WHEN page_id % 5 <> 0 OR page_id % 7 = 0 OR page_id % 6 <> 0 OR page_id % 8 IN (1, 3, 6, 7) OR page_id % 9 = 1 THEN 'missing_required_public_source_fields' WHEN page_id % 9 = 0 THEN 'invalid_source_revision'
+ WHEN page_id % 17 IN (0, 1) THEN 'benchmark_source_rejected' WHEN page_id % 19 = 0 THEN 'oracle_fields_rejected' WHEN page_id % 8 = 4 THEN 'other_source_url' ELSE '' END AS rejection_code FROM pages"""
+)
+def curation_rejections(spark, sf):
+    return S.rejections(_source(spark, sf))
+
+
+USAGE = """SELECT l_orderkey, CASE CAST(l_partkey % 9 AS INTEGER) WHEN 0 THEN '{"in":' || CAST(l_linenumber AS {s}) || ',"d":{"x":{"y":2},"z":1}}' WHEN 1 THEN '{"in":3,"out":-1}' WHEN 2 THEN '{"in":1.5,"out":2}' WHEN 3 THEN '{"d":7}' WHEN 4 THEN '{}' WHEN 5 THEN 'no json' WHEN 6 THEN '{"d":{"x":{"y":5}},"out":true}' WHEN 7 THEN '{"in":4,"e":{}}' ELSE '{"out":6}' END AS usage FROM lineitem"""
+_flat = """v_flat AS (SELECT l_orderkey AS key, p AS path, k, CASE WHEN p = 'in' AND m = 0 THEN l_linenumber ELSE v END AS v FROM (SELECT *, CAST(l_partkey % 9 AS INTEGER) AS mm FROM lineitem) JOIN (VALUES (0, 'in', 'n', 0), (0, 'd.x.y', 'n', 2), (0, 'd.z', 'n', 1), (1, 'in', 'n', 3), (1, 'out', 'negative', 0), (2, 'in', 'not_a_count', 0), (2, 'out', 'n', 2), (3, 'd', 'n', 7),
+ (4, '', 'empty', 0), (5, '', 'empty', 0), (6, 'd.x.y', 'n', 5), (6, 'out', 'not_a_count', 0), (7, 'in', 'n', 4), (7, 'e', 'not_a_count', 0), (8, 'out', 'n', 6)) t(m, p, k, v) ON m = mm), v_clash AS (SELECT key FROM v_flat GROUP BY 1 HAVING count(*) FILTER (path = 'd') > 0 AND count(*) FILTER (path LIKE 'd.%') > 0)"""
+
+
+@query(f"WITH {_flat} SELECT key, path, CAST(sum(v) AS BIGINT) AS total FROM v_flat WHERE k = 'n' AND NOT (path = 'd' AND key IN (SELECT key FROM v_clash)) GROUP BY 1, 2")
+def nested_usage_totals(spark, sf):
+    return U.nested_usage(_sql(spark, sf, ["lineitem"], USAGE.replace("{s}", "STRING")), "l_orderkey", "usage")[0]
+
+
+@query(f"WITH {_flat} SELECT key, path, k AS code, count(*) AS n FROM v_flat WHERE k <> 'n' GROUP BY 1, 2, 3 UNION ALL SELECT key, 'd', 'shape_conflict', count(*) FROM v_flat WHERE path = 'd' AND key IN (SELECT key FROM v_clash) GROUP BY 1")
+def nested_usage_faults(spark, sf):
+    return U.nested_usage(_sql(spark, sf, ["lineitem"], USAGE.replace("{s}", "STRING")), "l_orderkey", "usage")[1]
