@@ -280,3 +280,23 @@ def test_every_scenario_gets_its_assignments(spark, tmp_path):
     got = rollout_assignments(spark, str(tmp_path)).collect()
     assert sorted((r["scenario_id"], r["rollout_index"]) for r in got) == sorted((f"c_{k}", i) for k in (3, 499, 500, 70_001) for i in (0, 1))
     assert len({r["job_id"] for r in got}) == 8
+
+
+def test_review_seal_names_every_change(spark):
+    summaries = [(f"t{k}", f"s{k % 3}", ["odd"] if k % 2 else [], k % 4 != 0, "success", k % 5) for k in range(12)]
+    scored = review.risk(spark.createDataFrame(summaries, "trace_id string, scenario_id string, flags array<string>, success boolean, termination string, declared int"))
+    queue = review.sealed(review.queue(scored, 6).select("trace_id", "scenario_id", "reasons", "risk_score", "position")).cache()
+    seal = review.seal(queue)
+    assert review.seal_violations(queue, seal, scored, 6).collect() == [] and seal.first()["items"] == 6
+    ids = [r["trace_id"] for r in queue.orderBy("position").collect()]
+    at = F.col("position")
+    forged = review.sealed(queue.withColumn("risk_score", F.col("risk_score") + F.when(at == 1, 5).otherwise(0)).drop("item_sha256"))  # hashes made to fit
+    assert {tuple(r) for r in review.seal_violations(forged, review.seal(forged), scored, 6).collect()} == {(ids[1], "risk_score")}
+    assert {tuple(r) for r in review.seal_violations(forged, seal, scored, 6).collect()} == {(ids[1], "risk_score"), (None, "queue_sha256")}
+    lazy = queue.withColumn("reasons", F.when(at == 2, F.array(F.lit("calm"))).otherwise(F.col("reasons")))  # hashes left as they were
+    assert {tuple(r) for r in review.seal_violations(lazy, seal, scored, 6).collect()} == {(ids[2], "item_sha256"), (ids[2], "reasons"), (None, "queue_sha256")}
+    fewer = queue.where(at != 4)
+    assert {tuple(r) for r in review.seal_violations(fewer, seal, scored, 6).collect()} == {(ids[4], "missing"), (None, "items"), (None, "queue_sha256")}
+    assert {tuple(r) for r in review.seal_violations(queue, seal.limit(0), scored, 6).collect()} == {(None, "items"), (None, "queue_sha256")}
+    none = queue.limit(0)
+    assert review.seal(none).collect() == [] and review.seal_violations(none, review.seal(none), scored.limit(0), 6).collect() == []

@@ -154,15 +154,20 @@ PART = 8
 CHUNK = 256
 
 
+# What a hidden value tells by itself: paths, 64 hex digits, and words that hold one of the markers.
+PATHS, HEX_DIGITS, WORDS = "(?:[A-Za-z0-9_.-]+/)+[A-Za-z0-9_.-]+", "[0-9a-fA-F]{64,}", "[A-Za-z0-9_.-]{8,}"
+MARKERS = ("hidden", "private", "secret", "evaluator")
+
+
 def sensitive_fragments(values: DataFrame) -> DataFrame:
     """What in a hidden value tells it by itself, of 8 characters or more: value_id, value.
 
     These are paths and their base names, 64 hex digits on their own, and words with a marker in them.
     """
-    paths = F.regexp_extract_all("value", F.lit("(?:[A-Za-z0-9_.-]+/)+[A-Za-z0-9_.-]+"), 0)
+    paths = F.regexp_extract_all("value", F.lit(PATHS), 0)
     names = F.transform(paths, lambda p: F.substring_index(p, "/", -1))
-    hashes = F.filter(F.regexp_extract_all("value", F.lit("[0-9a-fA-F]{64,}"), 0), lambda h: F.length(h) == 64)
-    marked = F.filter(F.regexp_extract_all("value", F.lit("[A-Za-z0-9_.-]{8,}"), 0), lambda t: F.lower(t).rlike("hidden|private|secret|evaluator"))
+    hashes = F.filter(F.regexp_extract_all("value", F.lit(HEX_DIGITS), 0), lambda h: F.length(h) == 64)
+    marked = F.filter(F.regexp_extract_all("value", F.lit(WORDS), 0), lambda t: F.lower(t).rlike("|".join(MARKERS)))
     return values.select("value_id", F.explode(F.array_distinct(F.concat(paths, names, hashes, marked))).alias("value")).where(F.length("value") >= 8)
 
 

@@ -5,12 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trajlake.functions.ids import canonical_json
+
 
 def public_metrics(c: Column, names: tuple[str, ...]) -> Column:
     """The metrics whose names are public."""
     return F.map_filter(c, lambda k, v: k.isin(*names) & v.isNotNull() & ~F.isnan(v))
 
 
+def metrics_digest(metrics: Column) -> Column:
+    """SHA-256 of the canonical JSON of all metrics, so that what is left out is bound as well."""
+    return F.sha2(canonical_json(F.to_json(metrics)), 256)
+
+
 def public_results(results: DataFrame, known: tuple[str, ...]) -> DataFrame:
     """Results fit for export: unknown evaluators by digest, general reasons, the reason's digest and size."""
     name = F.when(F.col("verifier").isin(*known), F.col("verifier")).otherwise(F.concat(F.lit("custom_evaluator_"), F.substring(F.sha2("verifier", 256), 1, 16)))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trajlake.operators.digests import ordered_digests
+
 # Weights of risk reasons; any other reason weighs 10.
 RISK_WEIGHTS = {
     "hidden_content_leak": 1_000,
@@ -34,6 +36,41 @@ def queue(scored: DataFrame, k: int) -> DataFrame:
     return head.withColumn("position", (F.row_number().over(Window.orderBy(F.desc("risk_score"), "scenario_id", "trace_id")) - 1).cast("int"))
 
 
+def _item() -> Column:
+    """SHA-256 of an item's JSON, keys in order, without blanks."""
+    return F.sha2(F.to_json(F.struct("position", "reasons", "risk_score", "scenario_id", "trace_id")), 256)
+
+
+def sealed(items: DataFrame) -> DataFrame:
+    """The items of a queue (trace_id, scenario_id, reasons, risk_score, position) with the hash of each."""
+    return items.withColumn("item_sha256", _item())
+
+
+def seal(items: DataFrame) -> DataFrame:
+    """One row: items and the hash over their hashes in order of position; none for an empty queue."""
+    made = ordered_digests(items, F.lit("queue"), F.col("position"), F.col("item_sha256"), ",")
+    return made.select(F.col("n").alias("items"), F.col("sha256").alias("queue_sha256"))
+
+
+def seal_violations(recorded: DataFrame, declared: DataFrame, scored: DataFrame, k: int) -> DataFrame:
+    """trace_id and code of all that a recorded queue has otherwise than it computes to; the whole queue's codes have no trace.
+
+    recorded: sealed items; declared: the recorded seal, one row or none; scored: what ``risk`` gives now. Codes of an item: unexpected, missing, doubled, item_sha256
+    (its hash is not that of its own fields), and scenario_id, reasons, risk_score or position where they differ. Codes of the queue: items, queue_sha256.
+    """
+    fields = ("scenario_id", "reasons", "risk_score", "position")
+    own = recorded.groupBy("trace_id").agg(F.count("*").alias("_n"), F.first(F.struct(*fields)).alias("_r"), F.bool_and(F.col("item_sha256").eqNullSafe(_item())).alias("_sound"))
+    now = queue(scored, k).select("trace_id", F.struct(*[F.col(c).cast(t).alias(c) for c, t in zip(fields, ("string", "array<string>", "long", "int"), strict=True)]).alias("_q"))
+    met = own.join(now, "trace_id", "full")
+    unlike = [F.when(~F.col(f"_r.{c}").cast(t).eqNullSafe(F.col(f"_q.{c}")), F.lit(c)) for c, t in zip(fields, ("string", "array<string>", "long", "int"), strict=True)]
+    both = F.array_compact(F.array(F.when(F.col("_n") > 1, "doubled"), F.when(~F.col("_sound"), "item_sha256"), *unlike))
+    codes = F.when(F.col("_n").isNull(), F.array(F.lit("missing"))).when(F.col("_q").isNull(), F.array(F.lit("unexpected"))).otherwise(both)
+    said = declared.agg(F.max("items").alias("i"), F.max("queue_sha256").alias("h"))
+    true = seal(sealed(recorded.drop("item_sha256"))).agg(F.max("items").alias("i2"), F.max("queue_sha256").alias("h2"))
+    whole = said.join(F.broadcast(true)).select(F.lit(None).cast("string").alias("trace_id"), F.explode(F.array_compact(F.array(F.when(~F.col("i").eqNullSafe(F.col("i2")), "items"), F.when(~F.col("h").eqNullSafe(F.col("h2")), "queue_sha256")))).alias("code"))
+    return met.select("trace_id", F.explode(codes).alias("code")).unionByName(whole)
+
+
 def coverage(source: DataFrame, selected: DataFrame, columns: list[str]) -> DataFrame:
     """Per column: distinct values there are, those that the selection has, and whether that is all."""
 

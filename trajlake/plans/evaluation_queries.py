@@ -37,10 +37,13 @@ def forbidden_fields(spark, sf):
     return p.select("page_id", has_key(raw, ["hidden_tests", "reference_answer"]).alias("forbidden"))
 
 
-@query(f"WITH {A.JOBS} SELECT job_id, CAST(1 + CASE WHEN m_hidden IS NULL THEN 0 ELSE 1 END AS BIGINT) AS public_metrics, CAST(2 AS BIGINT) AS omitted FROM v_jobs")
+@query(
+    f"""WITH {A.JOBS} SELECT job_id, CAST(1 + CASE WHEN m_hidden IS NULL THEN 0 ELSE 1 END AS BIGINT) AS public_metrics, CAST(2 AS BIGINT) AS omitted, sha256('{{"tool_calls":' || m_tool_calls || ',"verifier_agent_termination_passed":' || m_stop || ',"verifier_all_non_agent_passed":' || m_all
+ || CASE WHEN m_hidden IS NULL THEN '' ELSE ',"verifier_hidden_command_passed":' || m_hidden END || '}}') AS metrics_sha256 FROM v_jobs"""
+)
 def public_metrics(spark, sf):
     kept = E.public_metrics(F.col("metrics"), PUBLIC)
-    return A.jobs(spark, sf).select("job_id", F.size(kept).cast("long").alias("public_metrics"), (F.size("metrics") - F.size(kept)).cast("long").alias("omitted"))
+    return A.jobs(spark, sf).select("job_id", F.size(kept).cast("long").alias("public_metrics"), (F.size("metrics") - F.size(kept)).cast("long").alias("omitted"), E.metrics_digest(F.col("metrics")).alias("metrics_sha256"))
 
 
 def _reasons(spark, sf):

@@ -224,6 +224,31 @@ def review_queue_order(spark, sf):
     return V.queue(_risk(spark, sf), 40).select("trace_id", "risk_score", "position")
 
 
+_item = "sha256('{\"position\":' || position || ',\"reasons\":[' || CASE WHEN len(reasons) = 0 THEN '' ELSE '\"' || array_to_string(reasons, '\",\"') || '\"' END || '],\"risk_score\":' || risk_score || ',\"scenario_id\":\"' || scenario_id || '\",\"trace_id\":\"' || trace_id || '\"}')"
+QUEUE = f"{RISK}, v_q AS (SELECT trace_id, scenario_id, reasons, risk_score, CAST(row_number() OVER (ORDER BY risk_score DESC, scenario_id, trace_id) - 1 AS INTEGER) AS position FROM v_risk QUALIFY position < 40), v_sealed AS (SELECT *, {_item} AS item_sha256 FROM v_q)"
+
+
+def _queue(spark, sf):
+    return V.sealed(V.queue(_risk(spark, sf), 40).select("trace_id", "scenario_id", "reasons", "risk_score", "position"))
+
+
+@query(f"WITH {QUEUE} SELECT count(*) AS items, sha256(string_agg(item_sha256, ',' ORDER BY position)) AS queue_sha256 FROM v_sealed")
+def review_queue_seal(spark, sf):
+    return V.seal(_queue(spark, sf))
+
+
+@query(
+    f"""WITH {QUEUE} SELECT trace_id, unnest(CASE WHEN position = 7 THEN ['missing'] WHEN position % 10 = 3 THEN ['item_sha256', 'risk_score'] WHEN position = 12 THEN ['doubled'] WHEN position = 5 THEN ['item_sha256'] ELSE [] END) AS code FROM v_q
+ UNION ALL SELECT 'new', 'unexpected' UNION ALL SELECT NULL, 'items' UNION ALL SELECT NULL, 'queue_sha256'"""
+)
+def review_seal_violations(spark, sf):
+    q = _queue(spark, sf)
+    at = F.col("position")
+    changed = q.where(at != 7).withColumn("risk_score", F.col("risk_score") + F.when(at % 10 == 3, 1).otherwise(0)).withColumn("item_sha256", F.when(at == 5, "x").otherwise(F.col("item_sha256")))
+    odd = V.sealed(q.where(at == 0).withColumn("trace_id", F.lit("new")).drop("item_sha256"))
+    return V.seal_violations(changed.unionByName(q.where(at == 12)).unionByName(odd), V.seal(q), _risk(spark, sf), 40)
+
+
 @query(f"""WITH {RISK}, q AS (SELECT * FROM v_risk ORDER BY risk_score DESC, scenario_id, trace_id LIMIT 40), a AS (SELECT 'scenario_id' AS field, scenario_id AS value FROM v_risk UNION SELECT 'success', CAST(success AS VARCHAR) FROM v_risk UNION SELECT 'termination', termination FROM v_risk),
  b AS (SELECT 'scenario_id' AS field, scenario_id AS value FROM q UNION SELECT 'success', CAST(success AS VARCHAR) FROM q UNION SELECT 'termination', termination FROM q) SELECT a.field, count(*) AS available, count(b.value) AS covered, count(*) = count(b.value) AS complete FROM a LEFT JOIN b ON a.field = b.field AND a.value = b.value GROUP BY 1""")
 def review_coverage(spark, sf):
