@@ -220,3 +220,22 @@ def test_commands_quote_like_a_shell(spark):
     assert got[1:] == [([], ""), ([], ""), ([], ""), ([], ""), (["b", "a"], ""), (["plain"], ""), ([], "template"), ([], "template"), ([], ""), ([], "option"), ([], "control_character"), ([], "control_character"), ([], ""), ([], "missing_test_id")]
     for q, i in zip(quoted, ids, strict=True):
         assert shlex.split(q) == [i.split("[", 1)[0]]
+
+
+def test_verifiers_and_tags_of_records(spark):
+    cases = [
+        ({}, [], [], ["source_format:f", "task_family:x", "w"]),
+        ({"hidden_tests": None, "test_commands": ["a", " a ", "", None, 3], "FAIL_TO_PASS": ["t[1]", "t[2]"], "build_commands": "make"}, [("build_command", ["make"]), ("hidden_command", ["a", "3", "run t"])], ["build_command", "hidden_command"], None),
+        ({"hidden_tests": [], "test_commands": ["never"], "test_ids": ["-x", "ok"]}, [], [], None),
+        ({"eval_commands": {"a": 1}, "doctest_commands": ["d"], "adversarial_tests": ["z"]}, [("adversarial_test", ["z"]), ("doctest", ["d"])], ["adversarial_test", "doctest"], None),
+        ({"required_state": {}, "forbidden_state": {"a": None}, "performance_threshold": 0, "trace_quality_rubric": None, "diff_constraints": [""], "retrieval_requirements": "r", "patch": "p", "test_patch": " "}, [], ["forbidden_state", "performance_threshold", "reference_patch", "retrieval_evidence"], None),
+        ({"verifier_types": ["Unit Test", "unit-test", "build_command"], "build_commands": ["m"], "language": " Go ", "coverage_tags": ["b", "w"]}, [("build_command", ["m"])], ["build_command", "unit_test"], ["b", "language:Go", "source_format:f", "task_family:x", "verifier:build_command", "verifier:unit_test", "w"]),
+    ]
+    rows = [(k, json.dumps(r)) for k, (r, *_) in enumerate(cases)] + [(99, None), (98, "no json")]
+    df = spark.createDataFrame(rows, "k int, raw string").select("k", F.try_parse_json("raw").alias("v")).withColumn("g", commands.command_groups(F.col("v"), F.lit("run {test}")))
+    df = df.withColumn("t", commands.verifier_types(F.col("v"), F.col("g"))).withColumn("tags", commands.coverage_tags(F.col("v"), F.lit("x"), F.lit("f"), F.lit(""), F.col("t"), F.array(F.lit("w"))))
+    got = {r["k"]: r for r in df.drop("v").collect()}
+    for k, (_, groups, types, tags) in enumerate(cases):
+        assert [(g["verifier_type"], g["commands"]) for g in got[k]["g"]] == groups and got[k]["t"] == types and (tags is None or got[k]["tags"] == tags), k
+    assert got[99]["g"] == got[98]["g"] == got[99]["t"] == []
+    assert [r[0] for r in df.where("k = 1").select(commands.all_commands(F.col("g"))).collect()] == [["make", "a", "3", "run t"]]

@@ -129,3 +129,25 @@ _quote = "CASE WHEN regexp_full_match(y, '[A-Za-z0-9_@%+=:,./-]+') THEN y ELSE '
 def hidden_test_commands(spark, sf):
     made = _sql(spark, sf, ["part"], _IDS.format(l="array", s="STRING")).select("p_partkey", C.test_commands(F.col("ids"), F.col("template")).alias("c"))
     return made.select("p_partkey", "c.fault", F.array_join("c.commands", " ; ").alias("commands"))
+
+
+#: Records of pages with commands of several kinds, some as lists, some as texts, some doubled or blank.
+VERIFIED = """SELECT page_id, '{"language":"go","coverage_tags":["b","a"]' || CASE CAST(page_id % 4 AS INTEGER) WHEN 0 THEN ',"hidden_tests":null,"test_commands":["run a"," run a ","run b"]' WHEN 1 THEN ',"eval_commands":"eval"' WHEN 2 THEN ',"hidden_tests":[],"test_commands":["never"]' ELSE '' END
+ || CASE CAST(page_id % 3 AS INTEGER) WHEN 0 THEN ',"FAIL_TO_PASS":["t::x[1]","t::x[2]"]' WHEN 1 THEN ',"test_ids":["-bad","ok"]' ELSE '' END || CASE WHEN page_id % 5 = 0 THEN ',"build_commands":["make",""]' WHEN page_id % 5 = 1 THEN ',"doctest_commands":"run a"' ELSE '' END
+ || CASE WHEN page_id % 7 = 0 THEN ',"required_state":{"a":1},"patch":"diff"' WHEN page_id % 7 = 1 THEN ',"required_state":{},"test_patch":" ","performance_threshold":0,"diff_constraints":["x"]' ELSE ',"trace_quality_rubric":null' END || CASE WHEN page_id % 11 = 0 THEN ',"verifier_types":["Unit Test","build-command"]' ELSE '' END || '}' AS raw FROM pages"""
+_hid = "list_concat(CASE CAST(page_id % 4 AS INTEGER) WHEN 0 THEN ['run a', 'run b'] WHEN 1 THEN ['eval'] ELSE [] END, CASE WHEN page_id % 3 = 0 THEN ['pytest t::x'] ELSE [] END)"
+_build, _doc = "CASE WHEN page_id % 5 = 0 THEN ['make'] ELSE [] END", "CASE WHEN page_id % 5 = 1 THEN ['run a'] ELSE [] END"
+
+
+@query(
+    f"""WITH g AS (SELECT page_id, {_build} AS b, {_doc} AS d, {_hid} AS h FROM pages), t AS (SELECT *, list_sort(list_distinct(list_filter([CASE WHEN len(b) > 0 OR page_id % 11 = 0 THEN 'build_command' END, CASE WHEN len(d) > 0 THEN 'doctest' END, CASE WHEN len(h) > 0 THEN 'hidden_command' END, CASE WHEN page_id % 7 = 0 THEN 'required_state' END, CASE WHEN page_id % 7 = 0 THEN 'reference_patch' END,
+ CASE WHEN page_id % 7 = 1 THEN 'performance_threshold' END, CASE WHEN page_id % 7 = 1 THEN 'diff_constraint' END, CASE WHEN page_id % 11 = 0 THEN 'unit_test' END], lambda x: x IS NOT NULL))) AS types, list_concat(b, list_concat(d, h)) AS cs FROM g)
+ SELECT page_id, array_to_string(list_filter(cs, lambda x, i: list_position(cs, x) = i), ';') AS commands, array_to_string(types, ',') AS verifier_types, array_to_string(list_sort(list_concat(['a', 'b', 'more', 'language:go', 'source_format:swe', 'task_family:repair'], list_concat(CASE WHEN page_id % 2 = 0 THEN ['repo:o/n'] ELSE [] END, list_transform(types, lambda x: 'verifier:' || x)))), ',') AS tags FROM t"""
+)
+def record_verifiers(spark, sf):
+    r = _sql(spark, sf, ["pages"], VERIFIED).select("page_id", F.try_parse_json("raw").alias("v"))
+    r = r.withColumn("groups", C.command_groups(F.col("v"), F.lit("pytest {test}")))
+    r = r.withColumn("types", C.verifier_types(F.col("v"), F.col("groups")))
+    repository = F.when(F.col("page_id") % 2 == 0, "o/n").otherwise("")
+    tags = C.coverage_tags(F.col("v"), F.lit("repair"), F.lit("swe"), repository, F.col("types"), F.array(F.lit("more"), F.lit("a")))
+    return r.select("page_id", F.array_join(C.all_commands(F.col("groups")), ";").alias("commands"), F.array_join("types", ",").alias("verifier_types"), F.array_join(tags, ",").alias("tags"))
