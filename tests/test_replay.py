@@ -239,3 +239,32 @@ def test_keys_of_long_and_escaped_texts(spark):
     df = spark.createDataFrame([(k, raw) for k, (raw, _) in enumerate(cases)], "k int, raw string")
     got = {r["k"]: r["h"] for r in df.select("k", ids.has_key(F.col("raw"), ["hidden_tests"]).alias("h")).collect()}
     assert got == {k: want for k, (_, want) in enumerate(cases)}
+
+
+def test_figures_of_conversations(spark):
+    from trajlake.operators import interactions
+
+    rng = random.Random(8)
+    rows = [(rng.choice("abc"), rng.choice([*interactions.ACTIONS, None]), rng.choice([None, "r1", "r2", "r3"]), *[rng.choice([True, False, None]) for _ in interactions.FLAGS]) for _ in range(90)] + [("quiet", None, None, *[None] * 6)]
+    goals = [(rng.choice("ab"), rng.choice("xyz"), rng.choice([True, False, None])) for _ in range(12)] + [("gone", "x", True)]
+    schema = "session_id string, action string, response string, " + ", ".join(f"{c} boolean" for c in interactions.FLAGS)
+    got = {r["session_id"]: r for r in interactions.interaction_metrics(spark.createDataFrame(rows, schema), spark.createDataFrame(goals, "session_id string, component string, satisfied boolean")).collect()}
+    assert got.keys() == {"a", "b", "c", "quiet"}
+    for s, r in got.items():
+        own = [x for x in rows if x[0] == s]
+        said = [x[2] for x in own if x[2] is not None]
+        parts = {g: any(x[2] for x in goals if x[0] == s and x[1] == g) for g in {x[1] for x in goals if x[0] == s}}
+        assert [r[c] for c in interactions.ACTIONS.values()] == [sum(x[1] == a for x in own) for a in interactions.ACTIONS]
+        assert [r[c] for c in interactions.FLAGS] == [sum(x[3 + k] is True for x in own) for k in range(6)]
+        assert (r["turns"], r["responses"], r["goal_components_total"], r["goal_components_satisfied"]) == (len(own), len(said), len(parts), sum(parts.values()))
+        assert r["diversity"] == (round(len(set(said)) / len(said), 6) if said else 0.0) and r["goal_alignment"] == (round(sum(parts.values()) / len(parts), 6) if parts else 1.0)
+        assert r["simulator_error_rate"] == round(sum(x[8] is True for x in own) / len(own), 6)
+
+
+def test_disclosed_facts(spark):
+    from trajlake.operators import interactions
+
+    rows = [(1, 0, "The KEY is x"), (1, 1, "key and door"), (1, 2, None), (1, 3, "key"), (2, 0, "door")]
+    df = spark.createDataFrame(rows, "conv_id int, turn int, text string")
+    assert {tuple(r) for r in interactions.disclosures(df, ["Key", "door", " "]).collect()} == {(1, 0, "key", True), (1, 1, "key", False), (1, 1, "door", True), (1, 3, "key", True), (2, 0, "door", True)}
+    assert interactions.disclosures(df, []).count() == 0

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from trajlake.functions.ids import has_key, stable_id
 from trajlake.operators import evaluation as E
+from trajlake.operators import interactions as I
 from trajlake.operators import selection as S
 from trajlake.plans import adapters as A
 from trajlake.plans import corpus_queries as CQ
@@ -108,13 +109,9 @@ def simulator_actions(spark, sf):
     return A.table(spark, sf, "conversations").where("role = 'user'").select("conv_id", "turn", E.simulated_action(F.col("text"), F.col("turn"), 6, ["elle"], ["the_of", "anda"], ["schö"]).alias("action"))
 
 
-@query("SELECT conv_id, turn, contains(lower(text), 'of the') AS mentions, contains(lower(text), 'of the') AND NOT contains(lower(prev), 'of the') AS unasked FROM (SELECT *, coalesce(lag(text) OVER (PARTITION BY conv_id ORDER BY turn), '') AS prev FROM conversations)")
+@query("SELECT conv_id, turn, name, NOT contains(lower(coalesce(prev, '')), name) AS unasked FROM (SELECT *, lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS prev FROM conversations) JOIN (VALUES ('of the'), ('and')) t(name) ON contains(lower(text), name)")
 def fact_disclosure(spark, sf):
-    from pyspark.sql import Window
-
-    before = F.coalesce(F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn")), F.lit(""))
-    said = F.lower("text").contains("of the")
-    return A.table(spark, sf, "conversations").withColumn("prev", before).select("conv_id", "turn", said.alias("mentions"), (said & ~F.lower("prev").contains("of the")).alias("unasked"))
+    return I.disclosures(A.table(spark, sf, "conversations"), ["Of the", "and", " "])
 
 
 @query(f"WITH {A.RECORDS}, x AS (SELECT position, unnest(list_filter([CASE WHEN NOT regexp_full_match(revision, '[0-9a-f]{{40}}') THEN 'revision.fixed' END, CASE WHEN NOT has_verifier THEN 'verifier.present' END, CASE WHEN length(title) = 0 THEN 'title.present' END], lambda v: v IS NOT NULL)) AS code FROM v_records) SELECT * FROM x")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from trajlake.operators import interactions as I
 from trajlake.operators import review as V
 from trajlake.operators import traces as T
 from trajlake.plans import adapters as A
@@ -188,11 +189,20 @@ def prompt_fingerprints(spark, sf):
     return T.prompt_prefixes(A.messages(spark, sf))
 
 
-@query(f"WITH {A.MESSAGES} SELECT session_id, count(*) AS turns, count(*) FILTER (role = 'assistant') AS responses, round(coalesce(count(DISTINCT content) FILTER (role = 'assistant') / CAST(nullif(count(*) FILTER (role = 'assistant'), 0) AS DOUBLE), 0.0), 6) AS diversity FROM v_msgs GROUP BY 1")
+_action = "CASE CAST(turn % 6 AS INTEGER) WHEN 0 THEN 'clarify' WHEN 1 THEN 'correct' WHEN 2 THEN 'refuse' WHEN 3 THEN 'confirm' ELSE NULL END"
+_flags = {"contradictions": "turn % 5 = 4", "early_stops": "turn % 7 = 6", "disclosure_violations": "conv_id % 5 = 0 AND turn % 2 = 0", "unavailable_fact_requests": "conv_id % 7 = 0", "unavailable_fact_leaks": "conv_id % 7 = 0 AND turn % 3 = 0", "critical_simulator_errors": "conv_id % 11 = 0 AND turn % 4 = 1"}
+TURNS = f"SELECT conv_id AS session_id, {_action} AS action, CASE WHEN role = 'assistant' THEN text END AS response, " + ", ".join(f"{c} AS {n}" for n, c in _flags.items()) + " FROM conversations"
+GOALS = "SELECT conv_id AS session_id, g AS component, contains(lower(text), g) AS satisfied FROM conversations JOIN (VALUES ('the'), ('of the'), ('zzz')) t(g) ON conv_id % 3 <> 0"
+
+
+@query(
+    f"""WITH t AS ({TURNS}), g AS (SELECT session_id, count(*) AS n, count(*) FILTER (ok) AS d FROM (SELECT session_id, component, bool_or(coalesce(satisfied, false)) AS ok FROM ({GOALS}) GROUP BY 1, 2) GROUP BY 1),
+ m AS (SELECT session_id, count(*) AS turns, {", ".join(f"count(*) FILTER (action = '{a}') AS {c}" for a, c in I.ACTIONS.items())}, {", ".join(f"count(*) FILTER ({c}) AS {c}" for c in I.FLAGS)}, count(response) AS responses, count(DISTINCT response) AS k FROM t GROUP BY 1)
+ SELECT m.* EXCLUDE (k), coalesce(n, 0) AS goal_components_total, coalesce(d, 0) AS goal_components_satisfied, round(coalesce(k / CAST(nullif(responses, 0) AS DOUBLE), 0.0), 6) AS diversity, round(coalesce(d / CAST(nullif(n, 0) AS DOUBLE), 1.0), 6) AS goal_alignment, round(critical_simulator_errors / CAST(turns AS DOUBLE), 6) AS simulator_error_rate FROM m LEFT JOIN g USING (session_id)"""
+)
 def interaction_metrics(spark, sf):
-    said = F.when(F.col("role") == "assistant", F.col("content"))
-    n = F.count(F.when(F.col("role") == "assistant", 1))
-    return A.messages(spark, sf).groupBy("session_id").agg(F.count("*").alias("turns"), n.alias("responses"), F.round(F.coalesce(F.try_divide(F.countDistinct(said), n), F.lit(0.0)), 6).alias("diversity"))
+    A.table(spark, sf, "conversations").createOrReplaceTempView("conversations")
+    return I.interaction_metrics(spark.sql(TURNS), spark.sql(GOALS))
 
 
 @query(f"WITH {A.MESSAGES} SELECT session_id, sequence, octet_length(encode(content)) + 1024 AS prompt_bound FROM v_msgs")
