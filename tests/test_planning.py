@@ -212,3 +212,24 @@ def test_findings_counts_and_empty_runs(spark):
     assert {tuple(r) for r in release.count_maps(judged, tools).collect()} == {("termination", "success", 2), ("termination", "missing", 2), ("reward", "1", 2), ("reward", "0", 1), ("reward", None, 1), ("tool", "x", 2), ("tool", "unknown", 1)}
     empty = release.gates(_report(spark, **{k: [] for k in FINE})[2], TARGETS).where(F.col("passed")).collect()
     assert {r["position"] + 1 for r in empty} == {2, 3, 4, 5, 10, 11, 12, 13, 14, 15}
+
+
+def test_states_of_evidence_shards(spark):
+    """Each state of a shard, from what stands in its artifacts."""
+    full = {"records": ("present", None, None, None), "apply": ("present", True, 0, None), "spec": ("present", None, None, 1)}
+    cases = {
+        "a": ({}, "pending", "collect_evidence", 2), "b": ({"template": ("present", None, None, None)}, "pending", "fill_evidence_template", 2), "c": ({"template": ("invalid", None, None, None)}, "blocked", "fix_evidence_template", 2),
+        "d": ({"records": ("invalid", None, None, None)}, "blocked", "fix_evidence_records", 2), "e": ({"records": full["records"]}, "ready_to_apply", "apply_evidence", 2), "f": ({**full, "apply": ("invalid", None, None, None)}, "blocked", "inspect_apply_output", 0),
+        "g": ({**full, "apply": ("present", None, 0, None)}, "blocked", "resolve_apply_errors", 0), "h": (full, "partial", "collect_remaining_evidence", 1), "i": ({k: full[k] for k in ("records", "apply")}, "ready_to_finalize", "write_spec_output", 0),
+        "j": ({**full, "spec": ("present", None, None, 0)}, "blocked", "fix_spec_output", 0), "k": ({**full, "spec": ("invalid", None, None, 3)}, "blocked", "fix_spec_output", 0), "l": (full, "complete", "none", 0), "m": ({**full, "apply": ("present", True, 4, None)}, "partial", "collect_remaining_evidence", 4),
+    }
+    shards = spark.createDataFrame([(s, 2) for s in cases], "shard_id string, selected_tasks long")
+    artifacts = spark.createDataFrame([(s, kind, *row) for s, (kinds, *_) in cases.items() for kind, row in kinds.items()], "shard_id string, kind string, state string, valid boolean, remaining long, repositories long")
+    tasks = [(s, t) for s in cases if s != "m" for t in ("x", "y")]
+    applied = [(s, t) for s, t in tasks if (s, t) != ("h", "y")] + [("l", "z")]
+    records = [("l", "x"), ("l", "x"), ("l", "q"), ("l", ""), ("l", None), ("a", "x")]
+    ids = [spark.createDataFrame(x, "shard_id string, evidence_task_id string") for x in (tasks, records, applied)]
+    got = {r["shard_id"]: r for r in planning.evidence_shard_states(shards, artifacts, *ids).collect()}
+    assert {s: (r["status"], r["next_action"], r["remaining"]) for s, r in got.items()} == {s: tuple(want) for s, (_, *want) in cases.items()}
+    assert [got["l"][c] for c in ("records", "matching", "absent", "extra")] == [5, 1, 1, 1] and [got["a"][c] for c in ("records", "matching", "absent", "extra")] == [0, 0, 2, 0]
+    assert planning.evidence_shard_states(shards.limit(0), artifacts, *ids).count() == 0

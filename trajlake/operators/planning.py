@@ -220,3 +220,60 @@ def first_of_shards(tasks: DataFrame, size: int) -> DataFrame:
     placed = numbered(tasks.select("evidence_task_id").distinct(), "evidence_task_id")
     shard = F.concat(F.lit("shard_"), F.lpad(F.floor((F.col("rn") - 1) / size).cast("string"), 6, "0"))
     return placed.groupBy(shard.alias("shard_id")).agg(F.array_sort(F.collect_list("evidence_task_id")).alias("evidence_task_ids"))
+
+
+def evidence_shard_states(shards: DataFrame, artifacts: DataFrame, tasks: DataFrame, records: DataFrame, applied: DataFrame) -> DataFrame:
+    """State and next action of each shard of missing evidence: shard_id, status, next_action, records, matching, absent, extra and remaining.
+
+    shards: shard_id, selected_tasks; artifacts: shard_id, kind (template, records, apply, spec), state (present, missing or invalid) and, of an apply,
+    valid and remaining, of a spec, repositories; a kind without a row is missing. tasks, records, applied: shard_id and evidence_task_id of
+    what a shard selected, of its records and of those applied. Each side is brought to a number a shard where it lies; ids meet in one
+    aggregation by shard and id. Cases: repeated ids count once, but every record counts as one; blank ids belong to no task; a
+    shard without tasks takes what the apply says that remains.
+    """
+    sides = [(tasks, "t"), (records, "r"), (applied, "a")]
+    stacked = None
+    for df, side in sides:
+        one = df.select("shard_id", F.coalesce("evidence_task_id", F.lit("")).alias("id"), F.lit(side).alias("side"))
+        stacked = one if stacked is None else stacked.unionByName(one)
+
+    def has(side: str) -> Column:
+        return F.count(F.when(F.col("side") == side, 1)) > 0
+
+    ids = stacked.groupBy("shard_id", "id").agg(has("t").alias("t"), has("r").alias("r"), has("a").alias("a"), F.count(F.when(F.col("side") == "r", 1)).alias("n"))
+    named = F.col("id") != ""
+
+    def n(when: Column) -> Column:
+        return F.count(F.when(named & when, 1))
+
+    t, r, a = F.col("t"), F.col("r"), F.col("a")
+    by = ids.groupBy("shard_id").agg(F.sum("n").alias("records"), n(t).alias("tasks"), n(t & r).alias("matching"), n(t & ~r).alias("absent"), n(r & ~t).alias("extra"), n(t & ~a).alias("left"))
+
+    def of(kind: str, c: str) -> Column:
+        return F.max(F.when(F.col("kind") == kind, F.col(c)))
+
+    files = artifacts.groupBy("shard_id").agg(*[of(k, "state").alias(k) for k in ("template", "records", "apply", "spec")], of("apply", "valid").alias("valid"), of("apply", "remaining").alias("said"), of("spec", "repositories").alias("repositories"))
+    files = files.withColumnRenamed("records", "file")
+    met = shards.select("shard_id", F.coalesce("selected_tasks", F.lit(0)).alias("selected")).join(files, "shard_id", "left").join(by, "shard_id", "left")
+    met = met.withColumns({**{k: F.coalesce(k, F.lit("missing")) for k in ("template", "file", "apply", "spec")}, **{k: F.coalesce(k, F.lit(0)) for k in ("records", "tasks", "matching", "absent", "extra", "left", "said", "repositories")}, "valid": F.coalesce("valid", F.lit(False))})
+    over = F.when(F.col("tasks") > 0, F.col("left")).otherwise(F.col("said"))
+    state = (
+        F.when((F.col("file") == "missing") & (F.col("template") == "invalid"), "blocked:fix_evidence_template")
+        .when((F.col("file") == "missing") & (F.col("template") == "present"), "pending:fill_evidence_template")
+        .when(F.col("file") == "missing", "pending:collect_evidence")
+        .when(F.col("file") == "invalid", "blocked:fix_evidence_records")
+        .when(F.col("apply") == "missing", "ready_to_apply:apply_evidence")
+        .when(F.col("apply") == "invalid", "blocked:inspect_apply_output")
+        .when(~F.col("valid"), "blocked:resolve_apply_errors")
+        .when(over > 0, "partial:collect_remaining_evidence")
+        .when(F.col("spec") == "missing", "ready_to_finalize:write_spec_output")
+        .when((F.col("spec") == "invalid") | (F.col("repositories") <= 0), "blocked:fix_spec_output")
+        .otherwise("complete:none")
+    )
+    read = F.col("file") == "present"
+    applied_at_all = read & ~F.col("apply").isin("missing", "invalid")
+    left = F.when(~read | (F.col("apply") == "missing"), F.col("selected")).when(F.col("apply") == "invalid", 0).otherwise(over)
+    shown = {c: F.when(read, F.col(c)).otherwise(F.lit(0)).cast("long") for c in ("records", "matching", "extra")}
+    return met.withColumn("_state", state).select(
+        "shard_id", F.substring_index("_state", ":", 1).alias("status"), F.substring_index("_state", ":", -1).alias("next_action"), *[c.alias(k) for k, c in shown.items()], F.when(read, F.col("absent")).otherwise(F.col("tasks")).cast("long").alias("absent"), F.when(applied_at_all, over).otherwise(left).cast("long").alias("remaining")
+    )

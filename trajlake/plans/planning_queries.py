@@ -123,3 +123,29 @@ def evidence_templates(spark, sf):
     missing = P.missing_evidence(_specs(spark, sf))
     odd = A.table(spark, sf, "region").where("r_regionkey = 0").select(F.lit("odd").alias("shard_id"), F.array(F.lit("evidence_none"), F.lit("")).alias("evidence_task_ids"))
     return P.evidence_templates(missing, P.first_of_shards(missing, 40).unionByName(odd))
+
+
+SHARDS = "SELECT c_custkey AS shard_id, CAST(5 AS BIGINT) AS selected_tasks FROM customer"
+_state = "CASE CAST(c_custkey % {m} AS INTEGER) WHEN 0 THEN 'missing' WHEN 1 THEN 'invalid' ELSE 'present' END"
+ARTIFACTS = " UNION ALL ".join(
+    f"SELECT c_custkey AS shard_id, '{k}' AS kind, {_state.format(m=m)} AS state, {'c_custkey % 4 <> 1' if k == 'apply' else 'CAST(NULL AS BOOLEAN)'} AS valid, {'CAST(c_custkey % 2 AS BIGINT)' if k == 'apply' else 'CAST(NULL AS BIGINT)'} AS remaining, {'CAST(c_custkey % 3 AS BIGINT)' if k == 'spec' else 'CAST(NULL AS BIGINT)'} AS repositories FROM customer WHERE c_custkey % {w} <> 0"
+    for k, m, w in (("template", 5, 13), ("records", 7, 17), ("apply", 9, 19), ("spec", 6, 23))
+)
+SELECTED = "SELECT c_custkey AS shard_id, 'e' || CAST(k AS {s}) AS evidence_task_id FROM customer JOIN (VALUES (1), (2), (3)) t(k) ON c_custkey % 10 <> 0"
+GIVEN = "SELECT c_custkey AS shard_id, CASE WHEN k = 5 THEN '' ELSE 'e' || CAST(k AS {s}) END AS evidence_task_id FROM customer JOIN (VALUES (2), (3), (3), (4), (5)) t(k) ON k > c_custkey % 4"
+APPLIED = "SELECT c_custkey AS shard_id, 'e' || CAST(k AS {s}) AS evidence_task_id FROM customer JOIN (VALUES (1), (2), (3), (9)) t(k) ON c_custkey % 3 <> 0 OR k <> 2"
+
+
+@query(
+    f"""WITH f AS (SELECT c_custkey AS shard_id, {", ".join(f"CASE WHEN c_custkey % {w} = 0 THEN 'missing' ELSE {_state.format(m=m)} END AS {k}" for k, m, w in (("template", 5, 13), ("file", 7, 17), ("apply", 9, 19), ("spec", 6, 23)))}, c_custkey % 4 <> 1 AND c_custkey % 19 <> 0 AS valid, CASE WHEN c_custkey % 19 = 0 THEN 0 ELSE c_custkey % 2 END AS said, CASE WHEN c_custkey % 23 = 0 THEN 0 ELSE c_custkey % 3 END AS repositories FROM customer),
+ t AS ({SELECTED.format(s='VARCHAR')}), r AS ({GIVEN.format(s='VARCHAR')}), a AS ({APPLIED.format(s='VARCHAR')}),
+ c AS (SELECT *, (SELECT count(*) FROM r WHERE r.shard_id = f.shard_id) AS n, (SELECT count(*) FROM t WHERE t.shard_id = f.shard_id) AS k, (SELECT count(*) FROM t WHERE t.shard_id = f.shard_id AND evidence_task_id IN (SELECT evidence_task_id FROM r WHERE r.shard_id = f.shard_id)) AS m,
+  (SELECT count(DISTINCT evidence_task_id) FROM r WHERE r.shard_id = f.shard_id AND evidence_task_id <> '' AND evidence_task_id NOT IN (SELECT evidence_task_id FROM t WHERE t.shard_id = f.shard_id)) AS x, (SELECT count(*) FROM t WHERE t.shard_id = f.shard_id AND evidence_task_id NOT IN (SELECT evidence_task_id FROM a WHERE a.shard_id = f.shard_id)) AS l FROM f),
+ o AS (SELECT *, CASE WHEN k > 0 THEN l ELSE said END AS over FROM c),
+ s AS (SELECT *, CASE WHEN file = 'missing' THEN CASE template WHEN 'invalid' THEN 'blocked:fix_evidence_template' WHEN 'present' THEN 'pending:fill_evidence_template' ELSE 'pending:collect_evidence' END WHEN file = 'invalid' THEN 'blocked:fix_evidence_records' WHEN apply = 'missing' THEN 'ready_to_apply:apply_evidence' WHEN apply = 'invalid' THEN 'blocked:inspect_apply_output'
+  WHEN NOT valid THEN 'blocked:resolve_apply_errors' WHEN over > 0 THEN 'partial:collect_remaining_evidence' WHEN spec = 'missing' THEN 'ready_to_finalize:write_spec_output' WHEN spec = 'invalid' OR repositories = 0 THEN 'blocked:fix_spec_output' ELSE 'complete:none' END AS state FROM o)
+ SELECT shard_id, split_part(state, ':', 1) AS status, split_part(state, ':', 2) AS next_action, CASE WHEN file = 'present' THEN n ELSE 0 END AS records, CASE WHEN file = 'present' THEN m ELSE 0 END AS matching, CASE WHEN file = 'present' THEN x ELSE 0 END AS extra, CASE WHEN file = 'present' THEN k - m ELSE k END AS absent,
+ CAST(CASE WHEN file <> 'present' OR apply = 'missing' THEN 5 WHEN apply = 'invalid' THEN 0 ELSE over END AS BIGINT) AS remaining FROM s"""
+)
+def evidence_shard_states(spark, sf):
+    return P.evidence_shard_states(*[_sql(spark, sf, ["customer"], t.format(s="STRING")) for t in (SHARDS, ARTIFACTS, SELECTED, GIVEN, APPLIED)])
