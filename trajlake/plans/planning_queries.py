@@ -16,7 +16,7 @@ _page = f"t AS (SELECT *, row_number() OVER (ORDER BY position) - 1 AS i FROM ({
 
 
 @query(
-    f"""WITH {_page} SELECT 'source_collection_plan_invalid' AS code, CAST(NULL AS BIGINT) AS task_index, CAST(NULL AS VARCHAR) AS repository, CAST(NULL AS VARCHAR) AS file UNION ALL SELECT 'missing_token', NULL, NULL, NULL
+    f"""WITH {_page} SELECT 'source_collection_plan_invalid' AS code, CAST(NULL AS BIGINT) AS task_index, CAST(NULL AS VARCHAR) AS repository, CAST(NULL AS VARCHAR) AS file UNION ALL SELECT 'missing_token', NULL, NULL, NULL UNION ALL SELECT 'no_selected_collection_tasks', NULL, NULL, NULL WHERE NOT EXISTS (SELECT * FROM pg)
  UNION ALL SELECT 'unsupported_collection_task', i, trim(repository), NULL FROM pg WHERE k NOT IN ('issues', 'pull_requests', 'ci') UNION ALL SELECT * FROM (SELECT CASE WHEN role = 'source' AND NOT present THEN 'missing_source_records' WHEN role = 'source' AND NOT readable THEN 'source_records_invalid'
  WHEN role = 'summary' AND NOT present THEN 'missing_collection_summary' WHEN role = 'summary' AND NOT readable THEN 'collection_summary_invalid' END AS c, NULL, NULL, path FROM ({FILES})) WHERE c IS NOT NULL"""
 )
@@ -25,7 +25,7 @@ def preflight_issues(spark, sf):
     return P.preflight_issues(plan, tasks, files, offset=10, most=50, token_required=True, source_required=True)
 
 
-@query(f"WITH {_page} SELECT count(*) AS selected_tasks, count(*) FILTER (k IN ('issues', 'pull_requests', 'ci')) AS supported_tasks, CAST(1 + count(*) FILTER (k NOT IN ('issues', 'pull_requests', 'ci')) AS BIGINT) AS issues, false AS ready FROM pg")
+@query(f"WITH {_page} SELECT count(*) AS selected_tasks, count(*) FILTER (k IN ('issues', 'pull_requests', 'ci')) AS supported_tasks, CAST(1 + CASE WHEN count(*) = 0 THEN 1 ELSE 0 END + count(*) FILTER (k NOT IN ('issues', 'pull_requests', 'ci')) AS BIGINT) AS issues, false AS ready FROM pg")
 def preflight_summary(spark, sf):
     plan, tasks, files = (_sql(spark, sf, ["supplier", "nation"], t) for t in (PLAN, TASKS, FILES))
     return P.preflight_summary(tasks, P.preflight_issues(plan, tasks, files.limit(0), offset=10, most=50), offset=10, most=50)
