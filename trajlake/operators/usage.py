@@ -122,7 +122,7 @@ def priced(calls: DataFrame, raw: str, uncached: str, cached: str, output: str)
     return v.withColumns(shown).drop("_u", "_hit", "_miss", "_detail", "_in", "_out", "_all", "_kept")
 
 
-def _leaves(raw: Column, depth: int) -> Column:
+def _json_leaves(raw: Column, depth: int) -> Column:
     """Fields of a JSON object at any depth as an array of path and value; objects below ``depth`` stay whole."""
 
     def entries(v: Column) -> Column:
@@ -144,7 +144,7 @@ def nested_usage(calls: DataFrame, key: str, raw: str, depth: int = 6) -> tuple[
     but a whole number, also an object nested deeper, or an empty one) and shape_conflict (a path that is a number in one record and an object in
     another of the same key); such values are in no total. Records are taken apart where they lie; only sums by path are shuffled.
     """
-    rows = calls.select(F.col(key).alias("key"), _leaves(F.col(raw), depth).alias("l"))
+    rows = calls.select(F.col(key).alias("key"), _json_leaves(F.col(raw), depth).alias("l"))
     none = rows.where(F.coalesce(F.size("l"), F.lit(0)) <= 0).groupBy("key").agg(F.count("*").alias("n")).select("key", F.lit("").alias("path"), F.lit("empty").alias("code"), "n")
     each = rows.select("key", F.explode("l").alias("x")).select("key", "x.path", F.coalesce(F.schema_of_variant("x.v"), F.lit("")).alias("kind"), F.try_variant_get("x.v", "$", "bigint").alias("value"))
     good = (F.col("kind") == "BIGINT") & (F.col("value") >= 0)
