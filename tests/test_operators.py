@@ -300,3 +300,22 @@ def test_review_seal_names_every_change(spark):
     assert {tuple(r) for r in review.seal_violations(queue, seal.limit(0), scored, 6).collect()} == {(None, "items"), (None, "queue_sha256")}
     none = queue.limit(0)
     assert review.seal(none).collect() == [] and review.seal_violations(none, review.seal(none), scored.limit(0), 6).collect() == []
+
+
+def test_semantic_duplicates_of_long_sets_with_any_known_frequencies(spark):
+    """Sets of up to 400 tokens, of which several shared ones are asked for; one order of tokens is as good as another."""
+    rng = random.Random(11)
+    words = ["w" + "".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(3000)]
+    sets = [set(rng.sample(words, rng.choice([1, 3, 40, 63, 64, 130, 400]))) for _ in range(60)]
+    for k in range(60):  # near ones on both sides of the limit
+        odd = rng.randint(0, max(1, len(sets[k]) // 4))
+        sets.append(set(sorted(sets[k])[odd:]) | set(rng.sample(words, rng.randint(0, odd // 2 + 1))))
+    rows = [(f"s{k:04d}", " ".join(s)) for k, s in enumerate(sets) if s]
+    first = {}
+    for name, text in rows:
+        first.setdefault(frozenset(text.split()), name)
+    want = {(a, b): round(len(x & y) / len(x | y), 6) for x, a in first.items() for y, b in first.items() if a < b and 10 * len(x & y) >= 8 * len(x | y)}
+    df = spark.createDataFrame(rows, "seed_id string, query string").repartition(3)
+    for known in (corpus.KNOWN, 50, 0):
+        assert {(r["left_id"], r["right_id"]): r["jaccard"] for r in corpus.semantic_duplicates(df, known=known).collect()} == want
+    assert 20 < len(want) < 60
