@@ -90,3 +90,13 @@ def test_nested_usage_equals_a_plain_sum(spark):
     assert {(r["key"], r["path"], r["code"]): r["n"] for r in faults.collect()} == {**bad, **{(*k, "shape_conflict"): seen[k] for k in clash}} and clash
     empty = usage.nested_usage(spark.createDataFrame([], "k int, raw string"), "k", "raw")
     assert empty[0].count() == empty[1].count() == 0
+
+
+def test_nested_usage_takes_records_apart_once(spark):
+    rows = [(1, '{"a":{"b":1,"c":{"d":-2}}}'), (1, '{"a":5,"":3}'), (1, '{".z":1}'), (2, "null"), (2, '{"a.b":4,"a":{"b":true}}')]
+    totals, faults = usage.nested_usage(spark.createDataFrame(rows, "k int, raw string"), "k", "raw")
+    for df in (totals, faults):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 1
+    assert {tuple(r) for r in totals.collect()} == {(1, "a.b", 1), (1, ".z", 1), (2, "a.b", 4)}
+    assert {tuple(r) for r in faults.collect()} == {(1, "a.c.d", "negative", 1), (1, "a", "shape_conflict", 1), (1, "", "shape_conflict", 1), (2, "", "empty", 1), (2, "a.b", "not_a_count", 1)}

@@ -122,19 +122,27 @@ def priced(calls: DataFrame, raw: str, uncached: str, cached: str, output: str)
     return v.withColumns(shown).drop("_u", "_hit", "_miss", "_detail", "_in", "_out", "_all", "_kept")
 
 
-def _json_leaves(raw: Column, depth: int) -> Column:
-    """Fields of a JSON object at any depth as an array of path and value; objects below ``depth`` stay whole."""
+def _json_leaves(calls: DataFrame, raw: str, depth: int) -> DataFrame:
+    """The rows with ``l``: fields of the JSON object in ``raw`` at any depth as an array of path, kind and value; objects below ``depth`` stay whole.
 
-    def entries(v: Column) -> Column:
-        return F.map_entries(F.try_variant_get(v, "$", "map<string, variant>"))
+    A record without nested objects is done after the first level; each level is a column of its own, so nothing is worked out twice.
+    """
+
+    def entries(v: Column, above: Column | None = None) -> Column:
+        def one(e: Column) -> Column:
+            path = e["key"] if above is None else F.concat(above, F.lit("."), e["key"])
+            return F.struct(path.alias("path"), F.coalesce(F.schema_of_variant(e["value"]), F.lit("")).alias("kind"), e["value"].alias("v"))
+
+        return F.transform(F.map_entries(F.try_variant_get(v, "$", "map<string, variant>")), one)
 
-    def nested(v: Column) -> Column:
-        return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False)) & (F.coalesce(F.size(F.try_variant_get(v, "$", "map<string, variant>")), F.lit(0)) > 0)
+    def nested(x: Column) -> Column:
+        return x["kind"].startswith("OBJECT<") & (x["kind"] != "OBJECT<>")
 
-    out = F.transform(entries(F.try_parse_json(raw)), lambda e: F.struct(e["key"].alias("path"), e["value"].alias("v")))
+    out = calls.withColumn("_u", F.try_parse_json(raw)).withColumn("l", entries(F.col("_u")))
     for _ in range(depth - 1):
-        out = F.flatten(F.transform(out, lambda x: F.when(nested(x["v"]), F.transform(entries(x["v"]), lambda e: F.struct(F.concat(x["path"], F.lit("."), e["key"]).alias("path"), e["value"].alias("v")))).otherwise(F.array(x))))
-    return out
+        deeper = F.flatten(F.transform("l", lambda x: F.when(nested(x), entries(x["v"], x["path"])).otherwise(F.array(x))))
+        out = out.withColumn("l", F.when(F.exists("l", nested), deeper).otherwise(F.col("l")))
+    return out.drop("_u")
 
 
 def nested_usage(calls: DataFrame, key: str, raw: str, depth: int = 6) -> tuple[DataFrame, DataFrame]:
@@ -142,18 +150,29 @@ def nested_usage(calls: DataFrame, key: str, raw: str, depth: int = 6) -> tuple[
 
     ``raw`` names a column of JSON objects of whole numbers, nested up to ``depth``. Codes: empty (null, no object, or one without fields), negative, not_a_count (anything
     but a whole number, also an object nested deeper, or an empty one) and shape_conflict (a path that is a number in one record and an object in
-    another of the same key); such values are in no total. Records are taken apart where they lie; only sums by path are shuffled.
+    another of the same key); such values are in no total. Records are taken apart once, where they lie; one row a path, with the counts of
+    all codes, is shuffled, and beside it one for each object that a path lies in.
     """
-    rows = calls.select(F.col(key).alias("key"), _json_leaves(F.col(raw), depth).alias("l"))
-    none = rows.where(F.coalesce(F.size("l"), F.lit(0)) <= 0).groupBy("key").agg(F.count("*").alias("n")).select("key", F.lit("").alias("path"), F.lit("empty").alias("code"), "n")
-    each = rows.select("key", F.explode("l").alias("x")).select("key", "x.path", F.coalesce(F.schema_of_variant("x.v"), F.lit("")).alias("kind"), F.try_variant_get("x.v", "$", "bigint").alias("value"))
-    good = (F.col("kind") == "BIGINT") & (F.col("value") >= 0)
-    code = F.when(F.col("kind") != "BIGINT", "not_a_count").when(F.col("value") < 0, "negative")
-    sums = each.groupBy("key", "path").agg(F.sum(F.when(good, F.col("value").cast("decimal(38,0)"))).alias("total"), F.count(F.when(good, 1)).alias("good"), F.count("*").alias("n"))
+    rows = _json_leaves(calls.select(F.col(key).alias("key"), F.col(raw).alias("_raw")), "_raw", depth).select("key", "l")
+    each = rows.select("key", F.explode_outer("l").alias("x")).select("key", F.col("x").isNull().alias("none"), F.coalesce("x.path", F.lit("")).alias("path"), F.col("x.kind").alias("kind"), F.try_variant_get("x.v", "$", "bigint").alias("value"))
+    count = F.coalesce(F.col("kind") == "BIGINT", F.lit(False))
+    good = count & (F.col("value") >= 0)
+
+    def n(when: Column) -> Column:
+        return F.count(F.when(when, 1))
+
+    sums = each.groupBy("key", "path").agg(
+        F.sum(F.when(good, F.col("value").cast("decimal(38,0)"))).alias("total"), n(good).alias("good"), n(F.col("none")).alias("empty"), n(count & (F.col("value") < 0)).alias("negative"), n(~F.col("none") & ~count).alias("not_a_count")
+    )
     parts = F.split("path", "\\.")
-    above = sums.where(F.size(parts) > 1).select("key", F.explode(F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda k: F.array_join(F.slice(parts, 1, k), "."))).alias("path")).distinct().withColumn("inner", F.lit(True))
-    met = sums.join(above, ["key", "path"], "left")
-    clash = F.coalesce("inner", F.lit(False))
-    totals_ = met.where(~clash & (F.col("good") > 0)).select("key", "path", F.col("total").cast("long").alias("total"))
-    faults = each.where(code.isNotNull()).groupBy("key", "path", code.alias("code")).agg(F.count("*").alias("n"))
-    return totals_, faults.unionByName(none).unionByName(met.where(clash).select("key", "path", F.lit("shape_conflict").alias("code"), "n"))
+    above = F.transform(F.slice(F.sequence(F.lit(0), F.size(parts) - 1), 2, F.size(parts)), lambda k: F.array_join(F.slice(parts, F.lit(1), k), "."))
+    own = F.struct(F.col("path"), F.lit(False).alias("inner"), "total", "good", "empty", "negative", "not_a_count")
+    blank = [F.lit(None).cast("decimal(38,0)").alias("total"), *[F.lit(0).cast("long").alias(c) for c in ("good", "empty", "negative", "not_a_count")]]
+    placed = F.when(F.instr("path", ".") == 0, F.array(own)).otherwise(F.concat(F.array(own), F.transform(above, lambda p: F.struct(p.alias("path"), F.lit(True).alias("inner"), *blank))))
+    flat = sums.select("key", F.explode(placed).alias("x")).select("key", "x.*")
+    met = flat.groupBy("key", "path").agg(F.max("inner").alias("inner"), F.sum("total").alias("total"), *[F.sum(c).alias(c) for c in ("good", "empty", "negative", "not_a_count")])
+    leaf = F.col("good") + F.col("negative") + F.col("not_a_count")
+    totals_ = met.where(~F.col("inner") & (F.col("good") > 0)).select("key", "path", F.col("total").cast("long").alias("total"))
+    codes = {"empty": F.col("empty"), "negative": F.col("negative"), "not_a_count": F.col("not_a_count"), "shape_conflict": F.when(F.col("inner"), leaf).otherwise(0)}
+    faults = met.select("key", "path", F.explode(F.array(*[F.struct(F.lit(c).alias("code"), m.alias("n")) for c, m in codes.items()])).alias("x")).select("key", "path", "x.code", "x.n").where("n > 0")
+    return totals_, faults
