@@ -143,3 +143,16 @@ def test_event_ids_do_not_depend_on_spelling(spark):
     assert events.violations(df).collect() == []
     wrong = spark.createDataFrame([("s", 1, "user_message", spelled[0], 2, own("t", "user_message", value)), (None, 1, "user_message", spelled[0], 2, "event_1")], df.schema)
     assert [r["code"] for r in events.violations(wrong).collect()] == ["event_id", "event_id"]
+
+
+def test_calls_are_dealt_once_and_null_jobs_match_nothing(spark):
+    calls = spark.createDataFrame([(None, 0), ("a", 5)], "job_id string, position int")
+    missing = {c.split()[0]: c.split()[1] for c in CALL.split(", ") if c.split()[0] not in ("job_id", "position")}
+    calls = calls.select("*", *[F.lit(None).cast(t).alias(c) for c, t in missing.items()])
+    said = spark.createDataFrame([(None, 1), ("a", 7), ("a", 8)], "job_id string, sequence int")
+    missing = {c.split()[0]: c.split()[1] for c in SAID.split(", ") if c.split()[0] not in ("job_id", "sequence")}
+    said = said.select("*", *[F.lit(None).cast(t).alias(c) for c, t in missing.items()])
+    found = artifacts.call_violations(calls, said, CONTRACT)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    alone = {(r["job_id"], r["place"], r["code"]) for r in found.collect() if r["code"].endswith(("_call", "_response"))}
+    assert alone == {(None, 0, "call_without_response"), (None, 0, "response_without_call"), ("a", 1, "response_without_call")}

@@ -37,14 +37,25 @@ def call_budgets(calls: DataFrame, responses: DataFrame, contract: Contract) ->
 
     calls: job_id, position (distinct in a job) and the call's fields; responses: job_id, sequence (distinct in a job),
     trace_model and its usage (trace_input, trace_output, trace_total). ``spent`` is what earlier responses
-    used, ``allowed`` the max_tokens that the call should have asked for. Jobs are dealt by id; a job's rows stream
-    through one ordered window, so its size costs no memory.
+    used, ``allowed`` the max_tokens that the call should have asked for. Both sides are stacked and dealt once by job; a
+    job's rows stream through ordered windows, in which a call stands before the response of its place, so its size
+    costs no memory. Null job ids match nothing.
     """
-    asked = calls.withColumn("_n", F.row_number().over(Window.partitionBy("job_id").orderBy("position")))
-    said = responses.withColumn("_n", F.row_number().over(Window.partitionBy("job_id").orderBy("sequence")))
-    met = asked.withColumn("_asked", F.lit(True)).join(said.withColumn("_said", F.lit(True)), ["job_id", "_n"], "full")
-    earlier = Window.partitionBy("job_id").orderBy("_n").rowsBetween(Window.unboundedPreceding, -1)
-    met = met.withColumn("spent", F.coalesce(F.sum("trace_total").over(earlier), F.lit(0)))
+    said = [c for c in responses.columns if c not in ("job_id", "sequence")]
+    both = calls.withColumn("_asked", F.lit(True)).unionByName(responses.withColumn("_said", F.lit(True)), allowMissingColumns=True).repartition("job_id")
+    both = both.withColumn("_n", F.row_number().over(Window.partitionBy("job_id", "_said").orderBy("position", "sequence")))
+    job = Window.partitionBy("job_id").orderBy("_n", F.col("_said").asc_nulls_first())
+    met = both.withColumns(
+        {
+            "_next": F.lead(F.struct("_n", "_said", "sequence", *said)).over(job),
+            "_paired": F.lag(F.when(F.col("_asked"), F.col("_n"))).over(job) == F.col("_n"),
+            "spent": F.coalesce(F.sum("trace_total").over(job.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        }
+    )
+    known = F.col("job_id").isNotNull()
+    met = met.where(F.col("_asked") | ~known | ~F.coalesce("_paired", F.lit(False)))
+    answer = F.col("_asked") & known & (F.col("_next._n") == F.col("_n")) & F.col("_next._said")
+    met = met.withColumns({c: F.when(F.col("_asked"), F.when(answer, F.col(f"_next.{c}"))).otherwise(F.col(c)) for c in ("_said", "sequence", *said)}).drop("_next", "_paired")
     left = F.lit(contract.max_job_tokens) - F.col("spent") - F.col("prompt_token_upper_bound")
     return met.withColumns({"place": F.col("_n") - 1, "left": left}).withColumn("allowed", F.least(F.lit(contract.max_tokens).cast("long"), "left"))
 
@@ -55,38 +66,43 @@ def call_violations(calls: DataFrame, responses: DataFrame, contract: Contract)
     Cases: a call or a response without the other gets one code and no further ones; null fields count as wrong; a
     job with neither has no rows; after a call that overspends, later ones are measured by what was spent.
     """
-    b = call_budgets(calls, responses, contract)
-    again = F.row_number().over(Window.partitionBy("job_id", "response_id").orderBy("_n"))
-    b = b.withColumn("_again", F.when(F.col("response_id").isNotNull(), again))
 
     def bad(c: Column) -> Column:
         return F.coalesce(c, F.lit(True))
 
-    usage = ~(F.col("input_tokens").eqNullSafe(F.col("trace_input")) & F.col("output_tokens").eqNullSafe(F.col("trace_output")) & F.col("total_tokens").eqNullSafe(F.col("trace_total")))
-    checks = {
-        "call_index": bad(F.col("call_index") != F.col("place")),
+    alone = {  # what a call tells by itself is found before the rows are dealt
         "status": bad(F.col("status") != "completed"),
         "request_model": bad(F.col("model") != contract.model),
         "response_model": bad(~F.col("response_model").isin(contract.model, *contract.aliases)),
-        "trace_model": ~F.col("response_model").eqNullSafe(F.col("trace_model")),
         "response_id": _blank("response_id"),
-        "repeated_response_id": F.coalesce(F.col("_again") > 1, F.lit(False)),
         "response_object": bad(F.col("response_object") != "chat.completion"),
         "identity_model": ~F.col("identity_model").eqNullSafe(F.col("response_model")),
-        "usage": usage,
         "prompt_hash": bad(~F.col("prompt_hash").rlike(SHA256)),
         "started_at": _blank("started_at"),
         "message_count": _no_count("message_count"),
         "tool_count": _no_count("tool_count"),
         "temperature": bad(F.col("temperature") != contract.temperature),
         "prompt_token_upper_bound": bad(F.col("prompt_token_upper_bound") <= 0),
+        "retry_count": _no_count("retry_count"),
+        "latency_ms": bad(F.isnan("latency_ms") | (F.col("latency_ms") < 0) | (F.col("latency_ms") == float("inf"))),
+    }
+    flags = sum((F.when(c, 2**k).otherwise(0) for k, c in enumerate(alone.values())), F.lit(0))
+    needed = ("job_id", "position", "call_index", "response_id", "response_model", "input_tokens", "output_tokens", "total_tokens", "prompt_token_upper_bound", "max_tokens")
+    b = call_budgets(calls.select(*needed, flags.cast("int").alias("_flags")), responses.select("job_id", "sequence", "trace_model", "trace_input", "trace_output", "trace_total"), contract)
+    again = F.row_number().over(Window.partitionBy("job_id", "response_id").orderBy("_n"))
+    b = b.withColumn("_again", F.when(F.col("response_id").isNotNull(), again))
+    usage = ~(F.col("input_tokens").eqNullSafe(F.col("trace_input")) & F.col("output_tokens").eqNullSafe(F.col("trace_output")) & F.col("total_tokens").eqNullSafe(F.col("trace_total")))
+    checks = {
+        **{name: F.col("_flags").bitwiseAND(F.lit(2**k)) != 0 for k, name in enumerate(alone)},
+        "call_index": bad(F.col("call_index") != F.col("place")),
+        "trace_model": ~F.col("response_model").eqNullSafe(F.col("trace_model")),
+        "repeated_response_id": F.coalesce(F.col("_again") > 1, F.lit(False)),
+        "usage": usage,
         "call_beyond_budget": F.coalesce(F.col("left") <= 0, F.lit(False)),
         "max_tokens": F.coalesce(F.col("left") > 0, F.lit(False)) & bad(F.col("max_tokens") != F.col("allowed")),
         "input_beyond_bound": F.coalesce(F.col("trace_input") > F.col("prompt_token_upper_bound"), F.lit(False)),
         "output_beyond_max_tokens": F.coalesce((F.col("left") > 0) & (F.col("trace_output") > F.col("allowed")), F.lit(False)),
         "job_beyond_budget": F.coalesce(F.col("spent") + F.col("trace_total") > contract.max_job_tokens, F.lit(False)),
-        "retry_count": _no_count("retry_count"),
-        "latency_ms": bad(F.isnan("latency_ms") | (F.col("latency_ms") < 0) | (F.col("latency_ms") == float("inf"))),
     }
     both = F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in checks.items()]))
     codes = F.when(F.col("_said").isNull(), F.array(F.lit("call_without_response"))).when(F.col("_asked").isNull(), F.array(F.lit("response_without_call"))).otherwise(both)
