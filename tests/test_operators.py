@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trajlake.functions import ids
-from trajlake.operators import corpus, jobs, records, review, selection, traces, usage
+from trajlake.operators import corpus, jobs, records, review, selection, similar_sets, traces, usage
 
 JOB = "job_id string, scenario_id string, status string, success int, tokens long, goal_type string, trace_id string, attempts int, metrics map<string,double>"
 
@@ -319,3 +319,51 @@ def test_semantic_duplicates_of_long_sets_with_any_known_frequencies(spark):
     for known in (corpus.KNOWN, 50, 0):
         assert {(r["left_id"], r["right_id"]): r["jaccard"] for r in corpus.semantic_duplicates(df, known=known).collect()} == want
     assert 20 < len(want) < 60
+
+
+def _near_by_brute_force(rows):
+    first = {}
+    for name, text in sorted(rows):
+        first.setdefault(frozenset(text.split()), name)
+    sets = sorted((name, x) for x, name in first.items())
+    return {(a, b): round(len(x & y) / len(x | y), 6) for k, (a, x) in enumerate(sets) for b, y in sets[k + 1 :] if 10 * len(x & y) >= 8 * len(x | y)}
+
+
+def test_semantic_duplicates_pass_on_no_pairs_of_near_copies(spark, monkeypatch):
+    """400 near copies of one text make 79,800 pairs; what is shuffled to find them grows with the copies."""
+    monkeypatch.setattr(similar_sets, "BLOCK", 150)  # several blocks
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(80)]
+    rows = [(f"s{k:04d}", " ".join([*base[: 80 - k % 3], f"x{k}"])) for k in range(400)] + [(f"t{k:04d}", " ".join(f"y{rng.randrange(200)}" for _ in range(9))) for k in range(100)]
+    df = spark.createDataFrame(rows, "seed_id string, query string").repartition(3)
+    jvm, store = spark._jvm, spark._jsc.sc().statusStore()
+
+    def shuffled():
+        stages = store.stageList(jvm.java.util.ArrayList(), False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+        return sum(stages.apply(k).shuffleWriteRecords() for k in range(stages.size()))
+
+    before = shuffled()
+    found = {(r["left_id"], r["right_id"]): r["jaccard"] for r in corpus.semantic_duplicates(df).collect()}
+    assert found == _near_by_brute_force(rows) and len(found) >= 79_800
+    assert shuffled() - before < 40_000
+
+
+def test_semantic_duplicates_of_sets_with_signatures_of_several_widths(spark):
+    rng = random.Random(6)
+    rows = []
+    for n in (880, 910, 1780, 1830, 3700):
+        words = [f"w{rng.randrange(10**9)}" for _ in range(n)]
+        for k, off in enumerate((0, 20, n // 10, n // 5 - 1, n // 5 + 1)):  # the last is too far from the first
+            rows.append((f"s{n}{k}", " ".join(words[off:])))
+            rows.append((f"t{n}{k}", " ".join([*words, *(f"z{k}x{j}" for j in range(off * 5 // 4))])))
+    df = spark.createDataFrame(rows, "seed_id string, query string").repartition(2)
+    want = _near_by_brute_force(rows)
+    assert {(r["left_id"], r["right_id"]): r["jaccard"] for r in corpus.semantic_duplicates(df).collect()} == want and len(want) > 40
+
+
+def test_semantic_duplicates_tokens_of_odd_texts(spark):
+    """Tokens end at any other byte and at the text's end; pure numbers, empty and null texts hold none; upper case is lowered."""
+    rows = [("a", "x1\u00e9Y2, 33 z4\u4e2dq 7w"), ("b", "x1 y2 z4 q 7w n5"), ("c", None), ("d", ""), ("e", "12 34"), ("f", "7W-Q_z4.Y2+x1"), ("g", "33"), ("h", "\u00e9")]
+    df = spark.createDataFrame(rows, "seed_id string, query string").coalesce(1)
+    assert [tuple(r) for r in corpus.semantic_duplicates(df).collect()] == [("a", "b", 0.833333)]
+    assert corpus.semantic_duplicates(df.limit(0)).collect() == []
