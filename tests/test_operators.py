@@ -367,3 +367,8 @@ def test_semantic_duplicates_tokens_of_odd_texts(spark):
     df = spark.createDataFrame(rows, "seed_id string, query string").coalesce(1)
     assert [tuple(r) for r in corpus.semantic_duplicates(df).collect()] == [("a", "b", 0.833333)]
     assert corpus.semantic_duplicates(df.limit(0)).collect() == []
+
+
+def test_semantic_duplicates_of_seeds_that_stand_twice(spark):
+    df = spark.createDataFrame([("a", "p q r s t"), ("b", "p q r s t u"), ("a", "p q r s t"), ("b", "p q r s t u"), ("c", "p q r s t")], "seed_id string, query string").repartition(3)
+    assert [tuple(r) for r in corpus.semantic_duplicates(df).collect()] == [("a", "b", 0.833333)]
